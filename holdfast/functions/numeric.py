@@ -45,7 +45,7 @@ def fixed(value: Column, digits: int) -> Column:
     """Round half away from zero, as double.
 
     Goes through a decimal, so a product that is a half in decimal terms is
-    rounded as one whatever its last binary digits are. Money and report columns
+    rounded as one whatever its last binary digits are; NaN becomes null. Money and report columns
     then agree between engines, and sums of rounded money add whole cents.
     """
-    return F.round(value.cast("decimal(38,12)"), digits).cast("double")
+    return F.round(value.try_cast("decimal(38,12)"), digits).cast("double")

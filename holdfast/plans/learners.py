@@ -127,14 +127,14 @@ def fit_validated(estimator, rows: DataFrame, folds: int = FOLDS, parallelism: i
         estimator=estimator, estimatorParamMaps=[{}], evaluator=BinaryClassificationEvaluator(),
         numFolds=folds, foldCol="fold", parallelism=parallelism,
     ).fit(rows)
-    return Validated(best.bestModel, best.avgMetrics[0], best.stdMetrics[0])
+    return Validated(best.bestModel, float(best.avgMetrics[0]), float(best.stdMetrics[0]))
 
 
-def _together(*jobs: Callable[[], object]) -> list:
+def _together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run fits from driver threads, so their stages share the cluster."""
     pool = ThreadPool(len(jobs))
     try:
-        return pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs])
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
     finally:
         pool.close()
 
@@ -185,6 +185,7 @@ def fit_propensity(
     try:
         n_rows = rows.count()
         plain, boosted = _together(
+            modeling.sparkSession,
             lambda: fit_validated(logistic(n_rows), rows, folds), lambda: fit_validated(boosting.classifier(), rows, folds)
         )
     finally:
@@ -311,7 +312,7 @@ def fit_two_models(
                 return fit_validated(boosting.classifier(), stratified_folds(part, "label", "customer_id", folds), folds)
             return Validated(boosting.classifier().fit(part), float("nan"), float("nan"))
 
-        control, treated = _together(lambda: fit(0), lambda: fit(1))
+        control, treated = _together(modeling.sparkSession, lambda: fit(0), lambda: fit(1))
     finally:
         rows.unpersist()
     learner = Learner(encoder, features, control.model, treated.model, n_rows=n_rows)
@@ -335,6 +336,7 @@ def fit_crossed(modeling: DataFrame, boosting: Boosting = Boosting(), base: Lear
     )
     try:
         on_treated, on_control = _together(
+            modeling.sparkSession,
             lambda: boosting.regressor().fit(rows.where(F.col("treatment") == 1)),
             lambda: boosting.regressor().fit(rows.where(F.col("treatment") == 0)),
         )

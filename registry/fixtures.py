@@ -32,3 +32,9 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def modeling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling_dataset(tables(spark, sf_dir))
+
+
+def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers before the split, as saved."""
+    tables(spark, sf_dir)
+    return spark.table(f"{_prefix(sf_dir)}flat")
