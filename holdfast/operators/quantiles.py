@@ -17,26 +17,30 @@ def percentiles_of_ranked(
     shares: Mapping[str, float],
     by: Sequence[str] = (),
     rank: str = "rank",
+    total: str | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """One row (per group) with a column per named share, linear between neighbours.
 
     ``ranked`` carries a rank by ``value`` with nulls last; nulls do not count.
+    ``total`` names a column with the number of values, which spares counting them.
     """
     groups = list(by)
-    filled = ranked.groupBy(*groups).agg(F.count(value).alias("_n")) if groups else ranked.agg(F.count(value).alias("_n"))
-    known = attach(ranked, filled, groups)
-    place = F.col("_n") - F.col(rank) if descending else F.col(rank) - 1
+    if total is None:
+        total = "_n"
+        values = F.count(value).alias(total)
+        ranked = attach(ranked, ranked.groupBy(*groups).agg(values) if groups else ranked.agg(values), groups)
+    place = F.col(total) - F.col(rank) if descending else F.col(rank) - 1
 
     def at(share: float) -> Column:
-        target = (F.col("_n") - 1) * F.lit(share)
+        target = (F.col(total) - 1) * F.lit(share)
         low = F.floor(target)
         below = F.max(F.when(place == low, F.col(value)))
         above = F.max(F.when(place == F.ceil(target), F.col(value)))
         return below + (above - below) * F.max(target - low)
 
     results = [at(share).alias(name) for name, share in shares.items()]
-    return known.groupBy(*groups).agg(*results) if groups else known.agg(*results)
+    return ranked.groupBy(*groups).agg(*results) if groups else ranked.agg(*results)
 
 
 def percentiles(
@@ -47,7 +51,7 @@ def percentiles(
     groups = list(by)
     narrow = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.col(key).alias("_k"))
     ranked = global_rank(narrow, [F.col("_v").asc(), F.col("_k").asc()], by=groups, rank="_rank", total="_total")
-    return percentiles_of_ranked(ranked, "_v", shares, groups, rank="_rank")
+    return percentiles_of_ranked(ranked, "_v", shares, groups, rank="_rank", total="_total")
 
 
 def median(df: DataFrame, value: str, key: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:

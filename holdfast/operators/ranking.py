@@ -75,8 +75,8 @@ def tile(rank: Column, total: Column, tiles: int) -> Column:
     return F.when(rank <= large, in_large).otherwise(in_small).cast("int")
 
 
-# Above this many rows a top-k no longer belongs in one task.
-TOP_IN_ONE_TASK = 100_000
+# The merge of a top-k sees k rows of every partition, so k stays small there.
+TOP_IN_ONE_TASK = 1_000
 
 
 def top_rows(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

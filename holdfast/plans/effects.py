@@ -99,41 +99,46 @@ def covariate_balance(
     """Standardised mean difference per numeric feature before and after weighting.
 
     Both are divided by the unweighted pooled spread; a constant feature gives 0.
-    All features are measured in one pass without expanding rows.
+    One aggregation by arm measures all features without expanding rows.
     """
     e = bounded_propensity(propensity)
-    rows = df.select(
-        "treatment", e.alias("_e"), *[F.col(name).cast("double").alias(f"_x{i}") for i, name in enumerate(features)]
+    weight = F.when(_is_treated(), 1 / e).otherwise(1 / (1 - e))
+    rows = df.where(_is_treated() | _is_control()).select(
+        "treatment", weight.alias("_w"), *[F.col(name).cast("double").alias(f"_x{i}") for i, name in enumerate(features)]
     )
-    treated, control = _is_treated(), _is_control()
-    w_t, w_c = F.when(treated, 1 / F.col("_e")), F.when(control, 1 / (1 - F.col("_e")))
-    measures = [F.sum(w_t).alias("_wt"), F.sum(w_c).alias("_wc")]
+    measures = [F.sum("_w").alias("_w")]
     for i in range(len(features)):
         x = F.col(f"_x{i}")
-        measures += [
-            mean_where(treated, x).alias(f"_mt{i}"),
-            mean_where(control, x).alias(f"_mc{i}"),
-            F.var_pop(F.when(treated, x)).alias(f"_vt{i}"),
-            F.var_pop(F.when(control, x)).alias(f"_vc{i}"),
-            F.sum(w_t * x).alias(f"_st{i}"),
-            F.sum(w_c * x).alias(f"_sc{i}"),
-        ]
-
-    def difference(gap: Column, spread: Column) -> Column:
-        return F.when(spread > 0, F.abs(gap) / spread).otherwise(0.0)
-
-    lines = []
-    for i, name in enumerate(features):
-        spread = F.sqrt((F.col(f"_vt{i}") + F.col(f"_vc{i}")) / 2)
-        raw = difference(F.col(f"_mt{i}") - F.col(f"_mc{i}"), spread)
-        weighted = difference(ratio(F.col(f"_st{i}"), F.col("_wt")) - ratio(F.col(f"_sc{i}"), F.col("_wc")), spread)
-        lines.append(F.struct(F.lit(name).alias("feature"), raw.alias("_raw"), weighted.alias("_weighted")))
-    return rows.agg(*measures).select(F.inline(F.array(*lines))).select(
+        measures += [F.avg(x).alias(f"_m{i}"), F.var_pop(x).alias(f"_v{i}"), F.sum(F.col("_w") * x).alias(f"_s{i}")]
+    lines = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.col(f"_m{i}").alias("_mean"),
+            F.col(f"_v{i}").alias("_variance"),
+            ratio(F.col(f"_s{i}"), F.col("_w")).alias("_weighted_mean"),
+        )
+        for i, name in enumerate(features)
+    ]
+    # Two rows per feature from here on.
+    arms = rows.groupBy("treatment").agg(*measures).select("treatment", F.inline(F.array(*lines)))
+
+    def of(arm: Column, name: str) -> Column:
+        return F.max(F.when(arm, F.col(name)))
+
+    def gap(name: str) -> Column:
+        return F.abs(of(_is_treated(), name) - of(_is_control(), name))
+
+    spread = F.sqrt((of(_is_treated(), "_variance") + of(_is_control(), "_variance")) / 2)
+    found = arms.groupBy("feature").agg(
+        F.when(spread > 0, gap("_mean") / spread).otherwise(0.0).alias("_raw"),
+        F.when(spread > 0, gap("_weighted_mean") / spread).otherwise(0.0).alias("_ipw"),
+    )
+    return found.select(
         "feature",
         fixed(F.col("_raw"), 6).alias("smd_raw"),
-        fixed(F.col("_weighted"), 6).alias("smd_ipw"),
+        fixed(F.col("_ipw"), 6).alias("smd_ipw"),
         (F.col("_raw") < BALANCE_LIMIT).alias("balanced_before"),
-        (F.col("_weighted") < BALANCE_LIMIT).alias("balanced_after"),
+        (F.col("_ipw") < BALANCE_LIMIT).alias("balanced_after"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.functions.customer import senior_label
-from holdfast.functions.numeric import fixed, percent_of, ratio, sum_where
+from holdfast.functions.numeric import fixed, ratio, sum_where
 from holdfast.operators.quantiles import median
 from holdfast.schemas import QUADRANTS
 
@@ -22,48 +22,73 @@ def demographics() -> dict[str, Column]:
     return {"gender": F.col("gender"), "senior_label": senior_label(F.col("senior_citizen")), "partner": F.col("partner")}
 
 
-def by_demographic(segmented: DataFrame, *columns: str) -> DataFrame:
-    """Each row once per demographic it has a group in, with only the columns asked for.
-
-    Feeds one aggregation, which combines before the shuffle.
-    """
-    memberships = F.array(
-        *[F.struct(F.lit(name).alias("demographic"), group.alias("group")) for name, group in demographics().items()]
+def _memberships() -> Column:
+    return F.inline(
+        F.array(
+            *[F.struct(F.lit(name).alias("demographic"), group.alias("group")) for name, group in demographics().items()]
+        )
     )
-    return segmented.select(*columns, F.inline(memberships)).where(F.col("group").isNotNull())
 
 
-def _rate(quadrant: str) -> Column:
-    return percent_of(F.col("quadrant") == quadrant)
+def _count_name(quadrant: str) -> str:
+    return "n_" + quadrant.lower().replace(" ", "_")
 
 
-def _column_name(quadrant: str) -> str:
+def _rate_name(quadrant: str) -> str:
     return "pct_" + quadrant.lower().replace(" ", "_")
 
 
-def quadrant_rates(segmented: DataFrame) -> DataFrame:
-    """Unrounded share of each quadrant, mean uplift and mean value per group."""
-    return by_demographic(segmented, "quadrant", "uplift_score", "clv").groupBy("demographic", "group").agg(
-        F.count("*").alias("n_customers"),
-        *[_rate(q).alias(_column_name(q)) for q in QUADRANTS],
-        F.avg("uplift_score").alias("avg_uplift"),
-        F.avg("clv").alias("avg_clv"),
+def _rate(quadrant: str) -> Column:
+    return ratio(F.col(_count_name(quadrant)), F.col("n_customers")) * 100
+
+
+def group_totals(segmented: DataFrame) -> DataFrame:
+    """Counts and sums per (demographic, group); every report below projects from these.
+
+    Rows are summed once per combination of demographics, so each row is read
+    once and only the few combinations are spread over the demographics.
+    """
+    chosen = F.col("quadrant") == "Persuadable"
+    measures = {
+        "n_customers": F.count("*"),
+        **{_count_name(q): F.count_if(F.col("quadrant") == q) for q in QUADRANTS},
+        "n_scored": F.count("uplift_score"),
+        "uplift": F.sum("uplift_score"),
+        "clv": F.sum("clv"),
+        "value": F.sum("value_at_risk"),
+        "chosen_uplift": sum_where(chosen, F.col("uplift_score")),
+        "chosen_clv": sum_where(chosen, F.col("clv")),
+        "chosen_value": sum_where(chosen, F.col("value_at_risk")),
+    }
+    combined = segmented.groupBy("gender", "senior_citizen", "partner").agg(
+        *[measure.alias(name) for name, measure in measures.items()]
     )
+    return (
+        combined.select(*measures, _memberships())
+        .where(F.col("group").isNotNull())
+        .groupBy("demographic", "group")
+        .agg(*[F.sum(name).alias(name) for name in measures])
+    )
+
+
+def _mean(total: str, count: str) -> Column:
+    return ratio(F.col(total), F.col(count))
 
 
 def quadrant_rates_report(segmented: DataFrame) -> DataFrame:
-    return quadrant_rates(segmented).select(
+    """Share of each quadrant, mean uplift and mean value per group."""
+    return group_totals(segmented).select(
         "demographic", "group", "n_customers",
-        *[fixed(F.col(_column_name(q)), 1).alias(_column_name(q)) for q in QUADRANTS],
-        fixed(F.col("avg_uplift"), 4).alias("avg_uplift"),
-        fixed(F.col("avg_clv"), 0).alias("avg_clv"),
+        *[fixed(_rate(q), 1).alias(_rate_name(q)) for q in QUADRANTS],
+        fixed(_mean("uplift", "n_scored"), 4).alias("avg_uplift"),
+        fixed(_mean("clv", "n_customers"), 0).alias("avg_clv"),
     )
 
 
 def parity_check(segmented: DataFrame) -> DataFrame:
     """Highest against lowest Persuadable rate per demographic with at least two groups."""
-    rate = F.col("pct_persuadable")
-    spread = quadrant_rates(segmented).groupBy("demographic").agg(
+    rate = _rate("Persuadable")
+    spread = group_totals(segmented).groupBy("demographic").agg(
         F.count("*").alias("n_groups"), F.max(rate).alias("max_rate"), F.min(rate).alias("min_rate")
     )
     difference = F.col("max_rate") - F.col("min_rate")
@@ -81,7 +106,7 @@ def parity_check(segmented: DataFrame) -> DataFrame:
 
 def uplift_by_group(segmented: DataFrame, key: str = "customer_id") -> DataFrame:
     """Mean, median, sample spread and count of the score per group."""
-    rows = by_demographic(segmented, key, "uplift_score")
+    rows = segmented.select(key, "uplift_score", _memberships()).where(F.col("group").isNotNull())
     groups = ["demographic", "group"]
     basic = rows.groupBy(*groups).agg(
         fixed(F.avg("uplift_score"), 6).alias("mean_uplift"),
@@ -96,11 +121,10 @@ def uplift_by_group(segmented: DataFrame, key: str = "customer_id") -> DataFrame
 
 def uplift_gap(segmented: DataFrame) -> DataFrame:
     """Largest gap between group means per demographic, as an effect size."""
-    rows = by_demographic(segmented, "uplift_score")
-    means = rows.groupBy("demographic", "group").agg(F.avg("uplift_score").alias("_mean"))
+    mean = _mean("uplift", "n_scored")
     spread = segmented.agg(F.stddev_samp("uplift_score").alias("_std")).scalar()
-    gaps = means.groupBy("demographic").agg(
-        F.count("*").alias("n_groups"), (F.max("_mean") - F.min("_mean")).alias("_gap")
+    gaps = group_totals(segmented).groupBy("demographic").agg(
+        F.count("*").alias("n_groups"), (F.max(mean) - F.min(mean)).alias("_gap")
     ).where(F.col("n_groups") >= 2).withColumn("_std", spread)
     effect = F.when(F.col("_std") > 0, F.col("_gap") / F.col("_std")).otherwise(0.0)
     band = F.when(effect < SMALL_EFFECT, "negligible").when(effect < MEDIUM_EFFECT, "small").otherwise("medium or large")
@@ -112,43 +136,34 @@ def uplift_gap(segmented: DataFrame) -> DataFrame:
 def persuadable_value(segmented: DataFrame) -> DataFrame:
     """Who the Persuadables are and what they are worth, against the population.
 
-    One pass counts both; groups without Persuadables are left out.
+    Groups without Persuadables are left out.
     """
-    chosen = F.col("quadrant") == "Persuadable"
-    rows = by_demographic(segmented, "quadrant", "clv", "value_at_risk", "uplift_score")
-
-    def of_chosen(name: str) -> Column:
-        return F.when(chosen, F.col(name))
-
-    groups = rows.groupBy("demographic", "group").agg(
-        F.count("*").alias("_population"),
-        F.count_if(chosen).alias("n_persuadable"),
-        fixed(F.avg(of_chosen("clv")), 2).alias("avg_clv"),
-        fixed(sum_where(chosen, F.col("value_at_risk")), 2).alias("total_value_at_risk"),
-        fixed(F.avg(of_chosen("value_at_risk")), 2).alias("avg_value_at_risk"),
-        fixed(F.avg(of_chosen("uplift_score")), 2).alias("avg_uplift"),
-    )
     whole = W.partitionBy("demographic")
 
     def share(name: str) -> Column:
         return fixed(ratio(F.col(name), F.sum(name).over(whole)) * 100, 1)
 
-    return (
-        groups.withColumns({"pct_of_persuadables": share("n_persuadable"), "pct_of_population": share("_population")})
-        .where(F.col("n_persuadable") > 0)
-        .drop("_population")
-        .withColumn("flagged", F.abs(fixed(F.col("pct_of_persuadables") - F.col("pct_of_population"), 1)) > SHARE_POINTS)
+    shares = group_totals(segmented).withColumns(
+        {"pct_of_persuadables": share("n_persuadable"), "pct_of_population": share("n_customers")}
+    )
+    return shares.where(F.col("n_persuadable") > 0).select(
+        "demographic", "group", "n_persuadable",
+        fixed(_mean("chosen_clv", "n_persuadable"), 2).alias("avg_clv"),
+        fixed(F.col("chosen_value"), 2).alias("total_value_at_risk"),
+        fixed(_mean("chosen_value", "n_persuadable"), 2).alias("avg_value_at_risk"),
+        fixed(_mean("chosen_uplift", "n_persuadable"), 2).alias("avg_uplift"),
+        "pct_of_persuadables", "pct_of_population",
+        (F.abs(fixed(F.col("pct_of_persuadables") - F.col("pct_of_population"), 1)) > SHARE_POINTS).alias("flagged"),
     )
 
 
 def fairness_report(segmented: DataFrame) -> DataFrame:
-    """The summary kept on file: one row per demographic group, one scan."""
-    rows = by_demographic(segmented, "quadrant", "uplift_score", "clv", "value_at_risk")
-    return rows.groupBy("demographic", "group").agg(
-        F.count("*").alias("n_customers"),
+    """The summary kept on file: one row per demographic group."""
+    return group_totals(segmented).select(
+        "demographic", "group", "n_customers",
         fixed(_rate("Persuadable"), 1).alias("pct_persuadable"),
         fixed(_rate("Sleeping Dog"), 1).alias("pct_sleeping_dog"),
-        fixed(F.avg("uplift_score"), 4).alias("mean_uplift"),
-        fixed(F.avg("clv"), 2).alias("mean_clv"),
-        fixed(F.sum("value_at_risk"), 2).alias("total_value_at_risk"),
+        fixed(_mean("uplift", "n_scored"), 4).alias("mean_uplift"),
+        fixed(_mean("clv", "n_customers"), 2).alias("mean_clv"),
+        fixed(F.col("value"), 2).alias("total_value_at_risk"),
     )

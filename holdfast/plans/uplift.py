@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import segments
 from holdfast.functions.customer import SCORE_CEILING, SCORE_FLOOR
-from holdfast.functions.numeric import clip, fixed, mean_where, percent_of, sum_where
+from holdfast.functions.numeric import clip, fixed, mean_where, percent_of, ratio, sum_where
 from holdfast.operators.attach import attach
 from holdfast.operators.quantiles import median
 
@@ -156,22 +156,34 @@ def quadrant_counts(segmented: DataFrame) -> DataFrame:
 def segment_deep_dive(segmented: DataFrame) -> DataFrame:
     """Churn, uplift and value by contract and by internet service, in one pass.
 
-    Rates are rounded to four places and then again as percentages.
+    Rows are summed by both columns together, and only those sums are split by
+    dimension. Rates are rounded to four places and then again as percentages.
     """
+    both = segmented.groupBy("contract_type", "internet_service").agg(
+        F.count("*").alias("_n"),
+        F.sum("churn_binary").alias("_churned"),
+        F.sum("uplift_score").alias("_uplift"),
+        F.count("uplift_score").alias("_scored"),
+        F.sum("value_at_risk").alias("_value"),
+    )
     dimension = F.inline(
         F.array(
             F.struct(F.lit("contract_type").alias("dimension"), F.col("contract_type").alias("segment")),
             F.struct(F.lit("internet_service").alias("dimension"), F.col("internet_service").alias("segment")),
         )
     )
+
+    def rate(total: str, count: str) -> Column:
+        return fixed(ratio(F.sum(total), F.sum(count)), 4) * 100
+
     return (
-        segmented.select("churn_binary", "uplift_score", "value_at_risk", dimension)
+        both.select("_n", "_churned", "_uplift", "_scored", "_value", dimension)
         .groupBy("dimension", "segment")
         .agg(
-            F.count("*").alias("customers"),
-            fixed(fixed(F.avg("churn_binary"), 4) * 100, 1).alias("churn_rate_pct"),
-            fixed(fixed(F.avg("uplift_score"), 4) * 100, 2).alias("avg_uplift_pct"),
-            fixed(F.sum("value_at_risk"), 0).alias("total_value"),
+            F.sum("_n").alias("customers"),
+            fixed(rate("_churned", "_n"), 1).alias("churn_rate_pct"),
+            fixed(rate("_uplift", "_scored"), 2).alias("avg_uplift_pct"),
+            fixed(F.sum("_value"), 0).alias("total_value"),
         )
     )
 

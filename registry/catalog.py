@@ -250,12 +250,9 @@ def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uplift.segment(scored(spark, sf_dir))
 
 
-def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both learners' scores, put together by customer."""
-    second = uplift.score_by_crossed_cells(modeling(spark, sf_dir))
-    return scored(spark, sf_dir).join(
-        second.select("customer_id", "uplift_score_xl", "mu_0_xl", "mu_1_xl"), "customer_id"
-    )
+def both_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both learners' scores added to the same rows."""
+    return uplift.score_by_crossed_cells(scored(spark, sf_dir))
 
 
 @query
@@ -289,7 +286,10 @@ def scored_customers_crossed(spark, sf_dir):
 
 @query
 def paired_scores(spark, sf_dir):
-    rows = paired(spark, sf_dir).select("customer_id", "treatment", "churn_binary", "uplift_score", "uplift_score_xl")
+    """Two separately scored frames put together by customer."""
+    first = scored(spark, sf_dir).select("customer_id", "treatment", "churn_binary", "uplift_score")
+    second = uplift.score_by_crossed_cells(modeling(spark, sf_dir)).select("customer_id", "uplift_score_xl")
+    rows = first.join(second, "customer_id")
     return _rounded(rows, 6, "uplift_score", "uplift_score_xl")
 
 
@@ -373,7 +373,7 @@ def covariate_balance_summary(spark, sf_dir):
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.ranked_scores(paired(spark, sf_dir), LEARNERS)
+    return evaluation.ranked_scores(both_scores(spark, sf_dir), LEARNERS)
 
 
 @query
@@ -403,14 +403,14 @@ def learner_report(spark, sf_dir):
 
 @query
 def compare_learners(spark, sf_dir):
-    rows = settle(paired(spark, sf_dir).select("customer_id", "treatment", "churn_binary", *LEARNERS.values()))
+    rows = settle(both_scores(spark, sf_dir).select("customer_id", "treatment", "churn_binary", *LEARNERS.values()))
     first, second = LEARNERS.items()
     return evaluation.compare_learners(rows, first, second)
 
 
 @query
 def score_correlation(spark, sf_dir):
-    return evaluation.score_correlation(paired(spark, sf_dir), *LEARNERS.values())
+    return evaluation.score_correlation(both_scores(spark, sf_dir), *LEARNERS.values())
 
 
 # ---------------------------------------------------------------- campaigns
@@ -563,7 +563,8 @@ def fitted_propensity_effect(spark, sf_dir):
 
 @query
 def fitted_two_models(spark, sf_dir):
-    rows = uplift.segment(two_models(spark, sf_dir).score(modeling(spark, sf_dir)))
+    learner = two_models(spark, sf_dir)
+    rows = uplift.segment(learner.score(modeling(spark, sf_dir)), learner.risk_threshold)
     return rows.select("customer_id", "mu_0_control", "mu_1_treatment", "uplift_score", "quadrant", "value_at_risk")
 
 
@@ -581,7 +582,9 @@ def fitted_importance_comparison(spark, sf_dir):
 def fitted_crossed(spark, sf_dir):
     rows = modeling(spark, sf_dir)
     learner = learners.fit_crossed(rows, SMALL_BOOSTING, two_models(spark, sf_dir))
-    scored_rows = uplift.segment(learner.score(rows), uplift="uplift_score_xl", risk="mu_0_xl", suffix="_xl")
+    scored_rows = uplift.segment(
+        learner.score(rows), learner.risk_threshold, uplift="uplift_score_xl", risk="mu_0_xl", suffix="_xl"
+    )
     return scored_rows.select("customer_id", "mu_0_xl", "mu_1_xl", "uplift_score_xl", "quadrant_xl", "value_at_risk_xl")
 
 
