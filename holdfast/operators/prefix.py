@@ -16,6 +16,27 @@ def stride(total: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(total / POINTS))
 
 
+def step_of(rank: Column, total: Column, start: int) -> Column:
+    """The first point at or after a rank: step j is the point at rank start + j * stride.
+
+    There are at most 200 steps. Ranks past the last point get one more step.
+    """
+    return F.greatest(F.lit(0), F.ceil((rank - start) / stride(total)))
+
+
+def accumulate(
+    steps: DataFrame, start: int, names: Sequence[str], by: Sequence[str] = (), step: str = "step", total: str = "n_rows"
+) -> DataFrame:
+    """Sums per step to sums over ranks 1..k at every point k, and ``all_<name>`` over every row."""
+    whole = W.partitionBy(*by, total)
+    upto = whole.orderBy(step).rowsBetween(W.unboundedPreceding, 0)
+    return steps.select(
+        *by, total, (F.lit(start) + F.col(step) * stride(F.col(total))).alias("k"),
+        *[F.sum(name).over(upto).alias(name) for name in names],
+        *[F.sum(name).over(whole).alias(f"all_{name}") for name in names],
+    ).where(F.col("k") <= F.col(total))
+
+
 def prefix_sums(
     ranked: DataFrame,
     start: int,
@@ -24,24 +45,11 @@ def prefix_sums(
     rank: str = "rank",
     total: str = "n_rows",
 ) -> DataFrame:
-    """Sums over ranks 1..k at k = start, start + s, ... while k stays within the rows,
-    and ``all_<name>`` for the sum over every row.
+    """Sums over ranks 1..k at k = start, start + stride, ... while k stays within the rows.
 
-    Rows are summed per step before any shuffle; at most 200 steps per group are
-    then accumulated. Integer summands stay exact.
+    Rows are summed per step before any shuffle, and only steps are accumulated.
+    Integer summands stay exact.
     """
-    groups = list(by)
-    step = stride(F.col(total))
-    bucket = F.greatest(F.lit(0), F.ceil((F.col(rank) - start) / step))
-    # Rows past the last point are counted in a step that no point reads.
-    steps = ranked.groupBy(*groups, total, bucket.alias("_bucket")).agg(
-        *[F.sum(value).alias(name) for name, value in sums.items()]
-    )
-    upto = W.partitionBy(*groups, total).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
-    k = (F.lit(start) + F.col("_bucket") * step).alias("k")
-    whole = W.partitionBy(*groups, total)
-    return steps.select(
-        *groups, total, k,
-        *[F.sum(name).over(upto).alias(name) for name in sums],
-        *[F.sum(name).over(whole).alias(f"all_{name}") for name in sums],
-    ).where(F.col("k") <= F.col(total))
+    step = step_of(F.col(rank), F.col(total), start).alias("step")
+    steps = ranked.groupBy(*by, total, step).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
+    return accumulate(steps, start, list(sums), by, total=total)

@@ -9,9 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import fixed, percent_of, ratio
-from holdfast.operators.prefix import prefix_sums
+from holdfast.operators.attach import attach
+from holdfast.operators.prefix import accumulate, step_of
 from holdfast.operators.quantiles import percentiles_of_ranked
 from holdfast.operators.ranking import global_rank
+from holdfast.session import settle
 
 TOP_PERCENTS = (10, 20, 30, 40, 50)
 GAIN_START = 100
@@ -36,9 +38,34 @@ def ranked_scores(
     return global_rank(rows, [F.col("score").desc_nulls_last(), F.col("_key").asc()], by=["learner"])
 
 
-def _arm_sums() -> dict[str, Column]:
-    t, y = F.col("t").cast("long"), F.col("y").cast("long")
-    return {"n_t": t, "n_c": 1 - t, "y_t": t * y, "y_c": (1 - t) * y}
+def rank_steps(ranked: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> DataFrame:
+    """Arm counts and churn between all ranks that any metric below looks at.
+
+    One pass over the ranks serves every curve. A row per learner and stretch of
+    ranks remains, a few hundred per learner whatever the number of customers.
+    """
+    t, y, n = F.col("t").cast("long"), F.col("y").cast("long"), F.col("n_rows")
+    top = F.lit(None).cast("int")
+    for k in sorted(percents, reverse=True):
+        top = F.when(F.col("rank") <= F.floor(n * k / 100), k).otherwise(top)
+    return ranked.groupBy(
+        "learner", "n_rows",
+        step_of(F.col("rank"), n, 1).alias("qini_step"),
+        step_of(F.col("rank"), n, GAIN_START).alias("gain_step"),
+        top.alias("top"),
+    ).agg(
+        F.sum(t).alias("n_t"), F.sum(1 - t).alias("n_c"), F.sum(t * y).alias("y_t"), F.sum((1 - t) * y).alias("y_c")
+    )
+
+
+_SUMS = ["n_t", "n_c", "y_t", "y_c"]
+
+
+def _points(steps: DataFrame, step: str, start: int) -> DataFrame:
+    """Cumulative counts at the points of one curve where both arms have rows."""
+    per_step = steps.groupBy("learner", "n_rows", step).agg(*[F.sum(name).alias(name) for name in _SUMS])
+    points = accumulate(per_step, start, _SUMS, ["learner"], step)
+    return points.where((F.col("n_t") > 0) & (F.col("n_c") > 0))
 
 
 def _effect(prefix: str = "") -> Column:
@@ -46,15 +73,10 @@ def _effect(prefix: str = "") -> Column:
     return ratio(F.col(f"{prefix}y_c"), F.col(f"{prefix}n_c")) - ratio(F.col(f"{prefix}y_t"), F.col(f"{prefix}n_t"))
 
 
-def _both_arms() -> Column:
-    return (F.col("n_t") > 0) & (F.col("n_c") > 0)
-
-
-def qini_curve(ranked: DataFrame) -> DataFrame:
+def qini_curve(steps: DataFrame) -> DataFrame:
     """(learner, k, fraction, qini, random_qini): about a hundred points per learner."""
     fraction = F.col("k") / F.col("n_rows")
-    points = prefix_sums(ranked, 1, _arm_sums(), by=["learner"])
-    return points.where(_both_arms()).select(
+    return _points(steps, "qini_step", 1).select(
         "learner", "k", fraction.alias("fraction"),
         (_effect() * fraction).alias("qini"),
         (fraction * _effect("all_")).alias("random_qini"),
@@ -72,32 +94,35 @@ def qini_coefficients(curve: DataFrame) -> DataFrame:
     return pieces.groupBy("learner").agg(F.coalesce(F.sum("_area"), F.lit(0.0)).alias("qini_coefficient"))
 
 
-def uplift_at_k(ranked: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> DataFrame:
+def cumulative_gain(steps: DataFrame) -> DataFrame:
+    """(learner, k, fraction, gain) from the first hundred customers on."""
+    return _points(steps, "gain_step", GAIN_START).select(
+        "learner", "k", (F.col("k") / F.col("n_rows")).alias("fraction"), _effect().alias("gain")
+    )
+
+
+def uplift_at_k(steps: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> DataFrame:
     """Effect among the top k percent per learner, and the share of the total it captures.
 
-    One aggregation for all cut-offs. Zeros where an arm is empty or the total
-    effect is zero.
+    Zeros where an arm is empty or the total effect is zero. ``percents`` are
+    some of those the steps were made with.
     """
-    cutoffs = {k: F.floor(F.col("n_rows") * k / 100) for k in percents}
-    sums = _arm_sums()
-    measures = [F.sum(value).alias(f"all_{name}") for name, value in sums.items()]
-    for k, cutoff in cutoffs.items():
-        inside = F.col("rank") <= cutoff
-        measures += [
-            F.coalesce(F.sum(F.when(inside, value)), F.lit(0)).alias(f"p{k}_{name}") for name, value in sums.items()
-        ]
+    measures = [F.sum(name).alias(f"all_{name}") for name in _SUMS]
+    for k in percents:
+        inside = F.col("top") <= k
+        measures += [F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)).alias(f"p{k}_{name}") for name in _SUMS]
     lines = [
         F.struct(
             F.lit(k).alias("k_pct"),
             F.when(_effect("all_") != 0, F.coalesce(_effect(f"p{k}_"), F.lit(0.0))).otherwise(0.0).alias("effect"),
             _effect("all_").alias("_all"),
-            cutoffs[k].cast("long").alias("n_targeted"),
+            F.floor(F.col("n_rows") * k / 100).alias("n_targeted"),
             F.col(f"p{k}_n_t").alias("n_treated"),
             F.col(f"p{k}_n_c").alias("n_control"),
         )
         for k in percents
     ]
-    shares = ranked.groupBy("learner", "n_rows").agg(*measures).select("learner", F.inline(F.array(*lines)))
+    shares = steps.groupBy("learner", "n_rows").agg(*measures).select("learner", F.inline(F.array(*lines)))
     return shares.select(
         "learner", "k_pct", "effect",
         F.coalesce(ratio(F.col("effect"), F.col("_all")) * (F.col("k_pct") / 100) * 100, F.lit(0.0)).alias("capture_pct"),
@@ -105,35 +130,36 @@ def uplift_at_k(ranked: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> Da
     )
 
 
-def cumulative_gain(ranked: DataFrame) -> DataFrame:
-    """(learner, k, fraction, gain) from the first hundred customers on."""
-    points = prefix_sums(ranked, GAIN_START, _arm_sums(), by=["learner"])
-    return points.where(_both_arms()).select(
-        "learner", "k", (F.col("k") / F.col("n_rows")).alias("fraction"), _effect().alias("gain")
+def _metrics(steps: DataFrame, percents: Sequence[int]) -> DataFrame:
+    """One row per learner: Qini coefficient, effects at k, first and last gain."""
+    steps = settle(steps)
+    effects = uplift_at_k(steps, percents).groupBy("learner").agg(
+        *[F.max(F.when(F.col("k_pct") == k, F.col("effect"))).alias(f"effect_{k}") for k in percents]
     )
+    gains = cumulative_gain(steps).groupBy("learner").agg(
+        F.min_by("gain", "k").alias("first_gain"), F.max_by("gain", "k").alias("last_gain"), F.count("*").alias("_points")
+    ).where(F.col("_points") > 1)
+    joined = effects.join(qini_coefficients(qini_curve(steps)), "learner", "left").join(gains, "learner", "left")
+    return joined.withColumn("qini", F.coalesce("qini_coefficient", F.lit(0.0)))
 
 
 def learner_report(ranked: DataFrame) -> DataFrame:
     """One row per learner: ranking quality and the spread of its scores."""
     score = F.col("score")
     spread = ranked.groupBy("learner").agg(
+        F.count(score).alias("_scored"),
         fixed(F.avg(score), 4).alias("mean_uplift"),
         fixed(F.stddev_pop(score), 4).alias("std_uplift"),
         fixed(percent_of(score > 0), 1).alias("pct_positive_uplift"),
     )
-    middle = percentiles_of_ranked(ranked, "score", {"median": 0.5}, by=["learner"], descending=True)
-    at = uplift_at_k(ranked, (10, 20, 50)).groupBy("learner").agg(
-        *[fixed(F.max(F.when(F.col("k_pct") == k, F.col("effect"))), 4).alias(f"uplift_at_{k}") for k in (10, 20, 50)]
-    )
-    qini = qini_coefficients(qini_curve(ranked))
-    return (
-        spread.join(middle, "learner").join(at, "learner").join(qini, "learner", "left")
-        .select(
-            F.col("learner").alias("model"),
-            fixed(F.coalesce("qini_coefficient", F.lit(0.0)), 6).alias("qini_coefficient"),
-            "mean_uplift", fixed(F.col("median"), 4).alias("median_uplift"), "std_uplift", "pct_positive_uplift",
-            "uplift_at_10", "uplift_at_20", "uplift_at_50",
-        )
+    facts = attach(_metrics(rank_steps(ranked), (10, 20, 50)), spread, "learner")
+    counted = attach(ranked, facts.select("learner", "_scored"), "learner")
+    middle = percentiles_of_ranked(counted, "score", {"median": 0.5}, by=["learner"], total="_scored", descending=True)
+    return facts.join(middle, "learner").select(
+        F.col("learner").alias("model"),
+        fixed(F.col("qini"), 6).alias("qini_coefficient"),
+        "mean_uplift", fixed(F.col("median"), 4).alias("median_uplift"), "std_uplift", "pct_positive_uplift",
+        *[fixed(F.col(f"effect_{k}"), 4).alias(f"uplift_at_{k}") for k in (10, 20, 50)],
     )
 
 
@@ -155,15 +181,7 @@ def compare_learners(
     ``first`` and ``second`` are (name, score column); a tie in Qini goes to the second.
     """
     ranked = ranked_scores(df, dict([first, second])) if ranked is None else ranked
-    effects = uplift_at_k(ranked).groupBy("learner").agg(
-        *[F.max(F.when(F.col("k_pct") == k, F.col("effect"))).alias(f"effect_{k}") for k in TOP_PERCENTS]
-    )
-    gains = cumulative_gain(ranked).groupBy("learner").agg(
-        F.min_by("gain", "k").alias("first_gain"), F.max_by("gain", "k").alias("last_gain"), F.count("*").alias("_points")
-    ).where(F.col("_points") > 1).drop("_points")
-    metrics = effects.join(qini_coefficients(qini_curve(ranked)), "learner", "left").join(gains, "learner", "left")
-    metrics = metrics.withColumn("qini", F.coalesce("qini_coefficient", F.lit(0.0)))
-
+    metrics = _metrics(rank_steps(ranked), TOP_PERCENTS)
     wanted = ["qini", *[f"effect_{k}" for k in TOP_PERCENTS], "first_gain", "last_gain"]
     sides = {"first": first[0], "second": second[0]}
     picked = metrics.agg(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
@@ -26,7 +25,7 @@ from holdfast.operators.quantiles import median
 from holdfast.operators.ranking import global_rank
 from holdfast.plans.effects import PROPENSITY_FEATURES
 from holdfast.plans.uplift import combine_effects
-from holdfast.session import settle, shared_folder
+from holdfast.session import settle, shared_folder, together
 
 # Columns that are no features (key, arm, outcome, leak, duplicate).
 NOT_FEATURES = ["customer_id", "treatment", "churn_binary", "revenue_at_risk", "tenure_bucket"]
@@ -83,7 +82,7 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> PipelineModel:
             stringOrderType="alphabetAsc", handleInvalid="keep",
         ).fit(df)
         codes = ", ".join(
-            f"CASE WHEN {name}__place >= {len(labels)} THEN 0D ELSE {name}__place END AS {name}__code"
+            f"CASE WHEN `{name}__place` >= {len(labels)} THEN 0D ELSE `{name}__place` END AS `{name}__code`"
             for name, labels in zip(texts, indexer.labelsArray)
         )
         stages = [indexer, SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")]
@@ -130,15 +129,6 @@ def fit_validated(estimator, rows: DataFrame, folds: int = FOLDS, parallelism: i
     return Validated(best.bestModel, float(best.avgMetrics[0]), float(best.stdMetrics[0]))
 
 
-def _together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
-    """Run fits from driver threads, so their stages share the cluster."""
-    pool = ThreadPool(len(jobs))
-    try:
-        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
-    finally:
-        pool.close()
-
-
 def _probability(model, name: str):
     """Set the model to add one probability vector column and nothing else."""
     return model.setProbabilityCol(name).setRawPredictionCol("").setPredictionCol("")
@@ -184,7 +174,7 @@ def fit_propensity(
     rows = stratified_folds(rows, "label", "customer_id", folds).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_rows = rows.count()
-        plain, boosted = _together(
+        plain, boosted = together(
             modeling.sparkSession,
             lambda: fit_validated(logistic(n_rows), rows, folds), lambda: fit_validated(boosting.classifier(), rows, folds)
         )
@@ -312,7 +302,7 @@ def fit_two_models(
                 return fit_validated(boosting.classifier(), stratified_folds(part, "label", "customer_id", folds), folds)
             return Validated(boosting.classifier().fit(part), float("nan"), float("nan"))
 
-        control, treated = _together(modeling.sparkSession, lambda: fit(0), lambda: fit(1))
+        control, treated = together(modeling.sparkSession, lambda: fit(0), lambda: fit(1))
     finally:
         rows.unpersist()
     learner = Learner(encoder, features, control.model, treated.model, n_rows=n_rows)
@@ -336,7 +326,7 @@ def fit_crossed(modeling: DataFrame, boosting: Boosting = Boosting(), base: Lear
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        on_treated, on_control = _together(
+        on_treated, on_control = together(
             modeling.sparkSession,
             lambda: boosting.regressor().fit(rows.where(F.col("treatment") == 1)),
             lambda: boosting.regressor().fit(rows.where(F.col("treatment") == 0)),

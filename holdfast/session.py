@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -51,3 +54,12 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs from driver threads, so their stages share the cluster."""
+    pool = ThreadPool(len(jobs))
+    try:
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
+    finally:
+        pool.close()

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.schemas import SNAKE_CASE, TABLES
+from holdfast.session import together
 from holdfast.sources.files import read_required
 
 KEY = "customer_id"
@@ -63,7 +64,9 @@ def save_bucketed(flat: DataFrame, folder: str, prefix: str, buckets: int) -> di
         return spark.table(f"{prefix}{name}")
 
     placed = save(flat.repartition(buckets, KEY), "flat")
-    return {name: save(part, name) for name, part in split_tables(placed).items()}
+    parts = split_tables(placed)
+    saved = together(spark, *[partial(save, part, name) for name, part in parts.items()])
+    return dict(zip(parts, saved))
 
 
 def saved_tables(spark: SparkSession, prefix: str) -> dict[str, DataFrame] | None:

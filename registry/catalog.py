@@ -376,24 +376,28 @@ def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.ranked_scores(both_scores(spark, sf_dir), LEARNERS)
 
 
+def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.rank_steps(ranked(spark, sf_dir))
+
+
 @query
 def qini_curve(spark, sf_dir):
-    return _rounded(evaluation.qini_curve(ranked(spark, sf_dir)), 6, "fraction", "qini", "random_qini")
+    return _rounded(evaluation.qini_curve(steps(spark, sf_dir)), 6, "fraction", "qini", "random_qini")
 
 
 @query
 def qini_coefficients(spark, sf_dir):
-    return _rounded(evaluation.qini_coefficients(evaluation.qini_curve(ranked(spark, sf_dir))), 6, "qini_coefficient")
+    return _rounded(evaluation.qini_coefficients(evaluation.qini_curve(steps(spark, sf_dir))), 6, "qini_coefficient")
 
 
 @query
 def uplift_at_k(spark, sf_dir):
-    return _rounded(evaluation.uplift_at_k(ranked(spark, sf_dir)), 6, "effect", "capture_pct")
+    return _rounded(evaluation.uplift_at_k(steps(spark, sf_dir)), 6, "effect", "capture_pct")
 
 
 @query
 def cumulative_gain(spark, sf_dir):
-    return _rounded(evaluation.cumulative_gain(ranked(spark, sf_dir)), 6, "fraction", "gain")
+    return _rounded(evaluation.cumulative_gain(steps(spark, sf_dir)), 6, "fraction", "gain")
 
 
 @query

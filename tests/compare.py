@@ -6,6 +6,8 @@ from pathlib import Path
 
 import duckdb
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -21,13 +23,14 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
-    """What differs between the two results; values must be equal, not close."""
+    """What differs between the two results; types and values must be equal, not close."""
     theirs = con.execute(sql)
-    names = [d[0] for d in theirs.description]
-    expected = rows_of(names, theirs.fetchall())
+    kinds = {d[0]: str(d[1]) for d in theirs.description}
+    expected = rows_of(list(kinds), theirs.fetchall())
+    mine = {f.name: TYPES[f.dataType.simpleString()] for f in df.schema}
+    if mine != kinds:
+        return [f"types {mine} against {kinds}"]
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    if sorted(names) != sorted(df.columns):
-        return [f"columns {sorted(df.columns)} against {sorted(names)}"]
     if len(got) != len(expected):
         return [f"{len(got)} rows against {len(expected)}"]
-    return [f"{sorted(names)}: {a} against {b}" for a, b in zip(got, expected) if a != b]
+    return [f"{sorted(kinds)}: {a} against {b}" for a, b in zip(got, expected) if a != b]
