@@ -12,8 +12,10 @@ from holdfast.session import settle
 SMALL_ROWS = 10_000
 
 
-def attach(df: DataFrame, small: DataFrame, on: Sequence[str] | str, limit: int = SMALL_ROWS) -> DataFrame:
-    """Inner join on equal keys, null keys equal to each other.
+def attach(
+    df: DataFrame, small: DataFrame, on: Sequence[str] | str, limit: int = SMALL_ROWS, how: str = "inner"
+) -> DataFrame:
+    """Inner (or left) join on equal keys, null keys equal to each other.
 
     ``small`` is fetched up to ``limit`` rows. Within it, the rows become a local
     table and are broadcast. Beyond it, ``small`` is settled and the join is a
@@ -30,4 +32,4 @@ def attach(df: DataFrame, small: DataFrame, on: Sequence[str] | str, limit: int
         return df.select("*", *[side.select(name).scalar().alias(name) for name in small.columns])
     renamed = side.withColumnsRenamed({name: f"_r_{name}" for name in keys})
     condition = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in keys]
-    return df.join(renamed, condition, "inner").drop(*[f"_r_{name}" for name in keys])
+    return df.join(renamed, condition, how).drop(*[f"_r_{name}" for name in keys])

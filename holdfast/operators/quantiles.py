@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators.attach import attach
 from holdfast.operators.ranking import global_rank
+from holdfast.session import settle
+
+# The sketch places a value to within one row in this many.
+ACCURACY = 10_000
+# How far on either side of a share the sketch is asked for bounds.
+MARGIN = 4 / ACCURACY
+
+
+def _between(low: Column, high: Column, target: Column) -> Column:
+    """Linear between the values at the ranks around ``target``."""
+    return low + (high - low) * (target - F.floor(target))
 
 
 def percentiles_of_ranked(
@@ -29,38 +42,119 @@ def percentiles_of_ranked(
     if total is None:
         total = "_n"
         values = F.count(value).alias(total)
-        ranked = attach(ranked, ranked.groupBy(*groups).agg(values) if groups else ranked.agg(values), groups)
+        ranked = attach(ranked, ranked.groupBy(*groups).agg(values), groups)
     place = F.col(total) - F.col(rank) if descending else F.col(rank) - 1
 
     def at(share: float) -> Column:
         target = (F.col(total) - 1) * F.lit(share)
-        low = F.floor(target)
-        below = F.max(F.when(place == low, F.col(value)))
+        below = F.max(F.when(place == F.floor(target), F.col(value)))
         above = F.max(F.when(place == F.ceil(target), F.col(value)))
-        return below + (above - below) * F.max(target - low)
+        return _between(below, above, F.max(target))
 
-    results = [at(share).alias(name) for name, share in shares.items()]
-    return ranked.groupBy(*groups).agg(*results) if groups else ranked.agg(*results)
+    return ranked.groupBy(*groups).agg(*[at(share).alias(name) for name, share in shares.items()])
 
 
-def percentiles(
+def percentiles_by_rank(
     df: DataFrame, value: str, shares: Mapping[str, float], key: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact percentiles of a column: the rows next to each target are found by
-    global rank, so no task holds the values of a group."""
+    """Percentiles from a global rank of all values: one range shuffle, no sketch."""
     groups = list(by)
     narrow = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.col(key).alias("_k"))
     ranked = global_rank(narrow, [F.col("_v").asc(), F.col("_k").asc()], by=groups, rank="_rank", total="_total")
     return percentiles_of_ranked(ranked, "_v", shares, groups, rank="_rank", total="_total")
 
 
+def percentiles(
+    df: DataFrame, value: str, shares: Mapping[str, float], key: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact percentiles, one row (per group) with a column per named share.
+
+    A sketch brackets each target between two values of the data. Rows below,
+    at and between the two are counted. Mostly the target is one of the two; if
+    it is not, only the rows strictly between them, some ten-thousandths of the
+    data, are ranked. No value that many rows share can lie strictly between,
+    so ties cost nothing. Should the counts show that a sketch missed its
+    target, all rows are ranked instead.
+    """
+    groups, names = list(by), list(shares)
+    values = F.col("_v")
+    narrow = df.where(F.col(value).isNotNull()).select(
+        *groups, F.col(value).cast("double").alias("_v"), F.col(key).alias("_k")
+    )
+    ends = [min(1.0, max(0.0, share + side)) for share in shares.values() for side in (-MARGIN, MARGIN)]
+    sketch = narrow.groupBy(*groups).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
+    )
+    few = F.col("_n") <= ACCURACY
+    brackets = sketch.select(
+        *groups, "_n",
+        *[F.when(few, F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in range(len(names))],
+        *[F.when(few, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(names))],
+    )
+    bracketed = attach(narrow, brackets, groups)
+
+    def inside(i: int) -> Column:
+        return (values > F.col(f"_lo{i}")) & (values < F.col(f"_hi{i}"))
+
+    measures = [F.max("_n").alias("_n")]
+    for i in range(len(names)):
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        measures += [
+            F.max(low).alias(f"_lo{i}"), F.max(high).alias(f"_hi{i}"),
+            F.count_if(values < low).alias(f"_under{i}"), F.count_if(values <= low).alias(f"_from{i}"),
+            F.count_if(values < high).alias(f"_to{i}"), F.count_if(values <= high).alias(f"_upto{i}"),
+        ]
+    counts = settle(bracketed.groupBy(*groups).agg(*measures)).where(F.col("_n") > 0)
+
+    # (share, side) to the place counted from zero; places from _from to _to are strictly between.
+    targets = {i: (F.col("_n") - 1) * F.lit(share) for i, share in enumerate(shares.values())}
+    places = {(i, side): near(target) for i, target in targets.items() for side, near in ((0, F.floor), (1, F.ceil))}
+
+    def is_open(i: int, side: int) -> Column:
+        return (places[i, side] >= F.col(f"_from{i}")) & (places[i, side] < F.col(f"_to{i}"))
+
+    missed = [(place < F.col(f"_under{i}")) | (place >= F.col(f"_upto{i}")) for (i, _), place in places.items()]
+    if not counts.where(reduce(or_, missed)).isEmpty():
+        return percentiles_by_rank(df, value, shares, key, by)
+
+    open_somewhere = reduce(or_, [is_open(*spot) for spot in places])
+    if counts.where(open_somewhere).isEmpty():
+        found = counts.select("*", *[F.lit(None).cast("double").alias(f"_pick{i}_{side}") for i, side in places])
+    else:
+        wanted = [F.when(inside(i) & (is_open(i, 0) | is_open(i, 1)), F.lit(i)) for i in targets]
+        located = attach(narrow, counts, groups)
+        strict = located.select(*groups, "_v", "_k", F.explode(F.array_compact(F.array(*wanted))).alias("_share"))
+        ranked = global_rank(
+            strict, [F.col("_v").asc(), F.col("_k").asc()], by=[*groups, "_share"], rank="_rank", total="_total"
+        )
+        picks = attach(ranked, counts, groups).groupBy(*groups).agg(
+            *[
+                F.max(
+                    F.when((F.col("_share") == i) & (F.col("_rank") == place - F.col(f"_from{i}") + 1), values)
+                ).alias(f"_pick{i}_{side}")
+                for (i, side), place in places.items()
+            ]
+        )
+        found = attach(counts, picks, groups, how="left")
+
+    def at(i: int, side: int) -> Column:
+        place = places[i, side]
+        return (
+            F.when(place < F.col(f"_from{i}"), F.col(f"_lo{i}"))
+            .when(place >= F.col(f"_to{i}"), F.col(f"_hi{i}"))
+            .otherwise(F.col(f"_pick{i}_{side}"))
+        )
+
+    return found.select(*groups, *[_between(at(i, 0), at(i, 1), targets[i]).alias(name) for i, name in enumerate(names)])
+
+
 def median(df: DataFrame, value: str, key: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return percentiles(df, value, {name: 0.5}, key, by)
 
 
 def approximate_percentiles(
-    df: DataFrame, value: str, shares: Mapping[str, float], by: Sequence[str] = (), accuracy: int = 10_000
+    df: DataFrame, value: str, shares: Mapping[str, float], by: Sequence[str] = (), accuracy: int = ACCURACY
 ) -> DataFrame:
-    """One mergeable sketch instead of a sort; rank error up to rows / accuracy."""
-    results = [F.percentile_approx(value, share, accuracy).alias(name) for name, share in shares.items()]
-    return df.groupBy(*by).agg(*results) if by else df.agg(*results)
+    """The sketch alone; rank error up to rows / accuracy."""
+    return df.groupBy(*by).agg(*[F.percentile_approx(value, share, accuracy).alias(name) for name, share in shares.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.operators import attach as attach_module
-from holdfast.operators import ranking
+from holdfast.operators import quantiles, ranking
 from holdfast.operators.attach import attach
 from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.quantiles import median, percentiles
@@ -77,6 +77,44 @@ def test_percentiles_equal_numpy(skewed):
         assert got[name] == pytest.approx(np.percentile(values, 100 * share), abs=1e-12)
 
 
+@pytest.mark.parametrize("share", [0.0, 0.003, 0.25, 0.5, 0.61803, 0.9997, 1.0])
+def test_percentiles_of_many_distinct_values(spark, share):
+    """Enough rows that the sketch only brackets the target."""
+    rows = spark.range(50_021, numPartitions=5).select(
+        "id", (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("v"), F.when(F.col("id") % 50 == 0, "few").otherwise("many").alias("g")
+    )
+    values = rows.toPandas()
+    got = {r.g: r.p for r in percentiles(rows, "v", {"p": share}, "id", by=["g"]).collect()}
+    for group, part in values.groupby("g"):
+        assert got[group] == pytest.approx(np.percentile(part.v, 100 * share), rel=1e-13)
+    assert percentiles(rows, "v", {"p": share}, "id").first().p == pytest.approx(np.percentile(values.v, 100 * share), rel=1e-13)
+
+
+def test_percentiles_beside_a_hot_value(spark):
+    """A third of the rows share the value next to the target."""
+    rows = spark.range(30_000).select("id", F.when(F.col("id") < 10_000, 5.0).otherwise(F.col("id") / 1000.0 - 9).alias("v"))
+    values = rows.toPandas().v
+    shares = {f"p{i}": i / 40 for i in range(41)}
+    got = percentiles(rows, "v", shares, "id").first()
+    for name, share in shares.items():
+        assert got[name] == pytest.approx(np.percentile(values, 100 * share), rel=1e-13)
+
+
+def test_a_missed_bracket_falls_back_to_ranking(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", 10)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0)
+    rows = spark.range(5_000).select("id", F.pmod(F.xxhash64("id"), F.lit(100_003)).cast("double").alias("v"))
+    values = rows.toPandas().v
+    got = percentiles(rows, "v", {"a": 0.37, "b": 0.5}, "id").first()
+    assert (got.a, got.b) == (pytest.approx(np.percentile(values, 37)), pytest.approx(np.percentile(values, 50)))
+
+
+def test_median_of_nothing(spark):
+    empty = spark.createDataFrame([], "id long, g string, v double")
+    assert percentiles(empty, "v", {"m": 0.5}, "id", by=["g"]).count() == 0
+    assert median(empty.withColumn("v", F.lit(None).cast("double")), "v", "id").select(F.max("median")).first()[0] is None
+
+
 def test_median_by_group_ignores_nulls(spark):
     rows = spark.createDataFrame(
         [(1, "a", 1.0), (2, "a", 2.0), (3, "a", 10.0), (4, "a", None), (5, "b", 4.0), (6, "b", 6.0), (7, "c", None)],
