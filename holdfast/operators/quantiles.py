@@ -17,6 +17,9 @@ from holdfast.session import settle
 ACCURACY = 10_000
 # How far on either side of a share the sketch is asked for bounds.
 MARGIN = 4 / ACCURACY
+# Groups of up to this many values fit the built-in exact percentile, which holds
+# a group's distinct values in one task.
+SMALL_GROUP = 100_000
 
 
 def _between(low: Column, high: Column, target: Column) -> Column:
@@ -59,8 +62,8 @@ def percentiles_by_rank(
 ) -> DataFrame:
     """Percentiles from a global rank of all values: one range shuffle, no sketch."""
     groups = list(by)
-    narrow = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.col(key).alias("_k"))
-    ranked = global_rank(narrow, [F.col("_v").asc(), F.col("_k").asc()], by=groups, rank="_rank", total="_total")
+    rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"), F.col(key).alias("_k"))
+    ranked = global_rank(rows, [F.col("_v").asc(), F.col("_k").asc()], by=groups, rank="_rank", total="_total")
     return percentiles_of_ranked(ranked, "_v", shares, groups, rank="_rank", total="_total")
 
 
@@ -69,18 +72,31 @@ def percentiles(
 ) -> DataFrame:
     """Exact percentiles, one row (per group) with a column per named share.
 
-    A sketch brackets each target between two values of the data. Rows below,
-    at and between the two are counted. Mostly the target is one of the two; if
-    it is not, only the rows strictly between them, some ten-thousandths of the
-    data, are ranked. No value that many rows share can lie strictly between,
-    so ties cost nothing. Should the counts show that a sketch missed its
-    target, all rows are ranked instead.
+    The largest group is counted first. If it is small, the built-in percentile
+    serves all groups; if not, no task may hold a group's values.
     """
-    groups, names = list(by), list(shares)
-    values = F.col("_v")
+    groups = list(by)
     narrow = df.where(F.col(value).isNotNull()).select(
         *groups, F.col(value).cast("double").alias("_v"), F.col(key).alias("_k")
     )
+    sizes = narrow.groupBy(*groups).agg(F.count("*").alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= SMALL_GROUP:
+        exact = [F.percentile("_v", F.lit(share)).alias(name) for name, share in shares.items()]
+        return narrow.groupBy(*groups).agg(*exact)
+    return _bracketed_percentiles(narrow, shares, groups)
+
+
+def _bracketed_percentiles(narrow: DataFrame, shares: Mapping[str, float], groups: list[str]) -> DataFrame:
+    """Percentiles of ``_v`` without sorting all of it.
+
+    A sketch brackets each target between two values of the data. Rows below, at
+    and between the two are counted. Mostly the target is one of the two; if it
+    is not, only the rows strictly between them, some ten-thousandths of the
+    data, are ranked. No value that many rows share can lie strictly between, so
+    ties cost nothing. Should the counts show that the sketch missed a target,
+    all rows are ranked instead.
+    """
+    names, values = list(shares), F.col("_v")
     ends = [min(1.0, max(0.0, share + side)) for share in shares.values() for side in (-MARGIN, MARGIN)]
     sketch = narrow.groupBy(*groups).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
@@ -116,7 +132,7 @@ def percentiles(
 
     missed = [(place < F.col(f"_under{i}")) | (place >= F.col(f"_upto{i}")) for (i, _), place in places.items()]
     if not counts.where(reduce(or_, missed)).isEmpty():
-        return percentiles_by_rank(df, value, shares, key, by)
+        return percentiles_by_rank(narrow, "_v", shares, "_k", groups)
 
     open_somewhere = reduce(or_, [is_open(*spot) for spot in places])
     if counts.where(open_somewhere).isEmpty():

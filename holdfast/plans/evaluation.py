@@ -107,27 +107,21 @@ def uplift_at_k(steps: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> Dat
     Zeros where an arm is empty or the total effect is zero. ``percents`` are
     some of those the steps were made with.
     """
-    measures = [F.sum(name).alias(f"all_{name}") for name in _SUMS]
-    for k in percents:
-        inside = F.col("top") <= k
-        measures += [F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)).alias(f"p{k}_{name}") for name in _SUMS]
-    lines = [
-        F.struct(
-            F.lit(k).alias("k_pct"),
-            F.when(_effect("all_") != 0, F.coalesce(_effect(f"p{k}_"), F.lit(0.0))).otherwise(0.0).alias("effect"),
-            _effect("all_").alias("_all"),
-            F.floor(F.col("n_rows") * k / 100).alias("n_targeted"),
-            F.col(f"p{k}_n_t").alias("n_treated"),
-            F.col(f"p{k}_n_c").alias("n_control"),
-        )
-        for k in percents
-    ]
-    shares = steps.groupBy("learner", "n_rows").agg(*measures).select("learner", F.inline(F.array(*lines)))
-    return shares.select(
-        "learner", "k_pct", "effect",
-        F.coalesce(ratio(F.col("effect"), F.col("_all")) * (F.col("k_pct") / 100) * 100, F.lit(0.0)).alias("capture_pct"),
-        "n_targeted", "n_treated", "n_control",
+    cutoffs = F.explode(F.array(*[F.lit(k) for k in percents])).alias("k_pct")
+    inside = F.col("top") <= F.col("k_pct")
+    sums = steps.select("learner", "n_rows", "top", *_SUMS, cutoffs).groupBy("learner", "n_rows", "k_pct").agg(
+        *[F.sum(name).alias(f"all_{name}") for name in _SUMS],
+        *[F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)).alias(name) for name in _SUMS],
     )
+    share = F.col("k_pct") / 100
+    found = sums.select(
+        "learner", "k_pct", _effect("all_").alias("_all"),
+        F.when(_effect("all_") != 0, F.coalesce(_effect(), F.lit(0.0))).otherwise(0.0).alias("effect"),
+        F.floor(F.col("n_rows") * F.col("k_pct") / 100).alias("n_targeted"),
+        F.col("n_t").alias("n_treated"), F.col("n_c").alias("n_control"),
+    )
+    captured = F.coalesce(ratio(F.col("effect"), F.col("_all")) * share * 100, F.lit(0.0)).alias("capture_pct")
+    return found.select("learner", "k_pct", "effect", captured, "n_targeted", "n_treated", "n_control")
 
 
 def _metrics(steps: DataFrame, percents: Sequence[int]) -> DataFrame:

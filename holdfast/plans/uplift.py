@@ -26,18 +26,26 @@ def with_tenure_band(df: DataFrame) -> DataFrame:
     return df.withColumn("tenure_band", F.when(tenure <= 24, "0-24").when(tenure <= 48, "25-48").otherwise("49+"))
 
 
-def fit_cell_means(
-    df: DataFrame, cells: Sequence[str] = CELLS, names: tuple[str, str] = ("mu_0_control", "mu_1_treatment")
-) -> DataFrame:
+def cell_counts(df: DataFrame, cells: Sequence[str] = CELLS) -> DataFrame:
+    """Customers and churned customers per cell and arm: all a saturated learner needs."""
+    t, y = F.col("treatment"), F.col("churn_binary")
+    return df.groupBy(*cells).agg(
+        F.sum(1 - t).alias("n_c"), F.sum(t).alias("n_t"), F.sum((1 - t) * y).alias("y_c"), F.sum(t * y).alias("y_t")
+    )
+
+
+def _means(counts: DataFrame, mu_0: str, mu_1: str) -> DataFrame:
+    return counts.withColumns(
+        {mu_0: ratio(F.col("y_c"), F.col("n_c")), mu_1: ratio(F.col("y_t"), F.col("n_t"))}
+    )
+
+
+def fit_cell_means(df: DataFrame, cells: Sequence[str] = CELLS) -> DataFrame:
     """Churn rate per cell in each arm: the two-model learner with saturated models.
 
     An arm without rows in a cell gives null.
     """
-    churned = F.col("churn_binary")
-    return df.groupBy(*cells).agg(
-        mean_where(F.col("treatment") == 0, churned).alias(names[0]),
-        mean_where(F.col("treatment") == 1, churned).alias(names[1]),
-    )
+    return _means(cell_counts(df, cells), "mu_0_control", "mu_1_treatment").drop("n_c", "n_t", "y_c", "y_t")
 
 
 def score_by_cells(modeling: DataFrame, cells: Sequence[str] = CELLS) -> DataFrame:
@@ -47,27 +55,38 @@ def score_by_cells(modeling: DataFrame, cells: Sequence[str] = CELLS) -> DataFra
     return scored.drop("tenure_band").withColumn("uplift_score", F.col("mu_0_control") - F.col("mu_1_treatment"))
 
 
-def score_by_crossed_cells(
-    modeling: DataFrame,
-    cells: Sequence[str] = CELLS,
-    effect_cells: Sequence[str] = EFFECT_CELLS,
-    suffix: str = "_xl",
+def fit_crossed_cells(
+    df: DataFrame, cells: Sequence[str] = CELLS, effect_cells: Sequence[str] = EFFECT_CELLS, suffix: str = "_xl"
 ) -> DataFrame:
-    """The cross-imputed learner with saturated models.
+    """The cross-imputed learner with saturated models: means and effects per cell.
 
-    Effects are imputed with the other arm's cell mean, averaged per effect cell
-    within each arm, and mixed by the clipped propensity.
+    Effects are imputed with the other arm's cell mean and averaged within each
+    arm over the wider effect cells. The counts per cell suffice, so the rows are
+    read once. Cells where the other arm is empty give no effects.
     """
     mu_0, mu_1 = f"mu_0{suffix}", f"mu_1{suffix}"
-    rows = with_tenure_band(modeling)
-    scored = attach(rows, fit_cell_means(rows, cells, (mu_0, mu_1)), cells)
-    treated, churned = F.col("treatment") == 1, F.col("churn_binary")
-    effects = scored.groupBy(*effect_cells).agg(
-        mean_where(treated, churned - F.col(mu_0)).alias("_tau_1"),
-        mean_where(F.col("treatment") == 0, F.col(mu_1) - churned).alias("_tau_0"),
+    wide = W.partitionBy(*effect_cells)
+
+    def mean_effect(effects: Column, size: str) -> Column:
+        return ratio(F.sum(effects).over(wide), F.sum(F.when(effects.isNotNull(), F.col(size))).over(wide))
+
+    on_treated = F.col("y_t") - F.col("n_t") * F.col(mu_0)
+    on_control = F.col("n_c") * F.col(mu_1) - F.col("y_c")
+    return _means(cell_counts(df, cells), mu_0, mu_1).select(
+        *cells, mu_0, mu_1,
+        mean_effect(on_treated, "n_t").alias("_tau_1"),
+        mean_effect(on_control, "n_c").alias("_tau_0"),
     )
+
+
+def score_by_crossed_cells(
+    modeling: DataFrame, cells: Sequence[str] = CELLS, effect_cells: Sequence[str] = EFFECT_CELLS, suffix: str = "_xl"
+) -> DataFrame:
+    """Modeling rows with the crossed learner's outcomes, and its effects mixed by the clipped propensity."""
+    rows = with_tenure_band(modeling)
+    scored = attach(rows, fit_crossed_cells(rows, cells, effect_cells, suffix), cells)
     uplift = combine_effects(F.col("_tau_0"), F.col("_tau_1"), F.col("propensity_score"))
-    return attach(scored, effects, effect_cells).select(*modeling.columns, uplift.alias(f"uplift_score{suffix}"), mu_0, mu_1)
+    return scored.select(*modeling.columns, uplift.alias(f"uplift_score{suffix}"), f"mu_0{suffix}", f"mu_1{suffix}")
 
 
 def combine_effects(tau_0: Column, tau_1: Column, propensity: Column) -> Column:

@@ -251,8 +251,9 @@ def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def both_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both learners' scores added to the same rows."""
-    return uplift.score_by_crossed_cells(scored(spark, sf_dir))
+    """Both learners' scores on the same rows; they share the cell means."""
+    crossed = uplift.score_by_crossed_cells(modeling(spark, sf_dir))
+    return crossed.withColumn("uplift_score", F.col("mu_0_xl") - F.col("mu_1_xl"))
 
 
 @query

@@ -15,6 +15,12 @@ from holdfast.operators.quantiles import median, percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
 
 
+@pytest.fixture
+def all_groups_large(monkeypatch):
+    """Percentiles take the way for groups that do not fit one task."""
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """20,000 rows; one score holds a third of them and one group most of them."""
@@ -69,7 +75,9 @@ def test_tile_equals_ntile(spark, n, k):
     assert both.where("a <> b").count() == 0
 
 
-def test_percentiles_equal_numpy(skewed):
+@pytest.mark.parametrize("small_group", [0, 100_000])
+def test_percentiles_equal_numpy(skewed, monkeypatch, small_group):
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", small_group)
     shares = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p70": 0.7, "p100": 1.0}
     got = percentiles(skewed, "score", shares, "id").first()
     values = np.array([r.score for r in skewed.select("score").collect()])
@@ -78,7 +86,7 @@ def test_percentiles_equal_numpy(skewed):
 
 
 @pytest.mark.parametrize("share", [0.0, 0.003, 0.25, 0.5, 0.61803, 0.9997, 1.0])
-def test_percentiles_of_many_distinct_values(spark, share):
+def test_percentiles_of_many_distinct_values(spark, all_groups_large, share):
     """Enough rows that the sketch only brackets the target."""
     rows = spark.range(50_021, numPartitions=5).select(
         "id", (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("v"), F.when(F.col("id") % 50 == 0, "few").otherwise("many").alias("g")
@@ -90,7 +98,7 @@ def test_percentiles_of_many_distinct_values(spark, share):
     assert percentiles(rows, "v", {"p": share}, "id").first().p == pytest.approx(np.percentile(values.v, 100 * share), rel=1e-13)
 
 
-def test_percentiles_beside_a_hot_value(spark):
+def test_percentiles_beside_a_hot_value(spark, all_groups_large):
     """A third of the rows share the value next to the target."""
     rows = spark.range(30_000).select("id", F.when(F.col("id") < 10_000, 5.0).otherwise(F.col("id") / 1000.0 - 9).alias("v"))
     values = rows.toPandas().v
@@ -100,7 +108,7 @@ def test_percentiles_beside_a_hot_value(spark):
         assert got[name] == pytest.approx(np.percentile(values, 100 * share), rel=1e-13)
 
 
-def test_a_missed_bracket_falls_back_to_ranking(spark, monkeypatch):
+def test_a_missed_bracket_falls_back_to_ranking(spark, all_groups_large, monkeypatch):
     monkeypatch.setattr(quantiles, "ACCURACY", 10)
     monkeypatch.setattr(quantiles, "MARGIN", 0.0)
     rows = spark.range(5_000).select("id", F.pmod(F.xxhash64("id"), F.lit(100_003)).cast("double").alias("v"))
@@ -115,7 +123,9 @@ def test_median_of_nothing(spark):
     assert median(empty.withColumn("v", F.lit(None).cast("double")), "v", "id").select(F.max("median")).first()[0] is None
 
 
-def test_median_by_group_ignores_nulls(spark):
+@pytest.mark.parametrize("small_group", [0, 100_000])
+def test_median_by_group_ignores_nulls(spark, monkeypatch, small_group):
+    monkeypatch.setattr(quantiles, "SMALL_GROUP", small_group)
     rows = spark.createDataFrame(
         [(1, "a", 1.0), (2, "a", 2.0), (3, "a", 10.0), (4, "a", None), (5, "b", 4.0), (6, "b", 6.0), (7, "c", None)],
         "id long, g string, v double",
