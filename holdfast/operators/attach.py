@@ -24,12 +24,13 @@ def attach(
     """
     keys = [on] if isinstance(on, str) else list(on)
     fetched = small.limit(limit + 1).toArrow()
+    if not keys:
+        (row,) = fetched.to_pylist()
+        return df.select("*", *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in small.schema])
     if fetched.num_rows <= limit:
         side = F.broadcast(df.sparkSession.createDataFrame(fetched, schema=small.schema))
     else:
         side = settle(small)
-    if not keys:
-        return df.select("*", *[side.select(name).scalar().alias(name) for name in small.columns])
     renamed = side.withColumnsRenamed({name: f"_r_{name}" for name in keys})
     condition = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in keys]
     return df.join(renamed, condition, how).drop(*[f"_r_{name}" for name in keys])

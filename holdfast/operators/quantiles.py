@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators.attach import attach
 from holdfast.operators.ranking import global_rank
-from holdfast.session import settle
+from holdfast.session import settle, store
 
 # The sketch places a value to within one row in this many.
 ACCURACY = 10_000
@@ -79,14 +79,31 @@ def percentiles(
     narrow = df.where(F.col(value).isNotNull()).select(
         *groups, F.col(value).cast("double").alias("_v"), F.col(key).alias("_k")
     )
-    sizes = narrow.groupBy(*groups).agg(F.count("*").alias("_n"))
-    if (sizes.agg(F.max("_n")).first()[0] or 0) <= SMALL_GROUP:
+    brackets = settle(_brackets(narrow, shares, groups))
+    if (brackets.agg(F.max("_n")).first()[0] or 0) <= SMALL_GROUP:
         exact = [F.percentile("_v", F.lit(share)).alias(name) for name, share in shares.items()]
         return narrow.groupBy(*groups).agg(*exact)
-    return _bracketed_percentiles(narrow, shares, groups)
+    return _bracketed_percentiles(narrow, brackets, shares, groups)
 
 
-def _bracketed_percentiles(narrow: DataFrame, shares: Mapping[str, float], groups: list[str]) -> DataFrame:
+def _brackets(narrow: DataFrame, shares: Mapping[str, float], groups: list[str]) -> DataFrame:
+    """Per group its size and, per share, two values with the target from one to the other."""
+    ends = [min(1.0, max(0.0, share + side)) for share in shares.values() for side in (-MARGIN, MARGIN)]
+    sketch = narrow.groupBy(*groups).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
+    )
+    few = F.col("_n") <= ACCURACY
+    return sketch.select(
+        *groups, "_n",
+        *[F.when(few, F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in range(len(shares))],
+        *[F.when(few, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(shares))],
+    )
+
+
+def _bracketed_percentiles(
+    narrow: DataFrame, brackets: DataFrame, shares: Mapping[str, float], groups: list[str]
+) -> DataFrame:
     """Percentiles of ``_v`` without sorting all of it.
 
     A sketch brackets each target between two values of the data. Rows below, at
@@ -97,17 +114,6 @@ def _bracketed_percentiles(narrow: DataFrame, shares: Mapping[str, float], group
     all rows are ranked instead.
     """
     names, values = list(shares), F.col("_v")
-    ends = [min(1.0, max(0.0, share + side)) for share in shares.values() for side in (-MARGIN, MARGIN)]
-    sketch = narrow.groupBy(*groups).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
-    )
-    few = F.col("_n") <= ACCURACY
-    brackets = sketch.select(
-        *groups, "_n",
-        *[F.when(few, F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in range(len(names))],
-        *[F.when(few, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(names))],
-    )
     bracketed = attach(narrow, brackets, groups)
 
     def inside(i: int) -> Column:
@@ -138,9 +144,10 @@ def _bracketed_percentiles(narrow: DataFrame, shares: Mapping[str, float], group
     if counts.where(open_somewhere).isEmpty():
         found = counts.select("*", *[F.lit(None).cast("double").alias(f"_pick{i}_{side}") for i, side in places])
     else:
-        wanted = [F.when(inside(i) & (is_open(i, 0) | is_open(i, 1)), F.lit(i)) for i in targets]
-        located = attach(narrow, counts, groups)
-        strict = located.select(*groups, "_v", "_k", F.explode(F.array_compact(F.array(*wanted))).alias("_share"))
+        hits = [inside(i) & (is_open(i, 0) | is_open(i, 1)) for i in targets]
+        located = attach(narrow, counts, groups).where(reduce(or_, hits))
+        hit_shares = F.array_compact(F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(hits)]))
+        strict = store(located.select(*groups, "_v", "_k", F.explode(hit_shares).alias("_share")))
         ranked = global_rank(
             strict, [F.col("_v").asc(), F.col("_k").asc()], by=[*groups, "_share"], rank="_rank", total="_total"
         )

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.operators.attach import attach
-from holdfast.session import settle
+from holdfast.session import store
 
 # monotonically_increasing_id keeps the partition in the bits above these.
 _POSITION_BITS = 33
@@ -26,15 +26,15 @@ def global_rank(
     """Add a row number over the whole frame (or per ``by`` group) and the row count.
 
     Rows are range partitioned on (by, order), sorted inside each partition and
-    settled, so a row's place is its position plus the sizes of the partitions
-    before it. Ties of any size spread over partitions as long as ``order`` ends
+    stored with partition and position, so a row's place is its position plus the
+    sizes of the partitions before it. Ties of any size spread over partitions as long as ``order`` ends
     in a unique key. Only the table of partition sizes is ever in one task.
     """
     groups = list(by)
     keys = [F.col(name).asc_nulls_first() for name in groups] + list(order)
     spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     slot = F.monotonically_increasing_id()
-    placed = settle(
+    placed = store(
         spread.sortWithinPartitions(*keys).withColumn("_slot", slot).select(
             "*",
             F.shiftright("_slot", _POSITION_BITS).alias("_block"),

@@ -25,7 +25,7 @@ from holdfast.operators.quantiles import median
 from holdfast.operators.ranking import global_rank
 from holdfast.plans.effects import PROPENSITY_FEATURES
 from holdfast.plans.uplift import combine_effects
-from holdfast.session import settle, shared_folder, together
+from holdfast.session import shared_folder, store, together
 
 # Columns that are no features (key, arm, outcome, leak, duplicate).
 NOT_FEATURES = ["customer_id", "treatment", "churn_binary", "revenue_at_risk", "tenure_bucket"]
@@ -309,7 +309,7 @@ def fit_two_models(
     if validate:
         learner.auc = {"control": (control.auc_mean, control.auc_std), "treated": (treated.auc_mean, treated.auc_std)}
     # Ranking reads its input twice; scoring it once is cheaper.
-    risk = settle(learner.outcomes(modeling).select("customer_id", "mu_0_control"))
+    risk = store(learner.outcomes(modeling).select("customer_id", "mu_0_control"))
     learner.risk_threshold = median(risk, "mu_0_control", "customer_id").first()[0]
     return learner
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -49,15 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage.
-
-    Later reads see the same rows in the same partitions even after executors
-    are lost, which row positions rely on.
-    """
+    """Compute a small ``df`` once into the shared folder and cut its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into a Parquet folder of this application and read from there.
+
+    For rows that several jobs read: each reads only its columns, and lost
+    executors change nothing. The folder may be removed once the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/holdfast-{spark.sparkContext.applicationId}/{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run independent jobs from driver threads, so their stages share the cluster."""
     pool = ThreadPool(len(jobs))

@@ -17,7 +17,7 @@ from holdfast.operators.quantiles import approximate_percentiles, percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
 from holdfast.plans import campaign, effects, evaluation, fairness, learners, retention, scoring, uplift
 from holdfast.schemas import RAW_CUSTOMERS, REQUEST, SNAKE_CASE
-from holdfast.session import settle, shared_folder
+from holdfast.session import settle, shared_folder, store
 from holdfast.sources import files
 from holdfast.sources import tables as layout
 from holdfast.streaming import scoring as streaming
@@ -408,7 +408,7 @@ def learner_report(spark, sf_dir):
 
 @query
 def compare_learners(spark, sf_dir):
-    rows = settle(both_scores(spark, sf_dir).select("customer_id", "treatment", "churn_binary", *LEARNERS.values()))
+    rows = store(both_scores(spark, sf_dir).select("customer_id", "treatment", "churn_binary", *LEARNERS.values()))
     first, second = LEARNERS.items()
     return evaluation.compare_learners(rows, first, second)
 
