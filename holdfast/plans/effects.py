@@ -11,6 +11,8 @@ from holdfast.functions.customer import SCORE_CEILING, SCORE_FLOOR
 from holdfast.functions.numeric import clip, fixed, mean_where, ratio
 
 BALANCE_LIMIT = 0.10
+# Wording of a direction.
+REDUCES, INCREASES = "Offer REDUCES churn", "Offer INCREASES churn"
 
 # Covariates of the propensity model, in order.
 PROPENSITY_FEATURES = [
@@ -70,7 +72,7 @@ def ate_comparison(df: DataFrame, propensity: str = "propensity_score", digits:
     estimates = effect_estimates(df, propensity)
 
     def direction(effect: str) -> Column:
-        return F.when(F.col(effect) > 0, "Offer REDUCES churn").otherwise("Offer INCREASES churn")
+        return F.when(F.col(effect) > 0, REDUCES).otherwise(INCREASES)
 
     return estimates.select(
         *[fixed(F.col(name), digits).alias(name) for name in estimates.columns],

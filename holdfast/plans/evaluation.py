@@ -19,6 +19,8 @@ TOP_PERCENTS = (10, 20, 30, 40, 50)
 GAIN_START = 100
 AGREEMENT = 0.7
 QINI_TOLERANCE = 0.001
+# Wording of the agreement.
+AGREE, DISAGREE = "High agreement", "Methods disagree significantly"
 
 
 def ranked_scores(
@@ -158,7 +160,7 @@ def learner_report(ranked: DataFrame) -> DataFrame:
 
 
 def _agreement(r: Column) -> Column:
-    return F.when(r > AGREEMENT, "High agreement").otherwise("Methods disagree significantly")
+    return F.when(r > AGREEMENT, AGREE).otherwise(DISAGREE)
 
 
 def score_correlation(df: DataFrame, first: str, second: str) -> DataFrame:

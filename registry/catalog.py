@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions import customer, segments
-from holdfast.functions.numeric import fixed, lenient_number, yes_flag
+from holdfast.functions.numeric import fixed
 from holdfast.operators import checks
 from holdfast.operators.attach import attach
 from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.quantiles import approximate_percentiles, percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
-from holdfast.plans import campaign, effects, evaluation, fairness, learners, retention, scoring, uplift
+from holdfast.plans import campaign, effects, evaluation, fairness, intake, learners, retention, scoring, uplift
 from holdfast.schemas import RAW_CUSTOMERS, REQUEST, SNAKE_CASE
 from holdfast.session import settle, shared_folder, store
 from holdfast.sources import files
@@ -66,24 +66,15 @@ def customer_csv_round_trip(spark, sf_dir):
     return files.first_available(spark, [f"{folder}/absent", f"{folder}/customers"], RAW_CUSTOMERS)
 
 
-def cleaned(raw: DataFrame) -> DataFrame:
-    return raw.withColumns(
-        {
-            "TotalCharges": F.coalesce(lenient_number(F.col("TotalCharges")), F.lit(0.0)),
-            "Churn_Binary": yes_flag(F.col("Churn")),
-        }
-    )
-
-
 @query
 def cleaned_customers(spark, sf_dir):
-    return layout.snake_case(cleaned(raw_customers(spark, sf_dir)))
+    return layout.snake_case(intake.clean(raw_customers(spark, sf_dir)))
 
 
 @query
 def enriched_customers(spark, sf_dir):
     """Lifetime value and the training form of the risk score, with the top 30 percent marked."""
-    rows = layout.snake_case(cleaned(raw_customers(spark, sf_dir)))
+    rows = layout.snake_case(intake.clean(raw_customers(spark, sf_dir)))
     tenure, monthly, contract = F.col("tenure_months"), F.col("monthly_charges"), F.col("contract_type")
     rows = rows.select(
         "customer_id",
@@ -94,6 +85,21 @@ def enriched_customers(spark, sf_dir):
     return rows.withColumn("high_risk", (F.col("risk_score") > limit).cast("int"))
 
 
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intake.enrich(intake.clean(raw_customers(spark, sf_dir)))
+
+
+@query
+def enriched_export(spark, sf_dir):
+    """The export with its added columns; the drawn offer has no SQL equal and is left out."""
+    return enriched(spark, sf_dir).drop("Marketing_Offer_Given")
+
+
+@query
+def enriched_export_checks(spark, sf_dir):
+    return intake.check_enriched(enriched(spark, sf_dir))
+
+
 @query
 def offer_assignment(spark, sf_dir):
     """Offers drawn by a hash of the key with each customer's propensity."""

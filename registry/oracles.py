@@ -208,6 +208,23 @@ oracle(
         + " AS risk_score FROM flat)",
     ),
 )
+_enriched = {f.name: SNAKE_CASE[f.name] for f in RAW_CUSTOMERS} | {
+    "customerID": "CAST(customer_id AS VARCHAR)",
+    "TotalCharges": "CASE WHEN tenure_months = 0 THEN 0 ELSE total_charges END",
+    "Churn_Binary": "CASE churn_label WHEN 'Yes' THEN 1 ELSE 0 END",
+    "Propensity_Score": "propensity_score",
+    "Customer_Lifetime_Value": "customer_lifetime_value",
+}
+oracle("enriched_export", "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _enriched.items()) + " FROM flat")
+oracle(
+    "enriched_export_checks",
+    "SELECT *, n_bad = 0 AS passed FROM ("
+    "SELECT 'Churn_Binary in 0,1' AS \"check\", COUNT(*) FILTER (churn_binary NOT IN (0, 1)) AS n_bad FROM flat UNION ALL "
+    "SELECT 'Marketing_Offer_Given in 0,1', COUNT(*) FILTER (marketing_offer_given NOT IN (0, 1)) FROM flat UNION ALL "
+    "SELECT 'Propensity_Score in [0,1]', COUNT(*) FILTER (propensity_score NOT BETWEEN 0 AND 1) FROM flat UNION ALL "
+    "SELECT 'Customer_Lifetime_Value > 0', COUNT(*) FILTER (customer_lifetime_value <= 0) FROM flat UNION ALL "
+    "SELECT 'customerID unique', COUNT(*) - COUNT(DISTINCT customer_id) FROM flat)",
+)
 for _name, _schema in TABLES.items():
     oracle(f"table_{_name}", f"SELECT * FROM {_name}")
 oracle("table_refresh_and_append", "SELECT * FROM marketing")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from holdfast.operators.ranking import global_rank
 from holdfast.plans import campaign, effects, fairness, retention, uplift
 from holdfast.sources.derived import flat_customers
 
@@ -81,6 +82,15 @@ def test_no_plan_multiplies_rows(small_modeling):
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
 
 
+def test_ranking_gathers_only_partition_sizes(small_modeling):
+    ranked = global_rank(small_modeling.select("customer_id", "clv"), [F.desc("clv"), F.asc("customer_id")])
+    tree = plan(ranked).split("\n\n")[0]
+    below = tree[tree.index("Exchange", tree.index("Window")) :]
+    # The one gathering exchange sits on counts per partition, not on customers.
+    assert len(re.findall("Exchange", below)) == 2 and "HashAggregate" in below.splitlines()[1]
+    assert plan(ranked).count("SinglePartition") == 1
+
+
 def test_customer_rows_never_meet_in_one_partition(small_modeling):
     segmented = uplift.segment(uplift.score_by_cells(small_modeling)).select("customer_id", F.col("quadrant"))
     assert "SinglePartition" not in plan(segmented).split("Subqueries")[0]

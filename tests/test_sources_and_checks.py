@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from holdfast.operators import checks
 from holdfast.operators.star import star
+from holdfast.plans import intake
 from holdfast.schemas import ENRICHED_COLUMNS, RAW_CUSTOMERS, TABLES
 from holdfast.sources import files, tables as layout
 
@@ -85,3 +87,20 @@ def test_join_completeness_notices_a_lost_row(small_tables):
     assert not checks.join_is_complete(lost).first().passed
     assert checks.is_non_empty(star(lost))
     assert not checks.is_non_empty(star(lost).limit(0))
+
+
+def test_an_export_becomes_five_tables(spark, tmp_path):
+    from registry.catalog import raw_customers
+
+    path = str(tmp_path / "export")
+    files.write_csv(raw_customers(spark, SMALL), path)
+    raw = files.first_available(spark, [str(tmp_path / "absent"), path], RAW_CUSTOMERS)
+    with pytest.raises(checks.CheckFailed, match="missing columns: Customer_Lifetime_Value"):
+        intake.check_enriched(intake.clean(raw))
+    enriched = intake.enrich(intake.clean(raw))
+    checks.require(intake.check_enriched(enriched))
+    made = intake.five_tables(enriched)
+    checks.require(checks.check_tables(made))
+    assert {name: t.columns for name, t in made.items()} == {name: s.fieldNames() for name, s in TABLES.items()}
+    given = intake.enrich(intake.clean(raw), propensity=F.lit(0.123456), offer=F.lit(1)).first()
+    assert (given.Propensity_Score, given.Marketing_Offer_Given) == (0.1235, 1)
