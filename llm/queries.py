@@ -42,3 +42,19 @@ WITH v AS (
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
 """
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.tokenfiles import token_counts
+    from llm.tokens import word_bpe_path
+
+    return token_counts(table(spark, sf_dir, "documents"), word_bpe_path())
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.packing import pack_documents
+    from llm.tokens import word_bpe_path
+
+    return pack_documents(table(spark, sf_dir, "documents"), word_bpe_path(), capacity=2048, separator=0)
