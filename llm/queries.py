@@ -58,3 +58,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from llm.tokens import word_bpe_path
 
     return pack_documents(table(spark, sf_dir, "documents"), word_bpe_path(), capacity=2048, separator=0)
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
