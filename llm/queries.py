@@ -72,3 +72,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from llm.toxicity import toxicity_scores
 
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.decontaminate import benchmark_overlaps
+
+    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
