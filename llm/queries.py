@@ -79,3 +79,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from llm.decontaminate import benchmark_overlaps
 
     return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from llm.pii import KINDS, personal_data, spans_text
+
+    rows = personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    counts = {f"n_{kind}": count(kind) for kind in KINDS}
+    every = F.array_sort(F.array_union("base", "added"))
+    digest = F.sha2(spans_text(F.col("base")).cast("binary"), 256)
+    return rows.withColumns({**counts, "base_sha256": digest, "spans": spans_text(every)}).select("doc_id", *counts, "base_sha256", "spans")

@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from llm.common import rows_in_batches, stored
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
-#: Tasks that share the candidate blocks of one query block.
-SHARES = 8
+#: Candidate blocks that meet a query block in one task, one after the other.
+IN_TURN = 4
+#: Share of pairs under which they are looked at one by one.
+FEW = 0.05
 LEVELS = (1, 4, 16)
 PACKED = "side string, block long, ids binary, width int, cells binary"
 PACKED_SCHEMA = pa.schema([("side", pa.string()), ("block", pa.int64()), ("ids", pa.binary()), ("width", pa.int32()), ("cells", pa.binary())])
@@ -98,10 +100,11 @@ def _stats(cells: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact inner products of all rows; float64 is exact while every sum stays below 2^53."""
+    """Exact inner products of all rows; floats are exact while every sum stays below 2^24 or 2^53."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[-1])
     if top < 2**53:
-        return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
+        kind = np.float32 if top < 2**24 else np.float64
+        return (q.astype(kind) @ c.astype(kind).T).astype(np.int64)
     return q @ c.T
 
 
@@ -115,32 +118,49 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.arange(len(scores))
 
 
+def _survivors(alive: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Pairs whose bound reaches ``least`` of their query: by one product while many are alive, pair by pair when few are."""
+    if alive.mean() > FEW:
+        return alive & (left @ right.T >= least[:, None])
+    i, j = np.nonzero(alive)
+    keep = np.einsum("ij,ij->i", left[i], right[j]) >= least[i]
+    out = np.zeros_like(alive)
+    out[i[keep], j[keep]] = True
+    return out
+
+
 def top_of_blocks(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int, held: list) -> None:
     """Bring ``held``, the best (scores, ids) of each query so far, up to date with one block of candidates."""
     dim = max(q.shape[1], c.shape[1], 1)
     q, c = (np.pad(m, ((0, 0), (0, dim - m.shape[1]))) for m in (q, c))
     levels = [p for p in LEVELS if p <= dim]
-    q_stats, c_stats = [_stats(q, p) for p in levels], [_stats(c, p) for p in levels]
-    norms = np.linalg.norm(q.astype(np.float64), axis=1) * np.linalg.norm(c.astype(np.float64), axis=1).max(initial=0)
-    slack = 1e-9 * norms + 1e-6
-    dense = [a @ b.T for a, b in zip(q_stats[:2], c_stats[:2])]
-    for i, mine in enumerate(q_ids):
-        alive = np.flatnonzero(c_ids != mine)
-        scores, ids = held[i]
-        if len(scores) < k and len(alive):
-            # The best by the denser bound fill the places that are open, so that there is a score to reach.
-            lead = alive if len(alive) <= k else alive[np.argpartition(dense[-1][i, alive], len(alive) - k)[len(alive) - k :]]
-            scores, ids = np.concatenate([scores, _scores(q[i : i + 1], c[lead])[0]]), np.concatenate([ids, c_ids[lead]])
-            alive = np.setdiff1d(alive, lead, assume_unique=True)
-        if len(scores) >= k:
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            for level in range(len(levels)):
-                bound = dense[level][i, alive] if level < len(dense) else c_stats[level][alive] @ q_stats[level][i]
-                alive = alive[bound + slack[i] >= least]
-        if len(alive):
-            scores, ids = np.concatenate([scores, _scores(q[i : i + 1], c[alive])[0]]), np.concatenate([ids, c_ids[alive]])
-        best = _best(scores, ids, k)
-        held[i] = scores[best], ids[best]
+    stats = [(_stats(q, p), _stats(c, p)) for p in levels]
+    slack = 1e-9 * np.linalg.norm(q.astype(np.float64), axis=1) * np.linalg.norm(c.astype(np.float64), axis=1).max(initial=0) + 1e-6
+    alive = c_ids[None, :] != q_ids[:, None]
+
+    # The best by a middle bound fill the places that are still open, so that every query has a score to reach.
+    if any(len(scores) < k for scores, _ in held):
+        bound = np.where(alive, stats[len(levels) // 2][0] @ stats[len(levels) // 2][1].T, -np.inf)
+        for i, (scores, ids) in enumerate(held):
+            if len(scores) < k:
+                lead = np.argpartition(bound[i], len(c) - k)[len(c) - k :] if len(c) > k else np.arange(len(c))
+                lead = lead[alive[i, lead]]
+                held[i] = np.concatenate([scores, _scores(q[i : i + 1], c[lead])[0]]), np.concatenate([ids, c_ids[lead]])
+                alive[i, lead] = False
+    least = np.array([np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else -np.inf for s, _ in held])
+    for left, right in stats:
+        alive = _survivors(alive, left, right, least - slack)
+
+    scores = _scores(q, c) if alive.mean() > FEW else None
+    for i in range(len(q_ids)):
+        rest = np.flatnonzero(alive[i])
+        mine, ids = held[i]
+        if len(rest):
+            exact = scores[i, rest] if scores is not None else _scores(q[i : i + 1], c[rest])[0]
+            better = exact >= least[i]
+            mine, ids = np.concatenate([mine, exact[better]]), np.concatenate([ids, c_ids[rest[better]]])
+        best = _best(mine, ids, k)
+        held[i] = mine[best], ids[best]
 
 
 def _searcher(k: int):
@@ -175,8 +195,8 @@ def _searcher(k: int):
 def exact_top_k(df: DataFrame, k: int = 20, query_step: int = 20, scale: float = 64.0, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest inner products of every query against all other rows.
 
-    Queries are the rows whose id is divisible by ``query_step``. Runs one job that
-    packs the blocks; the search itself is lazy.
+    Queries are the rows whose id is divisible by ``query_step``. Runs the
+    packing of blocks at once; the search itself is lazy.
     """
     vectors = whole_vectors(df, id_column, vector_column, scale)
     blocks = stored(vectors.mapInArrow(_packer(query_step), PACKED), "blocks")
@@ -184,11 +204,11 @@ def exact_top_k(df: DataFrame, k: int = 20, query_step: int = 20, scale: float =
         blocks.filter(F.col("side") == side).select(*[F.col(x).alias(f"{side}_{x}") for x in ("block", "ids", "width", "cells")])
         for side in ("q", "c")
     )
-    # Only block numbers are paired; blocks, of bounded size, then go to the pairs by number.
-    pairs = c.select("c_block").withColumn("all", F.lit(1)).join(q.select("q_block").withColumn("all", F.lit(1)), "all").drop("all")
-    pairs = pairs.join(q, "q_block").join(c, "c_block")
-    share = F.pmod(F.xxhash64("c_block"), F.lit(SHARES))
-    pairs = pairs.repartition(F.xxhash64("q_block", share)).sortWithinPartitions("q_block")
+    # A query block goes to every share of the candidate blocks; a share is a few blocks, and there are more with more rows.
+    shares = max(1, c.count() // IN_TURN)
+    pairs = q.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    pairs = pairs.join(c.withColumn("share", F.pmod(F.xxhash64("c_block"), F.lit(shares)).cast("int")), "share")
+    pairs = pairs.repartition(F.xxhash64("q_block", "share")).sortWithinPartitions("q_block")
     found = pairs.select("q_block", "q_ids", "q_width", "q_cells", "c_ids", "c_width", "c_cells").mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
     best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))), 1, k).alias("best"))
     out = best.select("query_id", F.posexplode("best").alias("place", "b"))
