@@ -93,3 +93,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = F.array_sort(F.array_union("base", "added"))
     digest = F.sha2(spans_text(F.col("base")).cast("binary"), 256)
     return rows.withColumns({**counts, "base_sha256": digest, "spans": spans_text(every)}).select("doc_id", *counts, "base_sha256", "spans")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), width=13, deepest=13).drop("longest")
