@@ -100,3 +100,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from llm.substrings import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"), width=13, deepest=13).drop("longest")
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from llm.lines import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
