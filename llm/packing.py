@@ -34,7 +34,7 @@ from llm.tokens import word_tokens
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 #: Pieces of one length that one task ranks.
-RANKED = 20_000
+RANKED = 5_000
 #: Fillings that are weighed for one longest piece, and steps of the search as a whole.
 FILLINGS, NODES = 6, 20_000
 

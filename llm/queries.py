@@ -110,3 +110,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from llm.jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
