@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import PACKED_DDL, bucket_count, each_bucket, gathered, group_starts, packed
-from llm.common import WORDS, as_batch, mixed, rows_in_batches, shingle_hashes, stored
+from llm.common import WORDS, as_batch, mixed, row_key, rows_in_batches, shingle_hashes, stored
 from llm.components import components
 
 LAST = (1 << 63) - 1
@@ -44,7 +44,7 @@ LAST = (1 << 63) - 1
 COUNTERS, PAGE = 1 << 20, 1 << 14
 HUBS = 3
 ENTRY = np.dtype([("h", "<u8"), ("prefix", "<i8"), ("n", "<i4"), ("at", "<i4")])
-INFO = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64())])
+INFO = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64())])
 LISTED = pa.schema([("token", pa.int64()), ("prefix", pa.int64()), ("n", pa.int64()), ("at", pa.int32())])
 
 
@@ -149,8 +149,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
     Two sets are linked when 100 * intersection >= percent * union. Runs the join at
     once; the result is lazy.
     """
+    real = lambda c: F.when(F.col(c) < LAST, F.col(c))
+    rows = _rows(docs, width, percent, hubs)
+    return rows.select(real("doc").alias("doc_id"), F.col("n").alias("n_shingles"), real("smallest").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, hubs: int = HUBS) -> DataFrame:
+    """One row of each component, the one with the smallest id (of rows that share it, any one), with all its columns.
+
+    Rows without a set all stay, but for repetitions of the same id and text.
+    """
+    rows = _rows(docs, width, percent, hubs)
+    alone = rows.filter("n = 0").select("key").distinct()
+    kept = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("doc", "key")).alias("least")).select("least.key").union(alone)
+    keyed = docs.withColumn("__key", row_key("doc_id", "text"))
+    return keyed.join(kept.withColumnRenamed("key", "__key"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+
+
+def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
+    """(doc, key, n, component, smallest) of every row."""
     spark = docs.sparkSession
-    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("binary").alias("text"))
+    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("binary").alias("text"), row_key("doc_id", "text").alias("key"))
     ranks = spark.sparkContext.broadcast(frequency_ranks(narrow, width))  # one byte a counter
     buckets = bucket_count(narrow)
 
@@ -162,14 +181,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
         def entries() -> Iterator[np.ndarray]:
             seen: set[int] = set()
             for batch in batches:
-                for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
+                for doc, key, text in zip(batch.column("doc").to_pylist(), batch.column("key").to_pylist(), batch.column("text")):
                     values = shingle_set(text.as_py(), width)
                     if not len(values):
-                        info.append((doc, 0, 0, 0))
+                        info.append((doc, key, 0, 0, 0))
                         continue
                     first = prefix_of(values, ranks.value, percent)
                     prefix = _digest(np.append(first, np.uint64(len(values))))
-                    info.append((doc, len(values), _digest(values), prefix))
+                    info.append((doc, key, len(values), _digest(values), prefix))
                     if prefix not in seen:
                         if len(seen) > 100_000:
                             seen.clear()
@@ -180,15 +199,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, hubs:
 
         for rows in packed(entries(), buckets):
             none = pa.nulls(rows.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([none] * 4 + rows.columns, schema=schema)
+            yield pa.RecordBatch.from_arrays([none] * len(INFO) + rows.columns, schema=schema)
             if len(info) > 4096:
                 yield as_batch(schema, [*zip(*info), [None] * len(info), [None] * len(info)])
                 info.clear()
         if info:
             yield as_batch(schema, [*zip(*info), [None] * len(info), [None] * len(info)])
 
-    described = stored(narrow.mapInArrow(describe, f"doc long, n long, set long, prefix long, {PACKED_DDL}"), "sets")
-    info = described.filter("doc IS NOT NULL").select("doc", "n", "set", "prefix")
+    described = stored(narrow.mapInArrow(describe, f"doc long, key long, n long, set long, prefix long, {PACKED_DDL}"), "sets")
+    info = described.filter("doc IS NOT NULL").select("doc", "key", "n", "set", "prefix")
     classes = info.filter("n > 0").groupBy("set", "n", "prefix").agg(F.min("doc").alias("rep"))
     classes = stored(classes, "classes")
     sent = described.filter("data IS NOT NULL").select("bucket", "data")
@@ -256,7 +275,6 @@ def _labelled(info: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFram
     label = components(edges).select(F.col("node").alias("set"), "component")
     least = classes.join(label, "set", "left").withColumn("component", F.coalesce("component", "set"))
     smallest = least.groupBy("component").agg(F.min("rep").alias("smallest"))
-    known = least.join(smallest, "component").select("set", "smallest")
-    real = lambda c: F.when(F.col(c) < LAST, F.col(c))
+    known = least.join(smallest, "component").select("set", "component", "smallest")
     rows = info.join(known, "set", "left").withColumn("smallest", F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc")))
-    return rows.select(real("doc").alias("doc_id"), F.col("n").alias("n_shingles"), real("smallest").alias("component_id"))
+    return rows.select("doc", "key", "n", "component", "smallest")

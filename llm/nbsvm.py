@@ -29,8 +29,10 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,6 @@ from llm.common import ODD, REMEMBERED, as_batch, mixed
 
 BITS = 20
 PER_CLASS = 2_000
-SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 Grams = Callable[[bytes], np.ndarray]
 
 
@@ -183,11 +184,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def score_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, held_out, score): the probability that ``label`` is 1, for every whole text.
+class Model:
+    """Weights by bucket, broadcast, and the intercept."""
 
-    Fits the model at once (see above); scoring is lazy.
-    """
+    def __init__(self, weights: Broadcast, bias: float, grams: Grams):
+        self.weights, self.bias, self.grams = weights, bias, grams
+
+    def score(self, text: Column) -> Column:
+        """Probability of label 1 for a column of texts."""
+        weights, bias, grams = self.weights, self.bias, self.grams
+
+        @F.pandas_udf("double")
+        def probability(texts: pd.Series) -> pd.Series:
+            w = weights.value
+            margins = np.array([w[grams(t or b"")].sum(dtype=np.float64) if len(w) else 0.0 for t in texts])
+            return pd.Series(1 / (1 + np.exp(-np.clip(margins + bias, -500, 500))))
+
+        return probability(text.cast("binary"))
+
+
+def fit_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, per_class: int = PER_CLASS) -> Model:
+    """The model of ``label``, fitted at once on labelled texts (see above)."""
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -213,22 +230,18 @@ def score_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, pe
         for batch in batches:
             rows += [np.frombuffer(g.as_py(), np.int32) for g in batch.column("grams")]
             ones += batch.column("label").to_pylist()
-        weights, bias = fit(rows, np.array(ones, np.int64), share)
-        yield as_batch(pa.schema([("weights", pa.binary()), ("bias", pa.float64())]), [[weights.tobytes()], [bias]])
+        weights, intercept = fit(rows, np.array(ones, np.int64), share)
+        yield as_batch(pa.schema([("weights", pa.binary()), ("bias", pa.float64())]), [[weights.tobytes()], [intercept]])
 
     bounded = texts.mapInArrow(extract, "doc_id long, label int, grams binary").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "grams")
     model = bounded.mapInArrow(learn, "weights binary, bias double").first()
-    weights = spark.sparkContext.broadcast(np.frombuffer(model["weights"], np.float32))
-    bias = model["bias"]
+    return Model(spark.sparkContext.broadcast(np.frombuffer(model["weights"], np.float32)), model["bias"], grams)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = weights.value
-        for batch in batches:
-            if len(w):
-                margins = np.array([w[grams(t.as_py() or b"")].sum(dtype=np.float64) for t in batch.column("text")])
-            else:
-                margins = np.zeros(batch.num_rows)
-            scores = 1 / (1 + np.exp(-np.clip(margins + bias, -500, 500)))
-            yield as_batch(SCORES, [batch.column("doc_id"), batch.column("held_out"), scores])
-
-    return narrow.withColumn("held_out", held_out(F.col("doc_id"))).mapInArrow(score, "doc_id long, held_out boolean, score double")
+
+def score_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, per_class: int = PER_CLASS) -> DataFrame:
+    """(doc_id, held_out, score): the probability that ``label`` is 1, for every whole text.
+
+    Fits the model at once; scoring is lazy.
+    """
+    model = fit_texts(docs, labels, label, grams, per_class)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"), model.score(F.col("text")).alias("score"))
