@@ -235,7 +235,8 @@ def fit_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, per_
 
     bounded = texts.mapInArrow(extract, "doc_id long, label int, grams binary").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "grams")
     model = bounded.mapInArrow(learn, "weights binary, bias double").first()
-    return Model(spark.sparkContext.broadcast(np.frombuffer(model["weights"], np.float32)), model["bias"], grams)
+    weights, bias = (np.frombuffer(model["weights"], np.float32), model["bias"]) if model else fit([], np.empty(0), share)
+    return Model(spark.sparkContext.broadcast(weights), bias, grams)
 
 
 def score_texts(docs: DataFrame, labels: DataFrame, label: str, grams: Grams, per_class: int = PER_CLASS) -> DataFrame:

@@ -1,0 +1,348 @@
+"""Each operator against brute force on a small corpus with nulls, repeats, ties, long and empty texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import corpus  # noqa: E402
+from llm import common, decontaminate, jaccard, lines, nbsvm, packing, pii, quality, substrings, tokenfiles, tokens, topk, toxicity  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+PATH = tokens.word_bpe_path()
+KINDS = pytest.mark.parametrize("clashing", [False, True])
+
+
+def counted(rows) -> Counter:
+    return Counter(tuple(r) for r in rows)
+
+
+def whole_ids(text: str | None) -> list[int]:
+    return tokens.word_tokens(PATH).whole.encode(text or "", add_special_tokens=False).ids
+
+
+# ------------------------------------------------------------------- tokens
+
+
+@pytest.mark.parametrize("text", ["", "It's we'll DON'T İstanbul Σίσυφος", "<|endoftext|> x <|ENDOFTEXT|>", "12 345 ½ x2 日本語 🙂👍 foo_bar", "a b c é É é ÉT ſ Ꭰ", "x." * 300, "end,. ***|"])
+def test_pieces_between_white_space_give_the_ids_of_the_whole(text):
+    assert tokens.word_tokens(PATH).of(text.encode()).tolist() == whole_ids(text)
+
+
+@KINDS
+def test_token_counts(spark, clashing):
+    data = corpus.rows()
+    found = tokenfiles.token_counts(corpus.frame(spark, clashing), PATH).select("doc_id", "n_tokens").collect()
+    assert counted(found) == Counter((r[0], len(whole_ids(r[1]))) for r in data)
+
+
+def test_documents_across_many_small_blocks(spark):
+    data = [(k, "word " * n) for k, n in enumerate([0, 1, 5, 700, 0, 33])] + [(-5, "below zero"), (None, "x")]
+    found = tokenfiles.token_counts(spark.createDataFrame(data, "doc_id long, text string"), PATH, block_bytes=16)
+    assert counted(found.select("doc_id", "n_tokens").collect()) == Counter((i, len(whole_ids(t))) for i, t in data)
+
+
+def test_scan_of_a_foreign_file_with_an_open_end(spark, tmp_path):
+    tokens_in = np.array([7, 7, 9, 7, 9, 9, 7], "<u4")
+    (tmp_path / "a.bin").write_bytes(tokens_in.tobytes())
+    (tmp_path / "b.bin").write_bytes(b"")
+    found = tokenfiles.scan_token_files(spark, str(tmp_path), separator=9, width=4, block_bytes=8, suffix="*.bin")
+    rows = found.orderBy("ordinal").select("ordinal", "start", "n_tokens", "closed").collect()
+    assert [tuple(r) for r in rows] == [(0, 0, 2, True), (1, 3, 1, True), (2, 5, 0, True), (3, 6, 1, False)]
+    with pytest.raises(ValueError):
+        tokenfiles.scan_token_files(spark, str(tmp_path), width=4, block_bytes=6)
+
+
+# -------------------------------------------------------------- classifiers
+
+
+def labelled(n: int = 240) -> tuple[list[tuple], list[tuple]]:
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(80)]
+    docs, labels = [], []
+    for k in range(n):
+        bad = k % 3 == 0
+        text = [rng.choice(words) for _ in range(rng.randint(5, 60))]
+        if bad:
+            text[2:2] = ["xx!!", "xx!!", "grumble"]
+        docs.append((k, " ".join(text), "en", "s", 1))
+        labels.append((k, 0 if bad else 1, 1 if bad else 0))
+    return docs, labels
+
+
+@pytest.mark.parametrize("scores, label, threshold", [(quality.quality_scores, 1, 0.7), (toxicity.toxicity_scores, 2, 0.3)])
+def test_held_out_rows_are_told_apart(spark, scores, label, threshold):
+    docs, labels = labelled()
+    docs += [(1000, None, None, None, None), (1001, "", None, None, None), (None, "w1 w2", None, None, None), docs[0]]
+    marks = spark.createDataFrame(labels + [(None, 1, 1), (5000, None, None)], "doc_id long, quality int, toxic int")
+    rows = scores(corpus.frame(spark, True, docs), marks).collect()
+    assert len(rows) == len(docs)
+    truth = {x[0]: x[label] for x in labels}
+    for r in rows:
+        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= threshold)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.95 * len(held)
+
+
+def test_one_class_or_no_rows_give_the_share(spark):
+    docs = corpus.frame(spark, data=labelled(12)[0])
+    marks = spark.createDataFrame([(k, 1, 0) for k in range(12)], "doc_id long, quality int, toxic int")
+    (score,) = {r["score"] for r in quality.quality_scores(docs, marks).collect()}
+    assert score == pytest.approx(10 / 11, abs=0.05)
+    assert quality.quality_scores(docs.limit(0), marks.limit(0)).count() == 0
+    kept = toxicity.without_toxic(docs, marks.limit(0), threshold=0.6)
+    assert kept.columns == docs.columns and kept.count() == 12
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    docs, labels = labelled(120)
+    turned = [(k, 1 - q, 1 - t) if zlib.crc32(str(k).encode()) % 4 == 2 else (k, q, t) for k, q, t in labels]
+    results = [
+        {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(corpus.frame(spark, data=docs), spark.createDataFrame(x, "doc_id long, quality int, toxic int")).collect()}
+        for x in (labels, turned)
+    ]
+    assert results[0] == results[1]
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, 3))
+    y = np.where(x @ [1.0, -2.0, 0.5] + 0.3 > 0, 1.0, -1.0)
+    y[:4] *= -1
+    w, b = nbsvm.dual_coordinate_descent(np.arange(0, 121, 3), np.tile(np.arange(3), 40), x.ravel(), y, cost=0.5, epochs=3000, tolerance=1e-9)
+    value = lambda w, b: (w @ w + b * b) / 2 + 0.5 * np.maximum(0, 1 - y * (x @ w + b)).sum()
+    best = value(w, b)
+    for _ in range(300):
+        d = rng.normal(size=4) * 0.05
+        assert value(w + d[:3], b + d[3]) >= best - 1e-6
+
+
+# ------------------------------------------------------------ decontamination
+
+
+def test_overlaps_survive_replaced_words(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items = [[word() for _ in range(n)] for n in (20, 40, 15, 6)]
+    around = lambda words: " ".join([word() for _ in range(30)] + words + [word() for _ in range(30)])
+    changed = list(items[1])
+    for k in (4, 13, 22, 31):
+        changed[k] = "other"
+    docs = [(0, around(items[0])), (1, around(changed)), (2, around([w.upper() + "," for w in items[2]])), (3, around(items[3])), (4, around([])), (5, around(items[1][:9])), (6, None), (7, ""), (None, around(items[0])), (8, " ".join(items[0]))]
+    docs.append(docs[0])
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(None, None), (9, "")], "item_id long, text string")
+    frame = corpus.frame(spark, True, [(i, t, None, None, None) for i, t in docs])
+    found = decontaminate.benchmark_overlaps(frame, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["start"], r["length"], r["n_equal"]) for r in found} == {(0, 0, 30, 20, 20), (1, 1, 30, 40, 36), (2, 2, 30, 15, 15), (None, 0, 30, 20, 20), (8, 0, 0, 20, 20)}
+    assert len(found) == 5
+    assert decontaminate.benchmark_overlaps(frame, bench.limit(0)).count() == 0
+    assert decontaminate.benchmark_overlaps(frame.limit(0), bench).count() == 0
+
+
+def test_large_benchmarks_take_the_same_path_to_the_same_rows(spark, monkeypatch):
+    data = [(k, t, None, None, None) for k, t, *_ in corpus.rows() if t]
+    bench = spark.createDataFrame([(k, t) for k, t, *_ in data[:6]], "item_id long, text string")
+    few = counted(decontaminate.benchmark_overlaps(corpus.frame(spark, data=data), bench).collect())
+    monkeypatch.setattr(decontaminate, "BROADCAST", 0)
+    assert counted(decontaminate.benchmark_overlaps(corpus.frame(spark, data=data), bench).collect()) == few and few
+
+
+# -------------------------------------------------------------- personal data
+
+
+EDGES = [
+    (1, "a@b.c_d@e.f x.y@z_w@q.r.s"), (2, "1.2.3.4.5.6.7.8 0300.1.1.1 256.1.1.1 000255.1.1.01"), (3, None), (4, ""),
+    (5, "é4111 1111-1111 1111 x 4111111111111112 +1 (2) 3.4-567890 ) +12 " + "9" * 3000), (6, "a" * 20000 + "@b.cc"),
+    (7, "@@ a@@b.c @x.y 1" + " 1" * 3000), (None, "me@x.org"), (8, "+1 555 +2 66677788899 +3 44 555 66 77"), (7, "again 10.0.0.1"),
+]
+
+
+@KINDS
+def test_base_spans(spark, clashing):
+    data = [(i, t, None, None, None) for i, t in EDGES] + [EDGES[0] + (None,) * 3]
+    found = pii.personal_data(corpus.frame(spark, clashing, data)).select("doc_id", pii.spans_text(F.col("base"))).collect()
+    text = lambda t: ",".join(f"{k}:{a}:{b}" for k, a, b in corpus.base_spans(t))
+    assert counted(found) == Counter((i, text(t)) for i, t, *_ in data)
+
+
+def test_contexts_of_seeds_find_unseen_identifiers(spark):
+    data = [(k, f"noise words here please call me +1 (555) 010-{1000 + k} then mail to user{k}@example.com soon") for k in range(12)]
+    data += [(50, "so please call me 555-010-9999, thanks"), (51, "then mail to nobody(at)2024example soon"), (52, "the number 123456 is only a number"), (53, "order of 9999 pieces")]
+    rows = pii.personal_data(spark.createDataFrame(data, "doc_id long, text string")).select("doc_id", "added").collect()
+    added = {r["doc_id"]: [(x["kind"], x["s"], x["e"]) for x in r["added"]] for r in rows}
+    assert added[50] == [("phone", 18, 30)]
+    assert added[51] and added[51][0][0] == "email"
+    assert all(not v for k, v in added.items() if k not in (50, 51))
+    assert pii.personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+# ------------------------------------------------------------- top-k search
+
+
+def best_pairs(vectors, k, step):
+    out = []
+    for q, x in vectors:
+        if q % step == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), v) for v, y in vectors if v != q)
+            out += [(q, n + 1, v, -s) for n, (s, v) in enumerate(scored[:k])]
+    return out
+
+
+@pytest.mark.parametrize("blocks", [(512, 4096), (3, 7)])
+def test_top_k(spark, monkeypatch, blocks):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", blocks[0])
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", blocks[1])
+    rng = np.random.default_rng(0)
+    good = [(k, [float(v) for v in rng.normal(size=20)]) for k in range(90)] + [(100 + k, [0.5] * 20) for k in range(40)] + [(200, []), (205, [1.0]), (210, [3e5] * 20)]
+    bad = [(300, None), (305, [1.0, None]), (310, [float("nan")]), (315, [float("inf")]), (None, [1.0])]
+    df = spark.createDataFrame([(i, x, 1, 2) for i, x in good + bad], "vec_id long, embedding array<double>, rank int, score long").repartition(3)
+    found = topk.exact_top_k(df, k=6, query_step=5)
+    whole = [(i, [int(np.floor(64 * v)) for v in x]) for i, x in good]
+    assert counted(found.select("query_id", "rank", "vec_id", "score").collect()) == Counter(best_pairs(whole, 6, 5))
+    assert topk.exact_top_k(df.limit(0)).count() == 0
+
+
+def test_bounds_never_fall_below_scores():
+    rng = np.random.default_rng(4)
+    q, c = rng.integers(-90, 90, (20, 33)), rng.integers(-90, 90, (30, 33))
+    for parts in topk.LEVELS:
+        assert (topk._stats(q, parts) @ topk._stats(c, parts).T + 1e-6 >= q @ c.T).all()
+
+
+# ----------------------------------------------------------------- line dedup
+
+
+@KINDS
+def test_line_dedup(spark, clashing):
+    df = corpus.frame(spark, clashing)
+    found = lines.dedup_lines(df)
+    assert set(df.columns) <= set(found.columns)
+    expected = corpus.lines_removed(corpus.rows(), lines.NEAR_WORDS)
+    assert counted(found.select("doc_id", "text", "n_lines", "n_removed").collect()) == Counter(expected)
+    assert lines.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_neighbourhoods_meet_exactly_where_words_differ():
+    rng = np.random.default_rng(9)
+    a = rng.integers(1, 1 << 60, 12).astype(np.uint64)
+    replaced, shorter = a.copy(), np.delete(a, 5)
+    replaced[7] += np.uint64(1)
+    keys, other, less = (lines.neighbourhood(x) for x in (a, replaced, shorter))
+    assert np.flatnonzero(keys == other).tolist() == [7]
+    assert keys[5] == less[-1] and keys[-1] != other[-1]
+
+
+# ----------------------------------------------------------- near duplicates
+
+
+@KINDS
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80), (2, 50)])
+def test_jaccard_components(spark, clashing, width, percent):
+    data = corpus.rows()
+    found = jaccard.jaccard_components(corpus.frame(spark, clashing), width, percent).collect()
+    assert counted(found) == Counter(corpus.jaccard_groups(data, width, percent))
+
+
+def test_links_that_no_hub_has_are_found(spark):
+    """Chains: each text is near the next only, so a hub connects few of its list."""
+    words = [f"w{k}" for k in range(140)]
+    data = [(k, " ".join(words[4 * k : 4 * k + 60]), None, None, None) for k in range(20)]
+    found = jaccard.jaccard_components(corpus.frame(spark, data=data), 3, 75, hubs=1).collect()
+    assert counted(found) == Counter(corpus.jaccard_groups(data, 3, 75))
+
+
+def test_one_row_of_each_group_stays(spark):
+    data = corpus.rows()
+    kept = jaccard.one_of_each(corpus.frame(spark), 5, 80).collect()
+    groups = defaultdict(set)
+    for r, (_, n, component) in zip(data, corpus.jaccard_groups(data, 5, 80)):
+        if n:
+            groups[component].add(r[0])
+    found = [r["doc_id"] for r in kept if corpus.shingles(r["text"], 5)]
+    assert set(found) == set(groups) and len(found) == len(groups) + 1  # two different texts have the id 508
+    assert jaccard.one_of_each(corpus.frame(spark).limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------- packing
+
+
+@KINDS
+def test_packing_round_trip(spark, clashing):
+    data, capacity = corpus.rows(), 128
+    found = packing.pack_documents(corpus.frame(spark, clashing), PATH, capacity).collect()
+    expected = Counter()
+    for doc_id, text, *_ in data:
+        ids = np.array([*whole_ids(text), 0], "<u4")
+        expected.update((doc_id, k, a, len(ids[a : a + capacity]), zlib.crc32(ids[a : a + capacity].tobytes())) for k, a in enumerate(range(0, len(ids), capacity)))
+    assert counted(r[:5] for r in found) == expected
+    bins = defaultdict(list)
+    for r in found:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    sizes = Counter(r["length"] for r in found)
+    assert -(-sum(r["length"] for r in found) // capacity) <= len(bins) <= sum(n for _, n in packing.best_fit(dict(sizes), capacity))
+    assert packing.pack_documents(corpus.frame(spark).limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("counts, capacity, fewest", [({6: 3, 4: 3}, 10, 3), ({5: 2, 4: 2, 3: 2, 2: 3}, 10, 3), ({7: 4}, 10, 4), ({10: 2, 1: 1}, 10, 3), ({44: 1, 24: 2, 22: 1, 21: 1, 17: 1, 8: 2, 6: 2}, 100, 2), ({}, 10, 0)])
+def test_fewest_sequences(counts, capacity, fewest):
+    patterns = packing.pack_counts(counts, capacity)
+    used = Counter()
+    for pattern, times in patterns:
+        assert sum(length * n for length, n in pattern) <= capacity
+        used.update({length: n * times for length, n in pattern})
+    assert used == Counter(counts) and sum(n for _, n in patterns) == fewest
+
+
+def test_branch_and_bound_beats_best_fit():
+    better = worse = 0
+    rng = random.Random(11)
+    for _ in range(60):
+        counts = Counter(rng.randint(15, 60) for _ in range(30))
+        first, best = (sum(n for _, n in p) for p in (packing.best_fit(dict(counts), 100), packing.pack_counts(dict(counts), 100)))
+        better += best < first
+        worse += best > first
+    assert better and not worse
+
+
+# ------------------------------------------------------------ substring dedup
+
+
+@KINDS
+@pytest.mark.parametrize("width, deepest", [(13, 13), (13, None), (4, 8)])
+def test_repeated_windows_go(spark, clashing, width, deepest):
+    data = corpus.rows()
+    found = substrings.remove_repeats(corpus.frame(spark, clashing), width, deepest).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert counted(found) == Counter(corpus.repeats_removed(data, width))
+
+
+def test_levels_and_kept_words(spark):
+    words = [f"w{k}" for k in range(60)]
+    data = [(1, " ".join(words)), (2, " ".join(["x", *words[:30], "y"])), (3, "z"), (4, " ".join(words[40:55]))]
+    rows = substrings.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), width=13, keep_text=True).collect()
+    found = {r["doc_id"]: (r["longest"], r["kept"]) for r in rows}
+    assert found == {1: (26, " ".join(words)), 2: (26, "x y"), 3: (0, "z"), 4: (13, "")}
+    assert hashlib.sha256(b"x y").hexdigest() in {r["kept_sha256"] for r in rows}
+    assert substrings.remove_repeats(corpus.frame(spark).limit(0), deepest=13).count() == 0
+
+
+def test_word_hashes_forget_without_changing(monkeypatch):
+    monkeypatch.setattr(common, "REMEMBERED", 3)
+    table = common.WordHash()
+    words = [b"a", b"b", b"c", b"d", b"a", b"e"]
+    assert table.of(words).tolist() == [common.WordHash()[w] for w in words] and len(table) <= 3
