@@ -80,6 +80,12 @@ def senior_label(senior: Column) -> Column:
 
 
 def hashed_assignment(key: Column, probability: Column, seed: int = 42) -> Column:
-    """1 with the given probability, decided by a hash of the key: repeatable on any cluster."""
-    draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    """1 with the given probability, decided by the first 32 bits of md5("key:seed"): repeatable on any engine."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))).cast("binary"))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2.0**32
     return (draw < probability).cast("int")
+
+
+def high_risk_flag(risk: Column, limit: Column | float) -> Column:
+    """1 for a risk above the limit, which is meant to be a percentile of all risks."""
+    return (risk > limit).cast("int")

@@ -42,10 +42,8 @@ def yes_flag(text: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """Round half away from zero, as double.
+    """Round half away from zero, as double, once: the shortest decimal that stands for the value is rounded.
 
-    Goes through a decimal, so a product that is a half in decimal terms is
-    rounded as one whatever its last binary digits are; NaN becomes null. Money and report columns
-    then agree between engines, and sums of rounded money add whole cents.
+    NaN, infinities and values of any size keep their meaning; only null gives null.
     """
-    return F.round(value.try_cast("decimal(38,12)"), digits).cast("double")
+    return F.round(value.cast("double"), digits)

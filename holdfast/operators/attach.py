@@ -1,4 +1,4 @@
-"""Join a large side with one expected to be small, after measuring it."""
+"""Join on keys that may be null, with the strategy left to Spark."""
 
 from __future__ import annotations
 
@@ -7,30 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.session import settle
 
-SMALL_ROWS = 10_000
-
-
-def attach(
-    df: DataFrame, small: DataFrame, on: Sequence[str] | str, limit: int = SMALL_ROWS, how: str = "inner"
-) -> DataFrame:
+def attach(df: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
     """Inner (or left) join on equal keys, null keys equal to each other.
 
-    ``small`` is fetched up to ``limit`` rows. Within it, the rows become a local
-    table and are broadcast. Beyond it, ``small`` is settled and the join is a
-    shuffle join, whose hot keys adaptive execution splits. Without keys,
-    ``small`` is one row and its values become constants.
+    Lazy: adaptive execution broadcasts ``small`` when its real size allows and
+    splits hot keys when it does not. Without keys, ``small`` is one row, which is
+    fetched at once, and its values become constants.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    fetched = small.limit(limit + 1).toArrow()
     if not keys:
-        (row,) = fetched.to_pylist()
+        (row,) = small.collect()
         return df.select("*", *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in small.schema])
-    if fetched.num_rows <= limit:
-        side = F.broadcast(df.sparkSession.createDataFrame(fetched, schema=small.schema))
-    else:
-        side = settle(small)
-    renamed = side.withColumnsRenamed({name: f"_r_{name}" for name in keys})
+    renamed = small.withColumnsRenamed({name: f"_r_{name}" for name in keys})
     condition = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in keys]
     return df.join(renamed, condition, how).drop(*[f"_r_{name}" for name in keys])

@@ -17,10 +17,6 @@ from holdfast.session import settle, store
 ACCURACY = 10_000
 # How far on either side of a share the sketch is asked for bounds.
 MARGIN = 4 / ACCURACY
-# Groups of up to this many values fit the built-in exact percentile, which holds
-# a group's distinct values in one task.
-SMALL_GROUP = 100_000
-
 
 def _between(low: Column, high: Column, target: Column) -> Column:
     """Linear between the values at the ranks around ``target``."""
@@ -72,32 +68,25 @@ def percentiles(
 ) -> DataFrame:
     """Exact percentiles, one row (per group) with a column per named share.
 
-    The largest group is counted first. If it is small, the built-in percentile
-    serves all groups; if not, no task may hold a group's values.
+    One way for groups of every size: no task ever holds a group's values. Eager:
+    the narrow input is stored once, then read for the sketch and the counts.
     """
     groups = list(by)
-    narrow = df.where(F.col(value).isNotNull()).select(
-        *groups, F.col(value).cast("double").alias("_v"), F.col(key).alias("_k")
-    )
-    brackets = settle(_brackets(narrow, shares, groups))
-    if (brackets.agg(F.max("_n")).first()[0] or 0) <= SMALL_GROUP:
-        exact = [F.percentile("_v", F.lit(share)).alias(name) for name, share in shares.items()]
-        return narrow.groupBy(*groups).agg(*exact)
-    return _bracketed_percentiles(narrow, brackets, shares, groups)
+    narrow = store(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"), F.col(key).alias("_k")))
+    return _bracketed_percentiles(narrow, settle(_brackets(narrow, shares, groups)), shares, groups)
 
 
 def _brackets(narrow: DataFrame, shares: Mapping[str, float], groups: list[str]) -> DataFrame:
     """Per group its size and, per share, two values with the target from one to the other."""
     ends = [min(1.0, max(0.0, share + side)) for share in shares.values() for side in (-MARGIN, MARGIN)]
     sketch = narrow.groupBy(*groups).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.count("*").alias("_n"),
         F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
     )
-    few = F.col("_n") <= ACCURACY
     return sketch.select(
         *groups, "_n",
-        *[F.when(few, F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in range(len(shares))],
-        *[F.when(few, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in range(len(shares))],
+        *[F.col("_ends")[2 * i].alias(f"_lo{i}") for i in range(len(shares))],
+        *[F.col("_ends")[2 * i + 1].alias(f"_hi{i}") for i in range(len(shares))],
     )
 
 

@@ -15,6 +15,16 @@ from holdfast.session import store
 _POSITION_BITS = 33
 
 
+# Rows that one task sorts, unless the caller says otherwise.
+ROWS_PER_TASK = 2_000_000
+
+
+def range_partitions(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Partitions for a range shuffle, from a count of the rows: adaptive execution merges partitions but never splits them."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // rows_per_task))
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[Column],
@@ -28,11 +38,12 @@ def global_rank(
     Rows are range partitioned on (by, order), sorted inside each partition and
     stored with partition and position, so a row's place is its position plus the
     sizes of the partitions before it. Ties of any size spread over partitions as long as ``order`` ends
-    in a unique key. Only the table of partition sizes is ever in one task.
+    in a unique key. Only the table of partition sizes is ever in one task. Eager: counts the
+    rows unless ``partitions`` is given, and stores them in order.
     """
     groups = list(by)
     keys = [F.col(name).asc_nulls_first() for name in groups] + list(order)
-    spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    spread = df.repartitionByRange(partitions or range_partitions(df), *keys)
     slot = F.monotonically_increasing_id()
     placed = store(
         spread.sortWithinPartitions(*keys).withColumn("_slot", slot).select(
@@ -75,17 +86,14 @@ def tile(rank: Column, total: Column, tiles: int) -> Column:
     return F.when(rank <= large, in_large).otherwise(in_small).cast("int")
 
 
-# The merge of a top-k sees k rows of every partition, so k stays small there.
-TOP_IN_ONE_TASK = 1_000
-
-
-def top_rows(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
-    """The first ``k`` rows in order.
+def top_rows(df: DataFrame, k: int, order: Sequence[Column], spread: bool = False) -> DataFrame:
+    """The first ``k`` rows, in order, whatever ``k`` is.
 
-    Small ``k``: each task keeps at most ``k`` and one task merges them. Large
-    ``k``: a filter on the global rank, spread over all tasks.
+    The caller chooses the plan: by default each task keeps at most ``k`` rows and
+    one task merges them, which suits a short list. ``spread`` takes them by
+    global rank instead, so that no task holds the list.
     """
-    if k <= TOP_IN_ONE_TASK:
+    if not spread:
         return df.orderBy(*order).limit(k)
     ranked = global_rank(df, order, rank="_rank", total="_total")
-    return ranked.where(F.col("_rank") <= k).select(*df.columns)
+    return ranked.where(F.col("_rank") <= k).orderBy("_rank").select(*df.columns)

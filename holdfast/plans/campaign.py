@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.display import dollars, percent
 from holdfast.functions.numeric import fixed, ratio
-from holdfast.operators.ranking import top_rows
+from holdfast.operators.ranking import global_rank, top_rows
 from holdfast.sources.files import keep_columns
 
 # Columns of the target list, in order.
@@ -40,10 +40,19 @@ def affordable(budget: float, cost_per_contact: float) -> int:
     return int(budget / cost_per_contact)
 
 
-def select_targets(eligible: DataFrame, budget: float, cost_per_contact: float) -> DataFrame:
-    """The most valuable targets the budget pays for."""
-    order = [F.desc("value_at_risk"), F.asc("customer_id")]
-    return top_rows(eligible, affordable(budget, cost_per_contact), order)
+def _order() -> list[Column]:
+    return [F.desc("value_at_risk"), F.asc("customer_id")]
+
+
+def select_targets(eligible: DataFrame, budget: float, cost_per_contact: float, spread: bool = False) -> DataFrame:
+    """The most valuable targets the budget pays for, in order; ``spread`` for lists too long for one task."""
+    return top_rows(eligible, affordable(budget, cost_per_contact), _order(), spread)
+
+
+def placed_targets(eligible: DataFrame, budget: float, cost_per_contact: float) -> DataFrame:
+    """The same targets for lists of any length, each with its place in the list. Eager, as ``global_rank`` is."""
+    ranked = global_rank(eligible, _order(), rank="place", total="_total")
+    return ranked.where(F.col("place") <= affordable(budget, cost_per_contact)).drop("_total")
 
 
 def campaign_return(eligible: DataFrame, budget: float, cost_per_contact: float) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions import customer
 from holdfast.functions.numeric import fixed, lenient_number, yes_flag
 from holdfast.operators.checks import CheckFailed, in_range, in_set, missing_columns, row_checks, unique_key
+from holdfast.operators.quantiles import percentiles
 from holdfast.schemas import SNAKE_CASE
 from holdfast.sources import tables as layout
 
@@ -60,3 +61,12 @@ def check_enriched(enriched: DataFrame) -> DataFrame:
 def five_tables(enriched: DataFrame) -> dict[str, DataFrame]:
     """The enriched export as the five tables."""
     return layout.split_tables(layout.snake_case(enriched))
+
+
+RISK_SHARE = 0.7
+
+
+def flag_high_risk(rows: DataFrame, risk: str, key: str, share: float = RISK_SHARE, flag: str = "high_risk") -> DataFrame:
+    """Mark the rows whose risk lies above the exact percentile at ``share`` of all risks. Eager: the percentile is found first."""
+    limit = percentiles(rows, risk, {"limit": share}, key).scalar()
+    return rows.withColumn(flag, customer.high_risk_flag(F.col(risk), limit))

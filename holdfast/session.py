@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from uuid import uuid4
 
@@ -35,7 +36,8 @@ def build_session(app: str = "holdfast", master: str | None = None, **extra: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting: it gets a temporary folder.
+    On a cluster the setting is required. A local master without it, as in tests,
+    gets a temporary folder, which its one machine shares with itself.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -55,16 +57,47 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. It is removed by ``owned_scratch`` or, at the latest, when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/holdfast-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+    for owner in _owners:
+        owner.append(path)
+    return path
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Own what is stored inside the block, and remove it at its end: write the results within."""
+    mine: list[str] = []
+    _owners.append(mine)
+    try:
+        yield mine
+    finally:
+        _owners.remove(mine)
+        for path in mine:
+            place, files = _place(spark, path)
+            files.delete(place, True)
+
+
 def store(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a Parquet folder of this application and read from there.
 
     For rows that several jobs read: each reads only its columns, and lost
-    executors change nothing. The folder may be removed once the application ends.
+    executors change nothing.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/holdfast-{spark.sparkContext.applicationId}/{uuid4().hex}"
+    path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:

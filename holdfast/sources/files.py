@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -40,14 +42,21 @@ def read_required(spark: SparkSession, path: str, made_by: str, schema: T.Struct
 
 
 def first_available(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """The first CSV of an ordered list that exists."""
+    """The first CSV of an ordered list that can be read and has rows.
+
+    A source that is missing, has another header or cannot be read is passed over,
+    and so is an empty one. The first row of each candidate is read at once.
+    """
+    failures = []
     for path in paths:
         try:
-            return read_csv(spark, path, schema)
-        except AnalysisException as error:
-            if not _is_missing(error):
-                raise
-    raise MissingInput(f"none of these exist: {', '.join(paths)}")
+            rows = read_csv(spark, path, schema)
+            if not rows.isEmpty():
+                return rows
+            failures.append(f"{path} has no rows")
+        except (AnalysisException, Py4JJavaError, CapturedException) as error:
+            failures.append(f"{path}: {str(error).splitlines()[0]}")
+    raise MissingInput(f"none of these can be used: {'; '.join(failures)}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

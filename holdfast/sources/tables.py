@@ -45,7 +45,7 @@ def bucket_count(spark: SparkSession, rows: int, rows_per_bucket: int = 2_000_00
 
     2,000,000 customers are some 150 MB in the widest of the five tables.
     """
-    return min(50_000, max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_bucket)))
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_bucket))
 
 
 def save_bucketed(flat: DataFrame, folder: str, prefix: str, buckets: int) -> dict[str, DataFrame]:

@@ -8,14 +8,23 @@ failure overwrites its own folders, so nothing is counted twice.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from holdfast.functions.numeric import fixed
 from holdfast.functions.segments import SERVING_RISK
 from holdfast.plans.scoring import Outcomes, batch_totals, score_requests, with_errors
 from holdfast.schemas import REQUEST
 
+TOTALS = T.StructType([
+    T.StructField("total_customers", T.LongType()), T.StructField("total_revenue_at_risk", T.DoubleType()),
+    T.StructField("persuadable_count", T.LongType()), T.StructField("persuadable_revenue", T.DoubleType()),
+    T.StructField("sleeping_dog_count", T.LongType()),
+])
+
 
 def read_requests(spark: SparkSession, path: str, file_format: str = "json", files_per_batch: int | None = None) -> DataFrame:
     """Requests from files landing in a folder, with the stated schema."""
@@ -60,12 +69,12 @@ def start_scoring(
 
 
 def running_totals(spark: SparkSession, output: str) -> DataFrame:
-    """Totals over every batch so far."""
-    totals = spark.read.parquet(f"{output}/totals")
-    return totals.agg(
-        F.sum("total_customers").alias("total_customers"),
-        F.round(F.sum("total_revenue_at_risk"), 2).alias("total_revenue_at_risk"),
-        F.sum("persuadable_count").alias("persuadable_count"),
-        F.round(F.sum("persuadable_revenue"), 2).alias("persuadable_revenue"),
-        F.sum("sleeping_dog_count").alias("sleeping_dog_count"),
-    )
+    """Totals over every batch so far; zeros before the first."""
+    try:
+        totals = spark.read.schema(TOTALS).parquet(f"{output}/totals")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        totals = spark.createDataFrame([], TOTALS)
+    sums = {f.name: F.coalesce(F.sum(f.name), F.lit(0).cast(f.dataType)) for f in TOTALS}
+    return totals.agg(*[(fixed(x, 2) if "revenue" in name else x).alias(name) for name, x in sums.items()])

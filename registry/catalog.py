@@ -15,13 +15,13 @@ from holdfast.operators.attach import attach
 from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.quantiles import approximate_percentiles, percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
-from holdfast.plans import campaign, effects, evaluation, fairness, intake, learners, retention, scoring, uplift
+from holdfast.plans import campaign, effects, evaluation, fairness, intake, learners, retention, scoring, stages, uplift
 from holdfast.schemas import RAW_CUSTOMERS, REQUEST, SNAKE_CASE
 from holdfast.session import settle, shared_folder, store
 from holdfast.sources import files
 from holdfast.sources import tables as layout
 from holdfast.streaming import scoring as streaming
-from registry.fixtures import flat, modeling, tables
+from registry.fixtures import dirty_tables, flat, modeling, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,8 +81,7 @@ def enriched_customers(spark, sf_dir):
         fixed(customer.lifetime_value(monthly, tenure, contract), 2).alias("customer_lifetime_value"),
         fixed(customer.risk_score(tenure, monthly, contract, F.col("churn_binary")), 2).alias("risk_score"),
     )
-    limit = percentiles(rows, "risk_score", {"limit": 0.7}, "customer_id").scalar()
-    return rows.withColumn("high_risk", (F.col("risk_score") > limit).cast("int"))
+    return intake.flag_high_risk(rows, "risk_score", "customer_id")
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +99,43 @@ def enriched_export_checks(spark, sf_dir):
     return intake.check_enriched(enriched(spark, sf_dir))
 
 
+@query
+def modeling_export(spark, sf_dir):
+    """The modeling dataset after its checked export, read back."""
+    folder = _scratch(spark, "modeling")
+    stages.export_modeling(modeling(spark, sf_dir), folder)
+    return files.read_required(spark, folder, "export_modeling")
+
+
+def _job(spark: SparkSession, sf_dir: str) -> str:
+    """One run of the batch job over the export as files, with the closed-form learners; gives its folder."""
+    def run() -> str:
+        folder = _scratch(spark, "job")
+        known = segmented(spark, sf_dir).join(both_scores(spark, sf_dir).select("customer_id", "uplift_score_xl"), "customer_id")
+        stages.write_reports(store(known), folder, BUDGET, COST)
+        return folder
+
+    return _once(spark, sf_dir, "job", run)
+
+
+@query
+def written_model_report(spark, sf_dir):
+    """The model report as the job writes it, read back."""
+    kinds = learner_report(spark, sf_dir).schema
+    return files.read_required(spark, f"{_job(spark, sf_dir)}/model_report", "write_reports", kinds)
+
+
+@query
+def written_fairness_report(spark, sf_dir):
+    return files.read_required(spark, f"{_job(spark, sf_dir)}/fairness_report", "write_reports", fairness.fairness_report(segmented(spark, sf_dir)).schema)
+
+
+@query
+def written_targets(spark, sf_dir):
+    kinds = campaign.target_list(segmented(spark, sf_dir)).schema
+    return _rounded(files.read_required(spark, f"{_job(spark, sf_dir)}/targets", "write_reports", kinds), 6, "uplift_score")
+
+
 @query
 def offer_assignment(spark, sf_dir):
     """Offers drawn by a hash of the key with each customer's propensity."""
@@ -141,6 +177,17 @@ def table_checks(spark, sf_dir):
     return checks.check_tables(tables(spark, sf_dir))
 
 
+@query
+def table_checks_of_broken_rows(spark, sf_dir):
+    """The same rules over tables in which every one of them is broken."""
+    return checks.check_tables(dirty_tables(spark, sf_dir))
+
+
+@query
+def null_total_of_broken_rows(spark, sf_dir):
+    return checks.null_total(dirty_tables(spark, sf_dir)["services"])
+
+
 @query
 def join_completeness(spark, sf_dir):
     return checks.join_is_complete(tables(spark, sf_dir))
@@ -231,6 +278,32 @@ def approximate_percentiles_by_contract(spark, sf_dir):
     return approximate_percentiles(modeling(spark, sf_dir), "clv", {"p10": 0.1, "median": 0.5}, by=["contract_type"])
 
 
+@query
+def percentiles_of_prices(spark, sf_dir):
+    """Exact percentiles of all prices in lineitem, over all rows and by return flag."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_returnflag", "l_extendedprice", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    )
+    shares = {"p10": 0.1, "median": 0.5, "p99": 0.99}
+    every = percentiles(rows, "l_extendedprice", shares, "line").withColumn("l_returnflag", F.lit("all"))
+    return _rounded(every.unionByName(percentiles(rows, "l_extendedprice", shares, "line", by=["l_returnflag"])), 6, *shares)
+
+
+@query
+def approximate_percentiles_within_promise(spark, sf_dir):
+    """Whether each value of the sketch lies within the promised share of rows from its exact place."""
+    rows = modeling(spark, sf_dir).select("contract_type", F.col("clv").cast("double").alias("clv"))
+    shares = {"p10": 0.1, "median": 0.5}
+    found = attach(rows, approximate_percentiles(rows, "clv", shares, by=["contract_type"]), "contract_type")
+    n = F.count("*")
+    within = {
+        f"{name}_within": (F.count_if(F.col("clv") < F.col(name)) <= n * share + n / 10_000 + 1)
+        & (F.count_if(F.col("clv") <= F.col(name)) >= n * share - n / 10_000 - 1)
+        for name, share in shares.items()
+    }
+    return found.groupBy("contract_type").agg(n.alias("n_rows"), *[x.alias(name) for name, x in within.items()])
+
+
 @query
 def prefix_counts(spark, sf_dir):
     rows = modeling(spark, sf_dir).select("customer_id", "clv", "treatment", "churn_binary")
@@ -253,7 +326,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return uplift.segment(scored(spark, sf_dir))
+    """Scored once and stored; all summaries, fairness reports and campaigns of a session read it."""
+    return _once(spark, sf_dir, "segmented", lambda: store(uplift.segment(store(scored(spark, sf_dir)))))
 
 
 def both_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,6 +515,13 @@ def campaign_targets_filtered(spark, sf_dir):
     return _rounded(campaign.target_list(campaign.select_targets(eligible, BUDGET, COST)), 6, "uplift_score")
 
 
+@query
+def campaign_targets_large(spark, sf_dir):
+    """Every eligible customer as a target, with the place in the list."""
+    eligible = campaign.eligible_targets(segmented(spark, sf_dir), min_uplift=0.01)
+    return campaign.placed_targets(eligible, 1e9, COST).select("place", "customer_id", "value_at_risk")
+
+
 @query
 def campaign_return(spark, sf_dir):
     return campaign.campaign_return(campaign.eligible_targets(segmented(spark, sf_dir)), BUDGET, COST)
@@ -613,3 +694,44 @@ def saved_learner_responses(spark, sf_dir):
     two_models(spark, sf_dir).save(spark, folder)
     learner = learners.load_learner(spark, folder)
     return scoring.score_batch(requests(spark, sf_dir), learner.outcomes)[0]
+
+
+@query
+def fitted_scores_consistent(spark, sf_dir):
+    """Of the fitted learner's stored rows: how many differ from uplift, quadrant and value worked out again from its two outcomes."""
+    learner = two_models(spark, sf_dir)
+    rows = store(uplift.segment(learner.score(modeling(spark, sf_dir)), learner.risk_threshold))
+    u, risk = F.col("mu_0_control") - F.col("mu_1_treatment"), F.col("mu_0_control")
+    again = (
+        F.when((u > 0.01) & (risk > learner.risk_threshold), "Persuadable").when((u > 0.01) & (risk <= learner.risk_threshold), "Sure Thing")
+        .when(u < -0.01, "Sleeping Dog").otherwise("Lost Cause")
+    )
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("uplift_score") - u) > 1e-12).alias("n_uplift"),
+        F.count_if(F.col("quadrant") != again).alias("n_quadrant"),
+        F.count_if(F.abs(F.col("value_at_risk") - F.col("clv") * u) > 0.005 + 1e-9).alias("n_value"),
+    )
+
+
+@query
+def saved_learner_consistent(spark, sf_dir):
+    """Responses of a learner that was saved and loaded, against those of the learner itself: rows, and rows that differ."""
+    asked = requests(spark, sf_dir)
+    first = scoring.score_batch(asked, two_models(spark, sf_dir).outcomes)[0]
+    second = saved_learner_responses(spark, sf_dir)
+    differ = first.exceptAll(second).agg(F.count("*").alias("n")).scalar()
+    return second.agg(F.count("*").alias("n_rows")).withColumn("n_differ", differ)
+
+
+@query
+def fitted_propensity_moments(spark, sf_dir):
+    """With a free intercept the logistic probabilities sum to the number treated, whatever the ridge term is."""
+    fit = propensity(spark, sf_dir)
+    rows = fit.score(modeling(spark, sf_dir))
+    total, treated = F.sum("propensity"), F.sum("treatment")
+    logistic = fit.chosen == "logistic"
+    return rows.agg(
+        F.count("*").alias("n_rows"), treated.alias("n_treated"),
+        (F.lit(not logistic) | (F.abs(total - treated) <= 0.01 * treated + 1)).alias("sums_to_treated"),
+        F.count_if(~F.col("propensity").between(0, 1)).alias("n_outside"),
+    )

@@ -11,7 +11,8 @@ from holdfast.sources.derived import levels
 
 
 def R(expression: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Half away from zero, once, on the shortest decimal that stands for the double."""
+    return f"CAST(ROUND(CAST(CAST(CAST({expression} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def N(expression: str) -> str:
@@ -271,6 +272,58 @@ for _name, _schema in TABLES.items():
             "WHERE NOT EXISTS (SELECT 1 FROM customers p WHERE p.customer_id = c.customer_id)"
         )
 oracle("table_checks", "SELECT *, n_bad = 0 AS passed FROM (" + " UNION ALL ".join(_checks) + ")")
+
+_NULLED = {
+    "customers": ["customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months", "contract_type"],
+    "services": [
+        "customer_id", "phone_service", "multiple_lines", "internet_service", "online_security", "online_backup",
+        "device_protection", "tech_support", "streaming_tv", "streaming_movies",
+    ],
+    "billing": ["customer_id", "monthly_charges", "total_charges", "payment_method", "paperless_billing", "customer_lifetime_value"],
+    "marketing": ["customer_id", "marketing_offer_given", "propensity_score"],
+    "churn_labels": ["customer_id", "churn_label", "churn_binary"],
+}
+_OUT = {
+    "tenure_months": (50, "-1"), "senior_citizen": (51, "7"), "monthly_charges": (52, "-5.0::DOUBLE"),
+    "customer_lifetime_value": (53, "0.0::DOUBLE"), "marketing_offer_given": (54, "2"), "propensity_score": (55, "1.5::DOUBLE"),
+    "churn_binary": (56, "3"),
+}
+_dirty = []
+for _name, _columns in _NULLED.items():
+    _cells = []
+    for _i, _column in enumerate(_columns):
+        _wrong = f" WHEN customer_id % 101 = {_OUT[_column][0]} THEN {_OUT[_column][1]}" if _column in _OUT else ""
+        _cells.append(f"CASE WHEN customer_id % 101 = {_i} THEN NULL{_wrong} ELSE {_column} END AS {_column}")
+    _text = f"SELECT {', '.join(_cells)} FROM {_name} UNION ALL SELECT {', '.join(_columns)} FROM {_name} WHERE customer_id % 97 = 1"
+    if _name != "customers":
+        _text += f" UNION ALL SELECT customer_id + 10000000, {', '.join(_columns[1:])} FROM {_name} WHERE customer_id % 89 = 2"
+    _dirty.append(f"dirty_{_name} AS ({_text})")
+_PREFIX_DIRTY = _PREFIX.rstrip() + ", " + ", ".join(_dirty) + " "
+_dirty_checks = []
+for _name, _columns in _NULLED.items():
+    _rules = {f"{c} not null": f"{c} IS NOT NULL" for c in _columns} | _LIMITS[_name]
+    _dirty_checks += [
+        f"SELECT '{_name}' AS \"table\", '{rule}' AS \"check\", COUNT(*) FILTER (NOT COALESCE({test}, FALSE)) AS n_bad FROM dirty_{_name}"
+        for rule, test in _rules.items()
+    ]
+    _dirty_checks.append(
+        f"SELECT '{_name}', 'customer_id unique', {N('SUM(n - 1)')} FROM (SELECT COUNT(*) AS n FROM dirty_{_name} GROUP BY customer_id)"
+    )
+    if _name != "customers":
+        _dirty_checks.append(
+            f"SELECT '{_name}', 'customer_id known', COUNT(*) FROM dirty_{_name} c "
+            "WHERE NOT EXISTS (SELECT 1 FROM dirty_customers p WHERE p.customer_id = c.customer_id)"
+        )
+ORACLES["table_checks_of_broken_rows"] = _PREFIX_DIRTY + "SELECT *, n_bad = 0 AS passed FROM (" + " UNION ALL ".join(_dirty_checks) + ")"
+ORACLES["null_total_of_broken_rows"] = (
+    _PREFIX_DIRTY + "SELECT " + N(" + ".join(f"COUNT(*) FILTER ({c} IS NULL)" for c in _NULLED["services"])) + " AS n_nulls FROM dirty_services"
+)
+oracle(
+    "offer_assignment",
+    "SELECT customer_id, propensity_score, CASE WHEN CAST('0x' || substr(md5(customer_id || ':42'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE "
+    "< propensity_score THEN 1 ELSE 0 END AS offer FROM modeling",
+)
+oracle("modeling_export", "SELECT * FROM modeling")
 oracle(
     "join_completeness",
     "SELECT n_joined, n_customers, n_joined = n_customers AS passed FROM "
@@ -346,6 +399,15 @@ oracle(
     )
     + " FROM modeling GROUP BY contract_type",
 )
+_prices = ", ".join(f"{R(f'QUANTILE_CONT(CAST(l_extendedprice AS DOUBLE), {p})', 6)} AS {name}" for name, p in {"p10": 0.1, "median": 0.5, "p99": 0.99}.items())
+oracle(
+    "percentiles_of_prices",
+    f"SELECT 'all' AS l_returnflag, {_prices} FROM lineitem UNION ALL SELECT l_returnflag, {_prices} FROM lineitem GROUP BY l_returnflag",
+)
+oracle(
+    "approximate_percentiles_within_promise",
+    "SELECT contract_type, COUNT(*) AS n_rows, TRUE AS p10_within, TRUE AS median_within FROM modeling GROUP BY contract_type",
+)
 oracle(
     "prefix_counts",
     f"SELECT k, {N('n_treated')} AS n_treated, {N('n_churned')} AS n_churned, {N('a_t')} AS all_n_treated, "
@@ -578,6 +640,11 @@ oracle(
     f"SELECT {_list} FROM (SELECT * FROM eligible WHERE uplift_score >= 0.05 AND contract_type IN ('Month-to-month', 'One year') "
     "AND internet_service IN ('Fiber optic') ORDER BY value_at_risk DESC, customer_id LIMIT 100)",
 )
+oracle("written_targets", f"SELECT {_list} FROM chosen")
+oracle(
+    "campaign_targets_large",
+    "SELECT ROW_NUMBER() OVER (ORDER BY value_at_risk DESC, customer_id) AS place, customer_id, value_at_risk FROM eligible",
+)
 _roi = "COALESCE((savings / NULLIF(n * 25, 0) - 1) * 100, 0)"
 oracle(
     "campaign_return",
@@ -623,3 +690,15 @@ oracle(
     )
     + ")",
 )
+
+ORACLES["written_model_report"] = ORACLES["learner_report"]
+ORACLES["written_fairness_report"] = ORACLES["fairness_report"]
+
+# ------------------------------------------------- fitted models, held against themselves
+_zero = "CAST(0 AS BIGINT)"
+oracle("fitted_scores_consistent", f"SELECT COUNT(*) AS n_rows, {_zero} AS n_uplift, {_zero} AS n_quadrant, {_zero} AS n_value FROM modeling")
+oracle("saved_learner_consistent", f"SELECT COUNT(*) AS n_rows, {_zero} AS n_differ FROM judged WHERE errors = ''")
+oracle(
+    "fitted_propensity_moments",
+    f"SELECT COUNT(*) AS n_rows, {N('SUM(treatment)')} AS n_treated, TRUE AS sums_to_treated, {_zero} AS n_outside FROM modeling",
+)

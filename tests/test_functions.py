@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,4 +102,6 @@ def test_small_numbers(spark):
     assert one(spark, yes_flag(F.lit(None).cast("string"))) == 0
     assert one(spark, fixed(F.lit(1.005), 2)) == 1.01
     assert one(spark, fixed(F.lit(-2.5), 0)) == -3.0
-    assert one(spark, fixed(F.lit(float("nan")), 2)) is None
+    assert np.isnan(one(spark, fixed(F.lit(float("nan")), 2)))
+    assert one(spark, fixed(F.lit(1e27), 2)) == 1e27 and one(spark, fixed(F.lit(None), 2)) is None
+    assert one(spark, fixed(F.lit(0.0049999999999996), 2)) == 0.0

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.operators import attach as attach_module
-from holdfast.operators import quantiles, ranking
+from holdfast.operators import quantiles
 from holdfast.operators.attach import attach
 from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.quantiles import median, percentiles
-from holdfast.operators.ranking import global_rank, tile, top_rows
-
-
-@pytest.fixture
-def all_groups_large(monkeypatch):
-    """Percentiles take the way for groups that do not fit one task."""
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", 0)
+from holdfast.operators.ranking import global_rank, range_partitions, tile, top_rows
+from holdfast.session import owned_scratch
 
 
 @pytest.fixture(scope="module")
@@ -75,9 +71,7 @@ def test_tile_equals_ntile(spark, n, k):
     assert both.where("a <> b").count() == 0
 
 
-@pytest.mark.parametrize("small_group", [0, 100_000])
-def test_percentiles_equal_numpy(skewed, monkeypatch, small_group):
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", small_group)
+def test_percentiles_equal_numpy(skewed):
     shares = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p70": 0.7, "p100": 1.0}
     got = percentiles(skewed, "score", shares, "id").first()
     values = np.array([r.score for r in skewed.select("score").collect()])
@@ -86,7 +80,7 @@ def test_percentiles_equal_numpy(skewed, monkeypatch, small_group):
 
 
 @pytest.mark.parametrize("share", [0.0, 0.003, 0.25, 0.5, 0.61803, 0.9997, 1.0])
-def test_percentiles_of_many_distinct_values(spark, all_groups_large, share):
+def test_percentiles_of_many_distinct_values(spark, share):
     """Enough rows that the sketch only brackets the target."""
     rows = spark.range(50_021, numPartitions=5).select(
         "id", (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("v"), F.when(F.col("id") % 50 == 0, "few").otherwise("many").alias("g")
@@ -98,7 +92,7 @@ def test_percentiles_of_many_distinct_values(spark, all_groups_large, share):
     assert percentiles(rows, "v", {"p": share}, "id").first().p == pytest.approx(np.percentile(values.v, 100 * share), rel=1e-13)
 
 
-def test_percentiles_beside_a_hot_value(spark, all_groups_large):
+def test_percentiles_beside_a_hot_value(spark):
     """A third of the rows share the value next to the target."""
     rows = spark.range(30_000).select("id", F.when(F.col("id") < 10_000, 5.0).otherwise(F.col("id") / 1000.0 - 9).alias("v"))
     values = rows.toPandas().v
@@ -108,7 +102,7 @@ def test_percentiles_beside_a_hot_value(spark, all_groups_large):
         assert got[name] == pytest.approx(np.percentile(values, 100 * share), rel=1e-13)
 
 
-def test_a_missed_bracket_falls_back_to_ranking(spark, all_groups_large, monkeypatch):
+def test_a_missed_bracket_falls_back_to_ranking(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "ACCURACY", 10)
     monkeypatch.setattr(quantiles, "MARGIN", 0.0)
     rows = spark.range(5_000).select("id", F.pmod(F.xxhash64("id"), F.lit(100_003)).cast("double").alias("v"))
@@ -123,9 +117,7 @@ def test_median_of_nothing(spark):
     assert median(empty.withColumn("v", F.lit(None).cast("double")), "v", "id").select(F.max("median")).first()[0] is None
 
 
-@pytest.mark.parametrize("small_group", [0, 100_000])
-def test_median_by_group_ignores_nulls(spark, monkeypatch, small_group):
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", small_group)
+def test_median_by_group_ignores_nulls(spark):
     rows = spark.createDataFrame(
         [(1, "a", 1.0), (2, "a", 2.0), (3, "a", 10.0), (4, "a", None), (5, "b", 4.0), (6, "b", 6.0), (7, "c", None)],
         "id long, g string, v double",
@@ -145,18 +137,33 @@ def test_prefix_sums_equal_plain_window(skewed, start):
     assert {tuple(r) for r in got.select("k", "t", "ty").collect()} == {tuple(r) for r in plain.collect()}
 
 
-def test_attach_beyond_its_limit_gives_the_same_rows(skewed):
+def test_attach_keeps_null_keys_and_leaves_the_strategy_to_spark(spark, skewed):
     small = skewed.groupBy("g").agg(F.count("*").alias("n"))
-    near, far = attach(skewed, small, "g"), attach(skewed, small, "g", limit=1)
-    assert near.count() == far.count() == 20_000
-    assert near.exceptAll(far.select(near.columns)).count() == 0
-    assert "BroadcastHashJoin" in near._jdf.queryExecution().toString()
-    assert attach_module.SMALL_ROWS == 10_000
+    joined = attach(skewed, small, "g")
+    assert joined.count() == 20_000 and joined.columns == [*skewed.columns, "n"]
+    holed = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id long, k string")
+    sides = spark.createDataFrame([(None, 7), ("a", 8)], "k string, v int")
+    assert {tuple(r) for r in attach(holed, sides, "k").select("id", "v").collect()} == {(1, 7), (2, 8)}
+    assert {tuple(r) for r in attach(holed, sides, "k", how="left").select("id", "v").collect()} == {(1, 7), (2, 8), (3, None)}
 
 
-def test_large_top_k_goes_by_rank(skewed, monkeypatch):
+@pytest.mark.parametrize("k", [1, 900, 5_000, 30_000])
+def test_top_rows_are_in_order_for_every_k_and_plan(skewed, k):
     order = [F.desc("score"), F.asc("id")]
-    small = {r.id for r in top_rows(skewed, 900, order).collect()}
-    monkeypatch.setattr(ranking, "TOP_IN_ONE_TASK", 10)
-    large = top_rows(skewed, 900, order)
-    assert {r.id for r in large.collect()} == small and large.columns == skewed.columns
+    expected = [r.id for r in skewed.orderBy(*order).collect()][:k]
+    for spread in (False, True):
+        top = top_rows(skewed, k, order, spread)
+        assert [r.id for r in top.collect()] == expected and top.columns == skewed.columns
+
+
+def test_range_partitions_grow_with_the_rows(spark):
+    assert range_partitions(spark.range(10)) == 8
+    assert range_partitions(spark.range(1_000), rows_per_task=10) == 100
+
+
+def test_owned_scratch_is_removed(spark):
+    with owned_scratch(spark) as mine:
+        ranked = global_rank(spark.range(100), [F.asc("id")])
+        assert ranked.count() == 100 and mine
+        assert all(Path(path.removeprefix("file:")).exists() for path in mine)
+    assert not any(Path(path.removeprefix("file:")).exists() for path in mine)
