@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from llm.common import as_batch
 
@@ -66,18 +67,55 @@ def gathered(df: DataFrame, buckets: int) -> DataFrame:
     return df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
 
-def each_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
-    """The entries of each bucket, from rows that come sorted by bucket."""
+def each_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.Buffer]]]:
+    """(bucket, its values) for rows that come sorted by bucket."""
     now, held = None, []
     for batch in batches:
         for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
             if bucket != now and held:
-                yield np.concatenate(held)
+                yield now, held
                 held = []
             now = bucket
-            held.append(np.frombuffer(data.as_buffer(), kind))
+            held.append(data.as_buffer())
     if held:
-        yield np.concatenate(held)
+        yield now, held
+
+
+def entries_of(values: list[pa.Buffer], kind: np.dtype) -> np.ndarray:
+    return np.concatenate([np.frombuffer(v, kind) for v in values])
+
+
+def each_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
+    """The entries of each bucket, from rows that come sorted by bucket."""
+    for _, values in each_group(batches):
+        yield entries_of(values, kind)
+
+
+#: Powers of two between which a table of bits may be sized: eight bits a key within them.
+LEAST_BITS, MOST_BITS = 16, 28
+
+
+def bit_table(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits set by the hashes in ``column``, as packed bytes, for ``in_table``.
+
+    A filter that may let more pass but never less. Spark sets the bits; the driver
+    gets at most 2^MOST_BITS of them (32 MB), whatever the input. ``keys`` is read twice.
+    """
+    size = min(MOST_BITS, max(LEAST_BITS, (8 * keys.count()).bit_length()))
+    slots = keys.select(F.col(column).bitwiseAND((1 << size) - 1).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b"))
+    pages = words.groupBy(F.shiftright("w", 9).alias("page")).agg(F.collect_list(F.struct((F.col("w") % 512).cast("int").alias("i"), "b")).alias("bits"))
+    table = np.zeros(1 << (size - 6), np.int64)
+    for row in pages.toLocalIterator():
+        for i, b in row["bits"]:
+            table[row["page"] * 512 + i] = b
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (signed 64 bits) have their bit set."""
+    slot = hashes & (8 * len(table) - 1)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
 def group_starts(sorted_values: np.ndarray) -> np.ndarray:

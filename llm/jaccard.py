@@ -1,12 +1,15 @@
 """N-gram Jaccard join: prefixes, grouped by identical prefix and size.
 
-A document's set holds its distinct shingles, ordered from rare to frequent by a
-count sketch over all documents (ties by hash). Two sets that reach the similarity
+A document's set holds its distinct shingles in one order for all documents: first
+those in the lowest part of hash space, twice as wide as prefixes are, from rare to
+frequent by a count sketch over all documents, then the others by hash. Two sets that reach the similarity
 share a shingle among their first n - ceil(t * n) + 1. Documents with the same set
 are one class, and classes with the same prefix and size one group; only groups
-send their prefix. The groups that share a prefix shingle make a list; lists are expanded to
-classes, pairs of fitting sizes are verified on their whole sets, and verified pairs
-are the links.
+send their prefix. The groups that share a prefix shingle make a list. Lists are expanded to classes. Pairs are filtered
+by size, by the places of the shared shingle, and by profiles (how many shingles
+fall into each of ``PROFILE`` parts of hash space: the sum of the lesser counts is
+no less than the intersection); the rest are verified on their whole sets, and
+verified pairs are the links.
 
 Groups of copies can be large, so a list doesn't emit all its pairs. Members are
 tried against one hub first: the member for which the list's shingle comes earliest
@@ -32,20 +35,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import PACKED_DDL, bucket_count, each_bucket, gathered, group_starts, packed
+from llm.blocks import PACKED, PACKED_DDL, bit_table, bucket_count, each_group, entries_of, gathered, group_starts, in_table, packed
 from llm.common import WORDS, as_batch, mixed, row_key, rows_in_batches, shingle_hashes, stored
 from llm.components import components
 
 LAST = (1 << 63) - 1
-#: Counters of the sketch, and counters in one of its pages.
-COUNTERS, PAGE = 1 << 20, 1 << 14
+#: Counters of the sketch, counters in one of its pages, and parts of a profile.
+COUNTERS, PAGE, PROFILE = 1 << 22, 1 << 16, 256
 HUBS = 3
 ENTRY = np.dtype([("h", "<u8"), ("prefix", "<i8"), ("n", "<i4"), ("at", "<i4")])
-INFO = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64())])
-LISTED = pa.schema([("token", pa.int64()), ("prefix", pa.int64()), ("n", pa.int64()), ("at", pa.int32())])
+ABOUT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("n", "<i8"), ("set", "<i8"), ("prefix", "<i8"), ("profile", f"V{PROFILE}")])
+FIELDS = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64()), ("profile", pa.binary()), ("token", pa.int64()), ("at", pa.int32())])
+FIELDS_DDL = "doc long, key long, n long, set long, prefix long, profile binary, token long, at int"
 
 
 def shingle_set(text: bytes | None, width: int) -> np.ndarray:
@@ -64,38 +68,60 @@ def _digest(values: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def low_part(values: np.ndarray, percent: int) -> np.ndarray:
+    """Which shingles lie in the part of hash space that is ordered by frequency."""
+    return values >> np.uint64(32) < np.uint64(min(100, 2 * (100 - percent)) * (1 << 32) // 100)
+
+
 def prefix_of(values: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles that come first, rare ones before frequent ones; enough of them to meet every similar set's."""
+    """The shingles that come first; enough of them to meet every similar set's."""
     n = len(values)
     length = n + percent * n // -100 + 1
-    key = ranks[values & np.uint64(len(ranks) - 1)].astype(np.uint64) << np.uint64(58) | values >> np.uint64(6)
-    return values[np.argsort(key, kind="stable")[:length]]
+    rank = np.where(low_part(values, percent), ranks[values & np.uint64(len(ranks) - 1)], 255).astype(np.uint64)
+    return values[np.argsort(rank << np.uint64(56) | values >> np.uint64(8), kind="stable")[:length]]
+
 
+def profile_of(values: np.ndarray) -> bytes:
+    """Shingles in each part of hash space; 255 stands for that many or more."""
+    return np.minimum(np.bincount((values >> np.uint64(40) & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
 
-def frequency_ranks(narrow: DataFrame, width: int) -> np.ndarray:
-    """log2 of the count of every counter of the sketch, over the shingles of all documents."""
+
+def frequency_ranks(narrow: DataFrame, width: int, percent: int) -> np.ndarray:
+    """Four times log2 of the count of every counter of the sketch, over the low shingles of all documents."""
+    schema = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
+
+        def take(sets: list[np.ndarray]) -> None:
+            np.add(counts, np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS), out=counts, casting="unsafe")
+
         for batch in batches:
-            sets = [shingle_set(t.as_py(), width) for t in batch.column("text")]
+            sets, size = [], 0
+            for text in batch.column("text"):
+                values = shingle_set(text.as_py(), width)
+                sets.append(values[low_part(values, percent)])
+                size += len(sets[-1])
+                if size > COUNTERS:
+                    take(sets)
+                    sets, size = [], 0
             if sets:
-                counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-        pages = counts.reshape(-1, PAGE)
-        yield as_batch(pa.schema([("bucket", pa.int64()), ("data", pa.binary())]), [np.arange(len(pages)), [p.tobytes() for p in pages]])
+                take(sets)
+        # One byte a counter: what a task has seen more often is frequent anyhow.
+        pages = np.minimum(counts, 255).astype(np.uint8).reshape(-1, PAGE)
+        yield as_batch(schema, [np.arange(len(pages)), [p.tobytes() for p in pages]])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for page, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[page] = sums.get(page, np.zeros(PAGE, np.uint64)) + np.frombuffer(data.as_buffer(), np.uint32)
+                sums[page] = sums.get(page, np.zeros(PAGE, np.uint64)) + np.frombuffer(data.as_buffer(), np.uint8)
         if sums:
-            yield as_batch(pa.schema([("bucket", pa.int64()), ("data", pa.binary())]), [list(sums), [np.log2(s + 1.0).astype(np.uint8).tobytes() for s in sums.values()]])
+            yield as_batch(schema, [list(sums), [np.minimum(4 * np.log2(s + 1.0), 254).astype(np.uint8).tobytes() for s in sums.values()]])
 
-    pages = COUNTERS // PAGE
-    summed = narrow.select("text").mapInArrow(count, PACKED_DDL).repartition(pages, "bucket").mapInArrow(add, PACKED_DDL)
+    summed = narrow.select("text").mapInArrow(count, PACKED_DDL).repartition(COUNTERS // PAGE, "bucket").mapInArrow(add, PACKED_DDL)
     ranks = np.zeros(COUNTERS, np.uint8)
-    for row in summed.collect():  # one byte a counter
+    for row in summed.toLocalIterator():  # one byte a counter
         ranks[row["bucket"] * PAGE : (row["bucket"] + 1) * PAGE] = np.frombuffer(row["data"], np.uint8)
     return ranks
 
@@ -107,20 +133,58 @@ def _once(entries: np.ndarray) -> np.ndarray:
     return entries[np.concatenate([[True], new])]
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups that share a shingle with another group."""
-    for entries in each_bucket(batches, ENTRY):
-        entries = _once(entries)
+def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows about documents as they came, and the groups that share a shingle with another group."""
+
+    def fields(part: np.ndarray, **columns) -> pa.RecordBatch:
+        arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(part), f.type) for f in FIELDS]
+        return pa.RecordBatch.from_arrays(arrays, schema=FIELDS)
+
+    for bucket, values in each_group(batches):
+        if bucket < 0:
+            for value in values:
+                about = np.frombuffer(value, ABOUT)
+                for a in range(0, len(about), 4096):
+                    part = about[a : a + 4096]
+                    profiles = [x.tobytes() for x in part["profile"]]
+                    yield fields(part, **{n: np.ascontiguousarray(part[n]) for n in ("doc", "key", "n", "set", "prefix")}, profile=profiles)
+            continue
+        entries = _once(entries_of(values, ENTRY))
         starts = group_starts(entries["h"])
         sizes = np.diff(np.append(starts, len(entries)))
         shared = entries[np.repeat(sizes > 1, sizes)]
         for a in range(0, len(shared), 65_536):
             part = shared[a : a + 65_536]
-            yield as_batch(LISTED, [np.ascontiguousarray(part["h"]).view(np.int64), part["prefix"], part["n"].astype(np.int64), part["at"]])
+            plain = {n: np.ascontiguousarray(part[n]) for n in ("h", "prefix", "n", "at")}
+            yield fields(part, token=plain["h"].view(np.int64), prefix=plain["prefix"], n=plain["n"].astype(np.int64), at=plain["at"])
+
+
+def _fitting(percent: int) -> Column:
+    """Sizes and the places of a shared shingle that leave room for enough common ones."""
+    most = F.least("at", "hub_at") + 1 + F.least(F.col("n") - F.col("at"), F.col("hub_n") - F.col("hub_at")) - 1
+    sizes = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    return sizes & (100 * most >= percent * (F.col("n") + F.col("hub_n") - most))
 
 
-def _fitting(percent: int):
-    return 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose profiles leave room for enough common shingles."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, PROFILE) for n in ("x", "y"))
+            full = (x == 255) & (y == 255)
+            n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("na", "nb"))
+            most = np.where(full.any(1), np.minimum(n, m), np.minimum(np.minimum(x, y).sum(1, dtype=np.int64), np.minimum(n, m)))
+            chosen = pa.array(100 * most >= percent * (n + m - most))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], schema=schema)
+
+    both = pairs
+    for side, profile, n in (("a", "x", "na"), ("b", "y", "nb")):
+        both = both.join(classes.select(F.col("set").alias(side), F.col("profile").alias(profile), F.col("n").alias(n)), side)
+    return both.select("a", "b", "x", "y", "na", "nb").mapInArrow(keep, "a long, b long")
 
 
 def linked_sets(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,26 +234,32 @@ def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
     """(doc, key, n, component, smallest) of every row."""
     spark = docs.sparkSession
     narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("binary").alias("text"), row_key("doc_id", "text").alias("key"))
-    ranks = spark.sparkContext.broadcast(frequency_ranks(narrow, width))  # one byte a counter
+    ranks = spark.sparkContext.broadcast(frequency_ranks(narrow, width, percent))  # one byte a counter
     buckets = bucket_count(narrow)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows about documents, and between them packed prefixes for the join."""
-        schema = pa.schema([*INFO, ("bucket", pa.int64()), ("data", pa.binary())])
-        info: list[tuple] = []
+        """Packed prefixes by shingle, and rows about documents in buckets below zero."""
+        held: list[tuple] = []
+
+        def about() -> pa.RecordBatch:
+            rows = np.array(held, ABOUT)
+            held.clear()
+            where = rows["set"] % buckets
+            order = np.argsort(where, kind="stable")
+            rows, where = rows[order], where[order]
+            starts = group_starts(where)
+            parts = [rows[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(rows)))]
+            return as_batch(PACKED, [-1 - where[starts], parts])
 
         def entries() -> Iterator[np.ndarray]:
             seen: set[int] = set()
             for batch in batches:
                 for doc, key, text in zip(batch.column("doc").to_pylist(), batch.column("key").to_pylist(), batch.column("text")):
                     values = shingle_set(text.as_py(), width)
-                    if not len(values):
-                        info.append((doc, key, 0, 0, 0))
-                        continue
-                    first = prefix_of(values, ranks.value, percent)
+                    first = prefix_of(values, ranks.value, percent) if len(values) else values
                     prefix = _digest(np.append(first, np.uint64(len(values))))
-                    info.append((doc, key, len(values), _digest(values), prefix))
-                    if prefix not in seen:
+                    held.append((doc, key, len(values), _digest(values), prefix, profile_of(values)))
+                    if len(values) and prefix not in seen:
                         if len(seen) > 100_000:
                             seen.clear()
                         seen.add(prefix)
@@ -198,57 +268,69 @@ def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
                         yield out
 
         for rows in packed(entries(), buckets):
-            none = pa.nulls(rows.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([none] * len(INFO) + rows.columns, schema=schema)
-            if len(info) > 4096:
-                yield as_batch(schema, [*zip(*info), [None] * len(info), [None] * len(info)])
-                info.clear()
-        if info:
-            yield as_batch(schema, [*zip(*info), [None] * len(info), [None] * len(info)])
-
-    described = stored(narrow.mapInArrow(describe, f"doc long, key long, n long, set long, prefix long, {PACKED_DDL}"), "sets")
-    info = described.filter("doc IS NOT NULL").select("doc", "key", "n", "set", "prefix")
-    classes = info.filter("n > 0").groupBy("set", "n", "prefix").agg(F.min("doc").alias("rep"))
+            yield rows
+            if held:
+                yield about()
+        if held:
+            yield about()
+
+    sent = narrow.mapInArrow(describe, PACKED_DDL)
+    received = stored(gathered(sent, 2 * buckets).mapInArrow(_received, FIELDS_DDL), "sets")
+    info = received.filter("doc IS NOT NULL").select("doc", "key", "n", "set", "prefix")
+    classes = received.filter("doc IS NOT NULL AND n > 0").groupBy("set", "n", "prefix").agg(F.min("doc").alias("rep"), F.first("profile").alias("profile"))
     classes = stored(classes, "classes")
-    sent = described.filter("data IS NOT NULL").select("bucket", "data")
-    groups = gathered(sent, buckets).mapInArrow(_lists, "token long, prefix long, n long, at int")
-    # Several sets in one group are a list of their own, by the group's first shingle, which no other group need share.
+    groups = received.filter("token IS NOT NULL").select("token", "prefix", "n", "at")
+    # Several sets in one group are a list of their own, by the group itself.
     crowded = classes.groupBy("prefix", "n").agg(F.count("*").alias("sets")).filter("sets > 1")
     own = crowded.select(F.col("prefix").alias("token"), "prefix", "n", F.lit(0).alias("at"))
-    listed = groups.union(own).join(classes.select("prefix", "set", "rep"), "prefix").select("token", "set", "n", "at", "rep")
-    listed = stored(listed, "lists")
+    listed = stored(groups.union(own).join(classes.select("prefix", "set"), "prefix").select("token", "set", "n", "at"), "lists")
+    return _labelled(info, classes, _links(listed, classes, narrow, width, percent, hubs))
 
-    wanted = listed.select("rep", "set").distinct()
-    sets = stored(_whole_sets(narrow.join(wanted.withColumnRenamed("rep", "doc"), "doc"), width), "whole")
-    edges = _links(listed, sets, percent, hubs)
-    return _labelled(info, classes, edges)
 
+def _whole_sets(narrow: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(set, values) of the classes whose first documents are ``wanted`` (rep), and of some others.
 
-def _whole_sets(rows: DataFrame, width: int) -> DataFrame:
-    """(set, values) of the wanted sets, from the texts of their first documents."""
+    Documents are picked by a table of bits, so texts are read but not moved.
+    """
+    table = narrow.sparkSession.sparkContext.broadcast(bit_table(wanted.select(F.xxhash64("rep").alias("hash")), "hash"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("set", pa.int64()), ("values", pa.binary())])
+        seen: set[int] = set()
 
         def found() -> Iterator[tuple]:
             for batch in batches:
-                for wanted, text in zip(batch.column("set").to_pylist(), batch.column("text")):
-                    values = shingle_set(text.as_py(), width)
-                    if len(values) and _digest(values) == wanted:
-                        yield wanted, values.tobytes()
+                text = batch.column("text")
+                for i in np.flatnonzero(in_table(table.value, batch.column("hash").to_numpy(zero_copy_only=False))):
+                    values = shingle_set(text[int(i)].as_py(), width)
+                    if len(values) and (name := _digest(values)) not in seen:
+                        if len(seen) > 100_000:
+                            seen.clear()
+                        seen.add(name)
+                        yield name, values.tobytes()
 
-        yield from rows_in_batches(found(), schema, 512)
+        yield from rows_in_batches(found(), schema, 256)
 
-    return rows.select("set", "text").mapInArrow(read, "set long, values binary").dropDuplicates(["set"])
+    return narrow.select(F.xxhash64("doc").alias("hash"), "text").mapInArrow(read, "set long, values binary")
 
 
-def _links(listed: DataFrame, sets: DataFrame, percent: int, hubs: int) -> DataFrame:
+def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
     """Verified links (a, b) between sets, enough to connect all that links connect."""
-    place = F.struct("at", "set", "n")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Links among the pairs; sets that equal texts in several tasks have repeat, links don't."""
+        likely = stored(_alike(pairs, classes, percent), "likely")
+        ends = likely.select(F.col("a").alias("set")).union(likely.select(F.col("b").alias("set"))).distinct()
+        wanted = stored(ends.join(classes.select("set", "rep"), "set"), "wanted")
+        if not wanted.head(1):
+            return likely
+        sets = stored(_whole_sets(narrow, wanted, width).join(ends, "set", "left_semi"), "whole")
+        return stored(linked_sets(likely, sets, percent).distinct(), "links")
+
     edges = tried = None
-    rest = listed.select("token", "set", "n", "at")
-    for turn in range(hubs):
-        hub = rest.groupBy("token").agg(F.min(place).alias("hub"), F.count("*").alias("members")).filter("members > 1")
+    rest = listed
+    for _ in range(hubs):
+        hub = rest.groupBy("token").agg(F.min(F.struct("at", "set", "n")).alias("hub"), F.count("*").alias("members")).filter("members > 1")
         against = rest.join(hub.select("token", F.col("hub.at").alias("hub_at"), F.col("hub.set").alias("hub_set"), F.col("hub.n").alias("hub_n")), "token")
         against = against.filter(F.col("set") != F.col("hub_set"))
         pairs = against.filter(_fitting(percent)).select(F.least("set", "hub_set").alias("a"), F.greatest("set", "hub_set").alias("b")).distinct()
@@ -256,19 +338,20 @@ def _links(listed: DataFrame, sets: DataFrame, percent: int, hubs: int) -> DataF
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        found = stored(linked_sets(pairs, sets, percent), "links")
+        found = verified(pairs)
         edges = found if edges is None else edges.union(found)
-        # Lists go on without their hub, as long as their other members are not all connected.
+        # Lists go on without their hub, as long as two of their other members that are not connected might fit.
         label = components(edges)
         rest = against.select("token", "set", "n", "at").join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("part", F.coalesce("component", "set"))
         apart = rest.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token")
         rest = stored(rest.join(apart, "token", "left_semi").select("token", "set", "n", "at", "part"), "rest")
         if not rest.head(1):
             return edges
-    other = rest.select("token", F.col("set").alias("hub_set"), F.col("n").alias("hub_n"), F.col("part").alias("hub_part"))
-    pairs = rest.join(other, "token").filter((F.col("set") < F.col("hub_set")) & (F.col("part") != F.col("hub_part")) & _fitting(percent))
+        rest_parts, rest = rest, rest.drop("part")
+    other = rest_parts.select("token", F.col("set").alias("hub_set"), F.col("n").alias("hub_n"), F.col("at").alias("hub_at"), F.col("part").alias("hub_part"))
+    pairs = rest_parts.join(other, "token").filter((F.col("set") < F.col("hub_set")) & (F.col("part") != F.col("hub_part")) & _fitting(percent))
     pairs = pairs.select(F.col("set").alias("a"), F.col("hub_set").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return edges.union(stored(linked_sets(pairs, sets, percent), "links"))
+    return edges.union(verified(stored(pairs, "pairs")))
 
 
 def _labelled(info: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:

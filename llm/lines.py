@@ -34,13 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import PACKED_DDL, bucket_count, each_bucket, gathered, group_starts, packed
+from llm.blocks import PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, in_table, packed
 from llm.common import WORDS, mixed, rows_in_batches, stored
 
 NEAR_WORDS = 8
 LAST = (1 << 63) - 1
-#: Bits of the table of shared halves: eight for each half, within these powers of two.
-LEAST_BITS, MOST_BITS = 16, 28
 LINES = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("halves", pa.list_(pa.int64()))])
 NEAR = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("words", pa.binary())])
 ENTRY = np.dtype([("h", "<u8"), ("of", "<i8"), ("doc", "<i8"), ("line", "<i4"), ("at", "<i2"), ("n", "<i2")])
@@ -95,8 +93,7 @@ def _near_scan(table, near_words: int):
     """Word hashes of lines that share a half with another, once per line and task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(table.value.view(np.uint8), bitorder="little").view(np.bool_)
-        mask = len(bits) - 1
+        bits = table.value
         first: dict[int, tuple] = {}
 
         def rows() -> Iterator[tuple]:
@@ -104,7 +101,7 @@ def _near_scan(table, near_words: int):
                 for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
                     for number, line in enumerate(_text_lines(text.as_py())):
                         words = line.split()
-                        if len(words) >= near_words - 1 and any(bits[k & mask] for k in halves(words)):
+                        if len(words) >= near_words - 1 and in_table(bits, np.array(halves(words), np.int64)).any():
                             h = line_hash(words)
                             if h not in first or (doc, number) < first[h]:
                                 if len(first) > 200_000:
@@ -194,27 +191,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], schema=schema)
 
 
-def _bit_table(keys: DataFrame) -> np.ndarray:
-    """Bits of the hashes in ``keys``, set by Spark; the driver gets at most 2^MOST_BITS bits, whatever the input."""
-    count = keys.count()
-    size = min(MOST_BITS, max(LEAST_BITS, (8 * count).bit_length()))
-    slots = keys.select(F.col("half").bitwiseAND((1 << size) - 1).alias("slot"))
-    # 4 KB of bits a row: at most 2^(MOST_BITS - 15) rows.
-    words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b"))
-    pages = words.groupBy(F.shiftright("w", 9).alias("page")).agg(F.collect_list(F.struct((F.col("w") % 512).cast("int").alias("i"), "b")).alias("bits"))
-    table = np.zeros(1 << (size - 6), np.int64)
-    for row in pages.toLocalIterator():
-        for i, b in row["bits"]:
-            table[row["page"] * 512 + i] = b
-    return table
-
-
 def near_lines(narrow: DataFrame, lines: DataFrame, near_words: int) -> DataFrame:
     """(h): distinct lines that have an earlier line at an edit distance of one."""
     spark = narrow.sparkSession
     keys = lines.select("h", F.explode("halves").alias("half"))
     shared = keys.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("half")
-    table = spark.sparkContext.broadcast(_bit_table(stored(shared, "halves")))
+    table = spark.sparkContext.broadcast(bit_table(stored(shared, "halves"), "half"))
     near = stored(narrow.mapInArrow(_near_scan(table, near_words), "h long, doc long, line int, words binary"), "near")
     buckets = bucket_count(narrow)
     found = gathered(near.mapInArrow(_send(buckets), PACKED_DDL), buckets).mapInArrow(_earliest, "h long, doc long, line int, other long")
