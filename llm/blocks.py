@@ -30,8 +30,8 @@ def bucket_count(df: DataFrame, per_partition: int = 4) -> int:
     return max(8, per_partition * df.rdd.getNumPartitions())
 
 
-def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
 def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
@@ -43,13 +43,13 @@ def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.nd
         every = np.concatenate(held)
         if combine is not None:
             every = combine(every)
-        bucket = _bucket_of(every["h"], buckets)
+        bucket = bucket_of(every["h"], buckets)
         order = np.argsort(bucket, kind="stable")
         every, bucket = every[order], bucket[order]
         starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         stops = np.append(starts[1:], len(bucket))
         rows = [every[a:b].tobytes() for a, b in zip(starts, stops)]
-        yield as_batch(PACKED, [bucket[starts].astype(np.int64), rows])
+        yield as_batch(PACKED, [bucket[starts], rows])
 
     for part in entries:
         if len(part):

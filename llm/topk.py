@@ -46,7 +46,7 @@ def whole_vectors(df: DataFrame, id_column: str, vector_column: str, scale: floa
     return rows.select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(scale)).cast("long")).alias("cells"))
 
 
-def _packer(query_step: int):
+def _packer(query_step: int, query_block: int, candidate_block: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of queries and of candidates; each task numbers its own."""
         from pyspark import TaskContext
@@ -72,9 +72,9 @@ def _packer(query_step: int):
                     held["c"].append(row)
                     if row[0] % query_step == 0:
                         held["q"].append(row)
-                    if len(held["c"]) >= CANDIDATE_BLOCK:
+                    if len(held["c"]) >= candidate_block:
                         yield flush("c")
-                    if len(held["q"]) >= QUERY_BLOCK:
+                    if len(held["q"]) >= query_block:
                         yield flush("q")
             for side in ("c", "q"):
                 if held[side]:
@@ -192,14 +192,14 @@ def _searcher(k: int):
     return search
 
 
-def exact_top_k(df: DataFrame, k: int = 20, query_step: int = 20, scale: float = 64.0, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+def exact_top_k(df: DataFrame, k: int = 20, query_step: int = 20, scale: float = 64.0, id_column: str = "vec_id", vector_column: str = "embedding", query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest inner products of every query against all other rows.
 
     Queries are the rows whose id is divisible by ``query_step``. Runs the
     packing of blocks at once; the search itself is lazy.
     """
     vectors = whole_vectors(df, id_column, vector_column, scale)
-    blocks = stored(vectors.mapInArrow(_packer(query_step), PACKED), "blocks")
+    blocks = stored(vectors.mapInArrow(_packer(query_step, query_block, candidate_block), PACKED), "blocks")
     q, c = (
         blocks.filter(F.col("side") == side).select(*[F.col(x).alias(f"{side}_{x}") for x in ("block", "ids", "width", "cells")])
         for side in ("q", "c")

@@ -199,14 +199,12 @@ def best_pairs(vectors, k, step):
 
 
 @pytest.mark.parametrize("blocks", [(512, 4096), (3, 7)])
-def test_top_k(spark, monkeypatch, blocks):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", blocks[0])
-    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", blocks[1])
+def test_top_k(spark, blocks):
     rng = np.random.default_rng(0)
     good = [(k, [float(v) for v in rng.normal(size=20)]) for k in range(90)] + [(100 + k, [0.5] * 20) for k in range(40)] + [(200, []), (205, [1.0]), (210, [3e5] * 20)]
     bad = [(300, None), (305, [1.0, None]), (310, [float("nan")]), (315, [float("inf")]), (None, [1.0])]
     df = spark.createDataFrame([(i, x, 1, 2) for i, x in good + bad], "vec_id long, embedding array<double>, rank int, score long").repartition(3)
-    found = topk.exact_top_k(df, k=6, query_step=5)
+    found = topk.exact_top_k(df, k=6, query_step=5, query_block=blocks[0], candidate_block=blocks[1])
     whole = [(i, [int(np.floor(64 * v)) for v in x]) for i, x in good]
     assert counted(found.select("query_id", "rank", "vec_id", "score").collect()) == Counter(best_pairs(whole, 6, 5))
     assert topk.exact_top_k(df.limit(0)).count() == 0
@@ -324,10 +322,10 @@ def test_branch_and_bound_beats_best_fit():
 
 
 @KINDS
-@pytest.mark.parametrize("width, deepest", [(13, 13), (13, None), (4, 8)])
-def test_repeated_windows_go(spark, clashing, width, deepest):
+@pytest.mark.parametrize("width, deepest, shared", [(13, 13, 256), (13, None, 1), (4, 8, 2), (13, 13, 3)])
+def test_repeated_windows_go(spark, clashing, width, deepest, shared):
     data = corpus.rows()
-    found = substrings.remove_repeats(corpus.frame(spark, clashing), width, deepest).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    found = substrings.remove_repeats(corpus.frame(spark, clashing), width, deepest, shared=shared).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert counted(found) == Counter(corpus.repeats_removed(data, width))
 
 
