@@ -9,12 +9,14 @@ neighbourhood: itself and itself without each word, each hashed as a key. Lines
 that share a key are joined: without the same word place they differ by one
 replaced word; a whole line that equals another without one word differs by that
 word. Only the earliest of a group matters, so no pairs are made within groups.
-Each pair found is then verified by its edit distance over all words.
+Each pair found is then verified by its edit distance over the words themselves.
 
-Before that, a line is left out of the join if no other line can be near: two lines
-at distance one agree in their first or in their last half, so halves are counted
-first. The halves that occur in different lines go to the scan as a table of bits
-of bounded size; where it is too full it lets more lines pass, never fewer.
+Two lines at distance one agree in their first or in their last half. So halves are
+counted first, and a line sends only the part of its neighbourhood that a shared
+half leaves open. The halves that occur in different lines go to the scan as a
+table of bits of bounded size; where it is too full it lets more pass, never less.
+Scans work on whole blocks of text at a time, by sums of powers from which the hash
+of any run of words follows.
 
 Defined cases: lines end at a line feed; lines without words are never removed, and
 white space within a line does not count; null and empty texts have no lines to
@@ -26,223 +28,306 @@ null; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, in_table, packed
-from llm.common import WORDS, mixed, rows_in_batches, stored
+from llm.common import ODD, mixed, row_key, rows_in_batches, stored
 
 NEAR_WORDS = 8
 LAST = (1 << 63) - 1
-LINES = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("halves", pa.list_(pa.int64()))])
-NEAR = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("words", pa.binary())])
-ENTRY = np.dtype([("h", "<u8"), ("of", "<i8"), ("doc", "<i8"), ("line", "<i4"), ("at", "<i2"), ("n", "<i2")])
-FOUND = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("other", pa.int64())])
-
-
-def _hash(data: bytes, seed: int = 0) -> int:
-    value = xxhash.xxh3_64_intdigest(data, seed)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def line_hash(words: list[bytes]) -> int:
-    return _hash(b" ".join(words))
-
-
-def halves(words: list[bytes]) -> list[int]:
-    """Keys of the first and last halves, for this length and for one word more: near lines share one."""
-    n = len(words)
-    firsts, lasts = {n // 2, (n + 1) // 2}, {(n + 1) // 2, n // 2 + 1}
-    return [_hash(b" ".join(words[:k]), 2 * k) for k in firsts] + [_hash(b" ".join(words[n - k :]), 2 * k + 1) for k in lasts]
-
-
-def neighbourhood(codes: np.ndarray) -> np.ndarray:
-    """Hashes of the words without each one in turn, and last of all words."""
-    n = len(codes)
-    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, np.uint64(0xD6E8FEB86659FD93))]))
-    terms = mixed(codes)
-    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms * power[:n])])  # words left of a place, at their own powers
-    after = np.concatenate([np.cumsum((terms[1:] * power[: n - 1])[::-1])[::-1], np.zeros(1, np.uint64)])  # words right of it, one place down
-    return mixed(np.concatenate([before[:n] + after, before[n:]]))
-
-
-def _text_lines(text: bytes | None) -> list[bytes]:
-    return text.split(b"\n") if text is not None else []
-
-
-def _line_scan(near_words: int):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                    for number, line in enumerate(_text_lines(text.as_py())):
-                        if words := line.split():
-                            yield line_hash(words), doc, number, halves(words) if len(words) >= near_words - 1 else None
-
-        yield from rows_in_batches(rows(), LINES)
-
-    return scan
-
-
-def _near_scan(table, near_words: int):
-    """Word hashes of lines that share a half with another, once per line and task."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = table.value
-        first: dict[int, tuple] = {}
-
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                    for number, line in enumerate(_text_lines(text.as_py())):
-                        words = line.split()
-                        if len(words) >= near_words - 1 and in_table(bits, np.array(halves(words), np.int64)).any():
-                            h = line_hash(words)
-                            if h not in first or (doc, number) < first[h]:
-                                if len(first) > 200_000:
-                                    first.clear()
-                                first[h] = (doc, number)
-                                yield h, doc, number, WORDS.of(words).tobytes()
-
-        yield from rows_in_batches(rows(), NEAR)
-
-    return scan
-
+#: Bytes of text that are scanned at a time, unless one text has more.
+BLOCK = 1 << 21
+LINES = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("k3", pa.int64())])
+LINES_DDL = "h long, doc long, key long, line int, n int, k1 long, k2 long, k3 long"
+#: ``of``: the line; ``at``: the place of the word left out, -1 for none.
+ENTRY = np.dtype([("h", "<u8"), ("of", "<i8"), ("at", "<i4"), ("n", "<i4")])
+MEMBER = pa.schema([("group", pa.int64()), ("side", pa.int32()), ("h", pa.int64())])
+#: Sides of a group: lines of one length with one word left out; whole lines; lines that equal them without a word.
+REPLACED, WHOLE, LONGER = 0, 1, 2
+
+SPACE = np.zeros(256, np.bool_)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+BASE = 0xD6E8FEB86659FD93
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """At least n powers of the base and of its inverse, modulo 2^64; kept per worker."""
+    if len(_POWERS[0]) < n:
+        size = max(n, BLOCK + 1)
+        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            steps = np.full(size, np.uint64(base))
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps)
+    return _POWERS
+
+
+@dataclass
+class Scanned:
+    """The lines with words of a block of texts, and sums from which runs of words are hashed."""
+
+    sums: np.ndarray
+    starts: np.ndarray  # of each line, in words
+    stops: np.ndarray
+    text: np.ndarray  # which text a line is in
+    line: np.ndarray  # its number there
+    bytes_from: np.ndarray
+    bytes_to: np.ndarray
+
+    def run(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.sums[b] - self.sums[a]) * _powers(len(self.sums))[1][a]
+
+    def sequence(self, value: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return mixed(value + n.astype(np.uint64) * ODD)
+
+    def hashes(self) -> np.ndarray:
+        return self.sequence(self.run(self.starts, self.stops), self.stops - self.starts)
+
+    def first(self, k: np.ndarray) -> np.ndarray:
+        return mixed(self.run(self.starts, self.starts + k) ^ (k * 2 + 1).astype(np.uint64) * ODD)
+
+    def last(self, k: np.ndarray) -> np.ndarray:
+        return mixed(self.run(self.stops - k, self.stops) ^ (k * 2 + 2).astype(np.uint64) * ODD)
+
+    def halves(self) -> list[np.ndarray]:
+        """Three keys a line: first and last halves for its length and for one word more. Near lines share one."""
+        n = self.stops - self.starts
+        third = np.where(n % 2 == 0, self.last(np.minimum(n // 2 + 1, n)), self.first((n + 1) // 2))
+        return [self.first(n // 2), self.last((n + 1) // 2), third]
+
+
+def scan_lines(texts: list[bytes]) -> Scanned:
+    data = b"\n".join(texts)
+    b = np.frombuffer(data, np.uint8)
+    power, inverse = _powers(len(b) + 1)
+    edges = np.diff(np.concatenate([[0], (~SPACE[b]).astype(np.int8), [0]]))
+    starts, stops = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[: len(b)])])
+    words = mixed((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64) * ODD)
+    feeds = np.cumsum(b == 10)
+    of_word = feeds[starts] if len(starts) else starts
+    at = group_starts(of_word)
+    ends = np.append(at[1:], len(words)) if len(at) else at
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    first_line = np.array([feeds[x - 1] if x else 0 for x in begins])
+    numbers = of_word[at]
+    text = np.searchsorted(begins, starts[at], "right") - 1
+    word_sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * power[: len(words)])])
+    return Scanned(word_sums, at, ends, text, (numbers - first_line[text]).astype(np.int32), starts[at], stops[ends - 1] if len(at) else at)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """(doc, key, texts) of about ``BLOCK`` bytes at a time."""
+    for batch in batches:
+        doc, key = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "key"))
+        begin, size, texts = 0, 0, []
+        for i, text in enumerate(batch.column("text")):
+            texts.append(text.as_py() or b"")
+            size += len(texts[-1]) + 1
+            if size >= BLOCK or i == batch.num_rows - 1:
+                yield doc[begin : i + 1], key[begin : i + 1], texts
+                begin, size, texts = i + 1, 0, []
+
+
+def _line_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for doc, key, texts in _blocks(batches):
+        x = scan_lines(texts)
+        numbers = [v.view(np.int64) for v in (x.hashes(), *x.halves())]
+        arrays = [numbers[0], doc[x.text], key[x.text], x.line, (x.stops - x.starts).astype(np.int32), *numbers[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=LINES)
+
+
+def neighbourhood(x: Scanned, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Entries of the lines ``rows``: whole, and without each word at a place below ``low`` or from ``high`` on."""
+    starts, stops = x.starts[rows], x.stops[rows]
+    n = stops - starts
+    of = x.hashes()[rows]
+    sizes = low + n - high
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    place = np.where(place < low[owner], place, place - low[owner] + high[owner])
+    a = starts[owner] + place
+    inverse = _powers(len(x.sums) + 1)[1]
+    left = x.run(starts[owner], a) + (x.sums[stops[owner]] - x.sums[a + 1]) * inverse[starts[owner] + 1]
+    out = np.empty(len(owner) + len(rows), ENTRY)
+    out["h"] = np.concatenate([x.sequence(left, n[owner] - 1), of])
+    out["of"] = np.concatenate([of[owner], of]).view(np.int64)
+    out["at"] = np.concatenate([place, np.full(len(rows), -1)])
+    out["n"] = np.concatenate([n[owner], n])
+    return out
+
+
+def _neighbours(table, near_words: int, buckets: int):
+    """Neighbourhoods of lines that share a half with another line, once per line and task."""
 
-def _send(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+
         def entries() -> Iterator[np.ndarray]:
-            for batch in batches:
-                for h, doc, line, words in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                    keys = neighbourhood(np.frombuffer(words, np.uint64))
-                    out = np.empty(len(keys), ENTRY)
-                    out["h"], out["of"], out["doc"], out["line"] = keys, h, doc, line
-                    out["at"] = np.minimum(np.append(np.arange(len(keys) - 1), -1), 32_766)
-                    out["n"] = min(len(keys) - 1, 32_766)
-                    yield out
+            for _, _, texts in _blocks(batches):
+                x = scan_lines(texts)
+                n = x.stops - x.starts
+                first, last, third = (in_table(table.value, k.view(np.int64)) for k in x.halves())
+                even = n % 2 == 0
+                high = np.where(first, n // 2, np.where(third & ~even, (n + 1) // 2, n))
+                low = np.where(last, n // 2, np.where(third & even, n // 2 - 1, 0))
+                rows = np.flatnonzero((n >= near_words - 1) & ((low > 0) | (high < n)))
+                new = []
+                for row, h in zip(rows, x.hashes()[rows].tolist()):
+                    if h not in seen:
+                        if len(seen) > 300_000:
+                            seen.clear()
+                        seen.add(h)
+                        new.append(row)
+                rows = np.array(new, np.int64)
+                yield neighbourhood(x, rows, low[rows], high[rows])
 
         yield from packed(entries(), buckets)
 
     return send
 
 
-def _earliest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each line of a group that is near the group's first line: that line."""
-
-    def before(a: np.void, b: np.void) -> bool:
-        return (a["doc"], a["line"]) < (b["doc"], b["line"])
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of every group of neighbours, with their side."""
 
     def rows() -> Iterator[tuple]:
         for entries in each_bucket(batches, ENTRY):
-            entries = entries[np.lexsort((entries["line"], entries["doc"], entries["h"]))]
+            entries = entries[np.lexsort((entries["of"], entries["at"], entries["n"], entries["h"]))]
+            new = np.ones(len(entries), bool)
+            new[1:] = entries[1:] != entries[:-1]
+            entries = entries[new]
             starts = group_starts(entries["h"])
             stops = np.append(starts[1:], len(entries))
             several = np.flatnonzero(stops - starts > 1)
             for a, b in zip(starts[several], stops[several]):
                 group = entries[a:b]
-                if (group["of"] == group["of"][0]).all():
-                    continue
-                whole = group[group["at"] < 0]
-                shorter = group[group["at"] >= 0]
-                # One word replaced: the same place left out of lines of one length. The group is sorted, so the first is the earliest.
-                order = np.lexsort((np.arange(len(shorter)), shorter["at"], shorter["n"]))
-                same = shorter[order]
-                at = group_starts(same["n"].astype(np.int64) << 16 | same["at"].astype(np.int64))
-                for c, d in zip(at, np.append(at[1:], len(same))):
-                    lead = same[c]
-                    for e in same[c + 1 : d]:
-                        if e["of"] != lead["of"] and before(lead, e):
-                            yield int(e["of"]), int(lead["doc"]), int(lead["line"]), int(lead["of"])
-                # One word more: the earliest whole line against lines that equal it without a word, and the other way.
-                for lead, rest in ((whole, shorter), (shorter, whole)):
-                    if len(lead):
-                        for e in rest:
-                            if e["of"] != lead[0]["of"] and before(lead[0], e):
-                                yield int(e["of"]), int(lead[0]["doc"]), int(lead[0]["line"]), int(lead[0]["of"])
-
-    yield from rows_in_batches(rows(), FOUND)
-
-
-def one_apart(a: np.ndarray, b: np.ndarray) -> bool:
+                name = int(group["h"][0].view(np.int64))
+                whole, shorter = group[group["at"] < 0], group[group["at"] >= 0]
+                longer = shorter[np.isin(shorter["n"], whole["n"] + 1)] if len(whole) else shorter[:0]
+                if len(longer):
+                    yield from ((name, WHOLE, h) for h in set(whole["of"].tolist()))
+                    yield from ((name, LONGER, h) for h in set(longer["of"].tolist()))
+                spots: dict[tuple, list[int]] = {}
+                for n, at, h in zip(shorter["n"].tolist(), shorter["at"].tolist(), shorter["of"].tolist()):
+                    spots.setdefault((n, at), []).append(h)
+                for (n, at), lines in spots.items():
+                    if len(lines) > 1:
+                        spot = int(mixed(np.array([(int(group["h"][0]) + at * int(ODD)) % (1 << 64)], np.uint64)).view(np.int64)[0])
+                        yield from ((spot, REPLACED, h) for h in lines)
+
+    yield from rows_in_batches(rows(), MEMBER)
+
+
+def _words_of(table):
+    """(h, words) of the lines in the table of bits, once per line and task."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("h", pa.int64()), ("words", pa.binary())])
+        seen: set[int] = set()
+
+        def rows() -> Iterator[tuple]:
+            for _, _, texts in _blocks(batches):
+                x, data = scan_lines(texts), b"\n".join(texts)
+                hashes = x.hashes().view(np.int64)
+                for i in np.flatnonzero(in_table(table.value, hashes)):
+                    h = int(hashes[i])
+                    if h not in seen:
+                        if len(seen) > 300_000:
+                            seen.clear()
+                        seen.add(h)
+                        yield h, b" ".join(data[x.bytes_from[i] : x.bytes_to[i]].split())
+
+        yield from rows_in_batches(rows(), schema)
+
+    return read
+
+
+def one_apart(a: list[bytes], b: list[bytes]) -> bool:
     """Edit distance over words of at most one."""
-    if abs(len(a) - len(b)) > 1:
-        return False
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    if not len(differ):
-        return True
-    p = differ[0]
-    if len(a) == len(b):
-        return len(differ) == 1
-    longer, shorter = (a, b) if len(a) > len(b) else (b, a)
-    return bool((longer[p + 1 :] == shorter[p:]).all())
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("h", pa.int64())])
-    for batch in batches:
-        kept = [h for h, a, b in zip(*(batch.column(k).to_pylist() for k in range(3))) if one_apart(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))]
-        if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], schema=schema)
+    if len(a) < len(b):
+        a, b = b, a
+    p = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
+    return a[p + 1 :] == (b[p + 1 :] if len(a) == len(b) else b[p:])
 
 
-def near_lines(narrow: DataFrame, lines: DataFrame, near_words: int) -> DataFrame:
+def _verified(near_words: int):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("h", pa.int64())])
+        for batch in batches:
+            kept = []
+            for h, x, y in zip(*(batch.column(n).to_pylist() for n in ("h", "words", "others"))):
+                x, y = x.split(), y.split()
+                if max(len(x), len(y)) >= near_words and one_apart(x, y):
+                    kept.append(h)
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], schema=schema)
+
+    return verify
+
+
+def near_lines(narrow: DataFrame, every: DataFrame, lines: DataFrame, near_words: int) -> DataFrame:
     """(h): distinct lines that have an earlier line at an edit distance of one."""
-    spark = narrow.sparkSession
-    keys = lines.select("h", F.explode("halves").alias("half"))
+    context = narrow.sparkSession.sparkContext
+    keys = every.filter(F.col("n") >= near_words - 1).select("h", F.explode(F.array("k1", "k2", "k3")).alias("half"))
     shared = keys.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("half")
-    table = spark.sparkContext.broadcast(bit_table(stored(shared, "halves"), "half"))
-    near = stored(narrow.mapInArrow(_near_scan(table, near_words), "h long, doc long, line int, words binary"), "near")
+    table = context.broadcast(bit_table(stored(shared, "halves"), "half"))
     buckets = bucket_count(narrow)
-    found = gathered(near.mapInArrow(_send(buckets), PACKED_DDL), buckets).mapInArrow(_earliest, "h long, doc long, line int, other long")
-    # Keys are 64-bit hashes, so a line's earliest partner is as good as any; its distance is verified all the same.
-    pairs = found.groupBy("h", "other").agg(F.lit(1).alias("one"))
-    words = near.select("h", "words").dropDuplicates(["h"])
-    pairs = pairs.join(words, "h").join(words.select(F.col("h").alias("other"), F.col("words").alias("others")), "other")
-    long_enough = F.greatest(F.length("words"), F.length("others")) >= 8 * near_words
-    return pairs.filter(long_enough).select("h", "words", "others").mapInArrow(_verify, "h long").distinct()
+    sent = narrow.mapInArrow(_neighbours(table, near_words, buckets), PACKED_DDL)
+    members = stored(gathered(sent, buckets).mapInArrow(_members, "group long, side int, h long"), "members")
+    placed = members.join(lines.select("h", "first"), "h")
+    lead = placed.groupBy("group", "side").agg(F.min(F.struct("first", "h")).alias("lead"))
+    # A replaced word is looked for on the same side, a missing one on the other.
+    facing = lead.select("group", F.when(F.col("side") == WHOLE, LONGER).when(F.col("side") == LONGER, WHOLE).otherwise(REPLACED).alias("side"), "lead")
+    pairs = placed.join(facing, ["group", "side"]).filter((F.col("lead.h") != F.col("h")) & (F.col("lead.first") < F.col("first")))
+    pairs = stored(pairs.select("h", F.col("lead.h").alias("other")).distinct(), "pairs")
+    wanted = pairs.select("h").union(pairs.select(F.col("other").alias("h"))).distinct()
+    words = narrow.mapInArrow(_words_of(context.broadcast(bit_table(stored(wanted, "wanted"), "h"))), "h long, words binary")
+    words = stored(words.dropDuplicates(["h"]), "words")
+    both = pairs.join(words, "h").join(words.select(F.col("h").alias("other"), F.col("words").alias("others")), "other")
+    return both.select("h", "words", "others").mapInArrow(_verified(near_words), "h long").distinct()
 
 
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """All columns of ``docs``, with ``text`` less its removed lines, and n_lines and n_removed (of lines with words).
 
-    Runs the finding of lines at once; rebuilding the texts is lazy.
+    Runs the finding of lines at once; rebuilding the texts is lazy. Only rows that
+    lose lines are moved to be joined with what they lose.
     """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    narrow = docs.select(doc.alias("doc"), F.col("text").cast("binary").alias("text"))
-    every = stored(narrow.mapInArrow(_line_scan(near_words), "h long, doc long, line int, halves array<long>"), "lines")
-    lines = every.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"), F.first("halves", ignorenulls=True).alias("halves"))
-    lines = stored(lines, "distinct")
-    near = near_lines(narrow, lines, near_words).withColumn("near", F.lit(True))
-    judged = lines.drop("halves").join(near, "h", "left").filter("near OR n > 1")
-    gone = every.select("h", "doc", "line").join(judged.select("h", "first", "near"), "h")
+    narrow = docs.select(doc.alias("doc"), row_key("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("text"))
+    every = stored(narrow.mapInArrow(_line_scan, LINES_DDL), "lines")
+    lines = stored(every.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")), "distinct")
+    near = near_lines(narrow, every, lines, near_words).withColumn("near", F.lit(True))
+    judged = lines.join(near, "h", "left").filter("near OR n > 1").select("h", "first", "near")
+    gone = every.select("h", "doc", "key", "line").join(judged, "h")
     gone = gone.filter(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first")))
-    gone = gone.groupBy("doc").agg(F.collect_list("line").alias("__at"), F.collect_list("h").alias("__hashes"))
+    gone = stored(gone.groupBy("key").agg(F.collect_set("line").alias("at")), "gone")
+    touched = docs.sparkSession.sparkContext.broadcast(bit_table(gone.select("key"), "key"))
+
+    @F.pandas_udf("boolean")
+    def may_lose(key: pd.Series) -> pd.Series:
+        return pd.Series(in_table(touched.value, key.to_numpy()))
 
-    @F.pandas_udf("text string, n_lines int, n_removed int")
-    def rebuilt(text: pd.Series, at: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("string")
+    def rebuilt(text: pd.Series, at: pd.Series) -> pd.Series:
         out = []
-        for t, a, h in zip(text, at, hashes):
-            lines = t.split("\n") if t is not None else []
-            marked = set(zip(a, h)) if a is not None else ()
-            numbers = {x[0] for x in marked}
-            kept, full, removed = [], 0, 0
-            for number, line in enumerate(lines):
-                words = line.encode().split()
-                full += bool(words)
-                if number in numbers and (number, line_hash(words)) in marked:
-                    removed += 1
-                else:
-                    kept.append(line)
-            out.append((t if not removed else "\n".join(kept), full, removed))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
+        for t, a in zip(text, at):
+            lost = set(a) if a is not None else ()
+            out.append("\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost) if len(lost) else t)
+        return pd.Series(out)
 
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*names, doc.alias("__doc")).join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left")
-    joined = joined.withColumn("__new", rebuilt("text", "__at", "__hashes"))
-    return joined.select(*[F.col("__new.text").alias("text") if c == "text" else F.col(c) for c in names], F.col("__new.n_lines").alias("n_lines"), F.col("__new.n_removed").alias("n_removed"))
+    full = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*+"))
+    rows = docs.select(*names, row_key("doc_id", "text").alias("__key"), F.coalesce(full, F.lit(0)).alias("n_lines"))
+    rows = rows.withColumn("__some", may_lose("__key"))
+    whole = rows.filter(~F.col("__some")).withColumn("n_removed", F.lit(0))
+    some = rows.filter("__some").join(gone.withColumnsRenamed({"key": "__key", "at": "__at"}), "__key", "left")
+    some = some.withColumn("n_removed", F.coalesce(F.size("__at"), F.lit(0))).withColumn("text", rebuilt("text", "__at"))
+    columns = [*names, "n_lines", "n_removed"]
+    return whole.select(columns).union(some.select(columns))

@@ -231,13 +231,22 @@ def test_line_dedup(spark, clashing):
 
 
 def test_neighbourhoods_meet_exactly_where_words_differ():
-    rng = np.random.default_rng(9)
-    a = rng.integers(1, 1 << 60, 12).astype(np.uint64)
-    replaced, shorter = a.copy(), np.delete(a, 5)
-    replaced[7] += np.uint64(1)
-    keys, other, less = (lines.neighbourhood(x) for x in (a, replaced, shorter))
-    assert np.flatnonzero(keys == other).tolist() == [7]
-    assert keys[5] == less[-1] and keys[-1] != other[-1]
+    words = [f"w{k}" for k in range(12)]
+    texts = [words, [*words[:7], "other", *words[8:]], [*words[:5], *words[6:]], words]
+    x = lines.scan_lines([b"first line\n \n" + " ".join(texts[0]).encode(), *(" ".join(t).encode() for t in texts[1:])])
+    assert x.line.tolist() == [0, 2, 0, 0, 0] and x.text.tolist() == [0, 0, 1, 2, 3]
+    n = x.stops - x.starts
+    keys = lines.neighbourhood(x, np.arange(1, 5), n[1:], n[1:])
+    of = {k: {int(e["at"]): int(e["h"]) for e in keys[keys["of"] == x.hashes()[k].view(np.int64)]} for k in (1, 2, 3)}
+    assert [k for k in range(-1, 12) if of[1][k] == of[2][k]] == [7]
+    assert of[1][5] == of[3][-1] and x.hashes()[1] == x.hashes()[4] != x.hashes()[2]
+    first, last, third = x.halves()
+    assert first[1] == first[2] and last[1] != last[2] and third[1] != third[2]
+
+
+@pytest.mark.parametrize("a, b, near", [("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "a c", True), ("b c", "a b c", True), ("a b", "b a", False), ("a b c d", "a x c y", False), ("", "a", True), ("a b c", "a", False)])
+def test_one_apart(a, b, near):
+    assert lines.one_apart(a.encode().split(), b.encode().split()) is near is corpus.one_apart(tuple(a.split()), tuple(b.split())) or a == b
 
 
 # ----------------------------------------------------------- near duplicates
