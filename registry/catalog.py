@@ -551,6 +551,42 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select([F.col(f.name).cast(f.dataType) for f in REQUEST])
 
 
+# Values that break a field of a request; any other text field takes "??".
+BAD_NUMBERS = {"senior_citizen": 7, "tenure_months": 99, "monthly_charges": 500.0, "total_charges": -1.0}
+
+
+def broken_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a request; of each field some are missing and some hold what is not allowed."""
+    rows, key = flat(spark, sf_dir), F.col("customer_id")
+    fields = [f for f in REQUEST if f.name != "customer_id"]
+    cells = []
+    for i, f in enumerate(fields):
+        bad = F.lit(BAD_NUMBERS.get(f.name, "??")).cast(f.dataType)
+        cell = F.when(key % 101 == i, F.lit(None)).when(key % 101 == 40 + i, bad).otherwise(F.col(f.name).cast(f.dataType))
+        cells.append(cell.cast(f.dataType).alias(f.name))
+    return rows.select(key.cast("string").alias("customer_id"), *cells)
+
+
+@query
+def request_errors_of_every_rule(spark, sf_dir):
+    _, broken = scoring.split_requests(broken_requests(spark, sf_dir))
+    return broken.select("customer_id", F.array_join("errors", "; ").alias("errors"))
+
+
+@query
+def response_checks_of_broken_rows(spark, sf_dir):
+    """The promises about responses, over responses that break every one of them."""
+    rows = scoring.score_batch(requests(spark, sf_dir), cell_outcomes(spark, sf_dir))[0]
+    part = F.col("customer_id").cast("long") % 101
+    changes = {
+        "churn_risk": (0, 1.5), "churn_risk_with_offer": (2, -0.1), "uplift_score": (3, None), "quadrant": (4, "Nobody"),
+        "customer_lifetime_value": (5, -1.0), "value_at_risk": (6, None), "confidence": (7, "sure"),
+    }
+    for name, (k, value) in changes.items():
+        rows = rows.withColumn(name, F.when(part == k, F.lit(value).cast(rows.schema[name].dataType)).otherwise(F.col(name)))
+    return scoring.check_responses(rows)
+
+
 def cell_outcomes(spark: SparkSession, sf_dir: str) -> scoring.Outcomes:
     """Cell means of the training rows as a model; settled, so every use reads the same."""
     means = settle(uplift.fit_cell_means(uplift.with_tenure_band(modeling(spark, sf_dir))))

@@ -664,6 +664,33 @@ oracle(
 _errors = "SELECT CAST(customer_id AS VARCHAR) AS customer_id, errors FROM judged WHERE errors <> ''"
 oracle("request_errors", _errors)
 oracle("streamed_quarantine", _errors)
+# Allowed texts and ranges of a request, field by field, in order.
+_YES_NO, _ADD_ON = "'Yes', 'No'", "'Yes', 'No', 'No internet service'"
+_FIELDS = [
+    ("gender", None, None, "'??'"), ("senior_citizen", None, "BETWEEN 0 AND 1", "7"), ("partner", _YES_NO, None, "'??'"),
+    ("dependents", _YES_NO, None, "'??'"), ("tenure_months", None, "BETWEEN 0 AND 72", "99"),
+    ("contract_type", "'Month-to-month', 'One year', 'Two year'", None, "'??'"), ("internet_service", "'DSL', 'Fiber optic', 'No'", None, "'??'"),
+    ("online_security", _ADD_ON, None, "'??'"), ("online_backup", _ADD_ON, None, "'??'"), ("device_protection", _ADD_ON, None, "'??'"),
+    ("tech_support", _ADD_ON, None, "'??'"), ("streaming_tv", _ADD_ON, None, "'??'"), ("streaming_movies", _ADD_ON, None, "'??'"),
+    ("phone_service", _YES_NO, None, "'??'"), ("multiple_lines", "'Yes', 'No', 'No phone service'", None, "'??'"),
+    ("monthly_charges", None, "BETWEEN 0 AND 200", "500.0"), ("total_charges", None, ">= 0", "-1.0"),
+    ("payment_method", "'Electronic check', 'Mailed check', 'Bank transfer (automatic)', 'Credit card (automatic)'", None, "'??'"),
+    ("paperless_billing", _YES_NO, None, "'??'"),
+]
+_cells, _wrongs = [], []
+for _i, (_field, _allowed, _range, _bad) in enumerate(_FIELDS):
+    _cell = f"CASE WHEN customer_id % 101 = {_i} THEN NULL WHEN customer_id % 101 = {40 + _i} THEN {_bad} ELSE {_field} END"
+    _cells.append((f"COALESCE({_cell}, 'No')" if _field == "multiple_lines" else _cell) + f" AS {_field}")
+    _wrongs.append(f"CASE WHEN {_field} IS NULL THEN '{_field} is required' END")
+    if _allowed:
+        _wrongs.append(f"CASE WHEN {_field} NOT IN ({_allowed}) THEN '{_field} is not an allowed value' END")
+    if _range:
+        _wrongs.append(f"CASE WHEN NOT ({_field} {_range}) THEN '{_field} is out of range' END")
+oracle(
+    "request_errors_of_every_rule",
+    f"SELECT * FROM (SELECT customer_id, CONCAT_WS('; ', {', '.join(_wrongs)}) AS errors "
+    f"FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, {', '.join(_cells)} FROM flat)) WHERE errors <> ''",
+)
 oracle("scored_requests", "SELECT * FROM responses")
 oracle("streamed_scores", "SELECT * FROM responses")
 _totals = (
@@ -702,3 +729,18 @@ oracle(
     "fitted_propensity_moments",
     f"SELECT COUNT(*) AS n_rows, {N('SUM(treatment)')} AS n_treated, TRUE AS sums_to_treated, {_zero} AS n_outside FROM modeling",
 )
+_part = "CAST(customer_id AS BIGINT) % 101"
+_changed = {
+    "churn_risk": (0, "1.5"), "churn_risk_with_offer": (2, "-0.1"), "uplift_score": (3, "NULL"), "quadrant": (4, "'Nobody'"),
+    "customer_lifetime_value": (5, "-1.0"), "value_at_risk": (6, "NULL"), "confidence": (7, "'sure'"),
+}
+_replaced = ", ".join(f"CASE WHEN {_part} = {k} THEN {v} ELSE {name} END AS {name}" for name, (k, v) in _changed.items())
+oracle(
+    "response_checks_of_broken_rows",
+    "SELECT *, n_bad = 0 AS passed FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", COUNT(*) FILTER (NOT COALESCE({test}, FALSE)) AS n_bad FROM (SELECT * REPLACE ({_replaced}) FROM responses)"
+        for name, test in _promises.items()
+    )
+    + ")",
+)

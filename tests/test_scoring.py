@@ -11,11 +11,11 @@ from holdfast.schemas import REQUEST
 from holdfast.streaming import scoring as streaming
 
 GOOD = {
-    "customer_id": "C1", "gender": "Female", "senior_citizen": 0, "partner": "Yes", "dependents": "No", "tenure_months": 12,
-    "contract_type": "Month-to-month", "internet_service": "Fiber optic", "online_security": "No", "online_backup": "No",
-    "device_protection": "Yes", "tech_support": "No", "streaming_tv": "Yes", "streaming_movies": "No", "phone_service": "Yes",
-    "multiple_lines": "No", "monthly_charges": 79.85, "total_charges": 958.20, "payment_method": "Electronic check",
-    "paperless_billing": "Yes",
+    "customer_id": "K-7", "gender": "Male", "senior_citizen": 1, "partner": "No", "dependents": "Yes", "tenure_months": 31,
+    "contract_type": "One year", "internet_service": "DSL", "online_security": "Yes", "online_backup": "Yes",
+    "device_protection": "No", "tech_support": "Yes", "streaming_tv": "No", "streaming_movies": "Yes", "phone_service": "Yes",
+    "multiple_lines": "Yes", "monthly_charges": 61.4, "total_charges": 1903.4, "payment_method": "Mailed check",
+    "paperless_billing": "No",
 }
 
 
@@ -58,14 +58,14 @@ def test_response_rounds_only_at_the_end(spark):
     row = scoring.score_requests(requests(spark, {}), fixed_risks(0.270004, 0.260003)).first()
     # 0.010001 counts as uplift though it shows as 0.01, and 0.270004 as risk though it shows as 0.27.
     assert (row.churn_risk, row.uplift_score, row.quadrant, row.confidence) == (0.27, 0.01, "Persuadable", "low")
-    clv = 79.85 * (3 * 2.5649493574615367 + 6)
+    clv = 61.4 * (3 * 3.4657359027997265 + 14)
     assert row.customer_lifetime_value == round(clv, 2) and row.value_at_risk == round(clv * 0.010001, 2)
 
 
 def test_supplied_value_and_propensity_are_kept(spark):
     rows = requests(spark, {}).withColumns({"clv": F.lit(1000.0), "propensity_score": F.lit(0.4)})
     assert scoring.with_features(rows).select("clv", "propensity_score").first() == (1000.0, 0.4)
-    assert scoring.with_features(requests(spark, {})).first().propensity_score == pytest.approx(0.8)
+    assert scoring.with_features(requests(spark, {})).first().propensity_score == pytest.approx(0.05)
 
 
 def test_bad_rows_do_not_stop_a_batch(spark):
@@ -111,4 +111,4 @@ def test_scored_stream_feeds_any_sink(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "state")
     ).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert [r.customer_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["C1"]
+    assert [r.customer_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["K-7"]
