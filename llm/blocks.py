@@ -13,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import as_batch
@@ -118,6 +119,17 @@ def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
+def maybe_among(keys: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test for columns of hashes: false only if none of ``keys`` has the hash."""
+    table = keys.sparkSession.sparkContext.broadcast(bit_table(keys, column))
+
+    @F.pandas_udf("boolean")
+    def test(hashes: pd.Series) -> pd.Series:
+        return pd.Series(in_table(table.value, hashes.to_numpy()))
+
+    return test
+
+
 def group_starts(sorted_values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     if not len(sorted_values):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -29,11 +30,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or context.getCheckpointDir()
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+_collectors: list[list[str]] = []
+
+
+@contextmanager
+def collected_folders() -> Iterator[list[str]]:
+    """The folders that are made inside the block, for whoever removes them once they are no longer read."""
+    mine: list[str] = []
+    _collectors.append(mine)
+    try:
+        yield mine
+    finally:
+        _collectors.remove(mine)
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place, files = _place(spark, path)
+        files.delete(place, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that the driver's JVM removes when it ends."""
+    """A path in the shared folder that the driver's JVM removes when it ends, if nobody has before."""
     path = f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+    for collector in _collectors:
+        collector.append(path)
     return path
 
 

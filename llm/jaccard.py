@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import PACKED, PACKED_DDL, bit_table, bucket_count, each_group, entries_of, gathered, group_starts, in_table, packed
+from llm.blocks import PACKED, PACKED_DDL, bit_table, bucket_count, each_group, entries_of, gathered, group_starts, in_table, maybe_among, packed
 from llm.common import WORDS, as_batch, mixed, row_key, rows_in_batches, shingle_hashes, stored
 from llm.components import components
 
@@ -223,11 +223,17 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, hubs: int =
 
     Rows without a set all stay, but for repetitions of the same id and text.
     """
-    rows = _rows(docs, width, percent, hubs)
+    rows = stored(_rows(docs, width, percent, hubs), "rows")
     alone = rows.filter("n = 0").select("key").distinct()
     kept = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("doc", "key")).alias("least")).select("least.key").union(alone)
+    # Most rows stay and are not repeated: only the others, and some more, are moved to be looked up.
+    doubtful = rows.groupBy("key").agg(F.count("*").alias("n")).join(kept.withColumn("kept", F.lit(True)), "key", "left")
+    doubtful = stored(doubtful.filter("n > 1 OR kept IS NULL").select("key"), "doubtful")
     keyed = docs.withColumn("__key", row_key("doc_id", "text"))
-    return keyed.join(kept.withColumnRenamed("key", "__key"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    keyed = keyed.withColumn("__doubt", maybe_among(doubtful, "key")("__key"))
+    sure, unsure = (keyed.filter(x).drop("__doubt") for x in (~F.col("__doubt"), F.col("__doubt")))
+    found = unsure.join(kept.withColumnRenamed("key", "__key"), "__key", "left_semi").dropDuplicates(["__key"])
+    return sure.unionByName(found).drop("__key")
 
 
 def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, in_table, packed
+from llm.blocks import PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, in_table, maybe_among, packed
 from llm.common import ODD, mixed, row_key, rows_in_batches, stored
 
 NEAR_WORDS = 8
@@ -308,11 +308,7 @@ def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     gone = every.select("h", "doc", "key", "line").join(judged, "h")
     gone = gone.filter(F.coalesce("near", F.lit(False)) | (F.struct("doc", "line") != F.col("first")))
     gone = stored(gone.groupBy("key").agg(F.collect_set("line").alias("at")), "gone")
-    touched = docs.sparkSession.sparkContext.broadcast(bit_table(gone.select("key"), "key"))
-
-    @F.pandas_udf("boolean")
-    def may_lose(key: pd.Series) -> pd.Series:
-        return pd.Series(in_table(touched.value, key.to_numpy()))
+    may_lose = maybe_among(gone.select("key"), "key")
 
     @F.pandas_udf("string")
     def rebuilt(text: pd.Series, at: pd.Series) -> pd.Series:
