@@ -93,7 +93,7 @@ def each_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[n
 
 
 #: Powers of two between which a table of bits may be sized: eight bits a key within them.
-LEAST_BITS, MOST_BITS = 16, 28
+LEAST_BITS, MOST_BITS, PAGE_BITS = 16, 28, 15
 
 
 def bit_table(keys: DataFrame, column: str) -> np.ndarray:
@@ -104,13 +104,31 @@ def bit_table(keys: DataFrame, column: str) -> np.ndarray:
     """
     size = min(MOST_BITS, max(LEAST_BITS, (8 * keys.count()).bit_length()))
     slots = keys.select(F.col(column).bitwiseAND((1 << size) - 1).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b"))
-    pages = words.groupBy(F.shiftright("w", 9).alias("page")).agg(F.collect_list(F.struct((F.col("w") % 512).cast("int").alias("i"), "b")).alias("bits"))
-    table = np.zeros(1 << (size - 6), np.int64)
-    for row in pages.toLocalIterator():
-        for i, b in row["bits"]:
-            table[row["page"] * 512 + i] = b
-    return table.view(np.uint8)
+    pages = slots.groupBy(F.shiftright("slot", PAGE_BITS).alias("page")).agg(F.collect_set(F.col("slot").bitwiseAND((1 << PAGE_BITS) - 1).cast("int")).alias("bits"))
+    table = np.zeros(1 << (size - 3), np.uint8)
+    for row in pages.mapInArrow(_pages, "page long, data binary").collect():
+        table[row["page"] << (PAGE_BITS - 3) :][: 1 << (PAGE_BITS - 3)] = np.frombuffer(row["data"], np.uint8)
+    return table
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's bits as bytes."""
+    schema = pa.schema([("page", pa.int64()), ("data", pa.binary())])
+    for batch in batches:
+        data = []
+        for bits in batch.column("bits"):
+            page = np.zeros(1 << PAGE_BITS, np.uint8)
+            page[bits.values.to_numpy()] = 1
+            data.append(np.packbits(page, bitorder="little").tobytes())
+        yield as_batch(schema, [batch.column("page"), data])
+
+
+def packed_bits(hashes: np.ndarray) -> np.ndarray:
+    """The same for hashes at hand, with 256 bits a hash, so that few others pass."""
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (256 * len(hashes)).bit_length()))
+    table = np.zeros(size, np.uint8)
+    table[hashes & (size - 1)] = 1
+    return np.packbits(table, bitorder="little")
 
 
 def in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:

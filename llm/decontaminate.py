@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.blocks import bit_table, in_table, packed_bits
 from llm.common import ODD, REMEMBERED, mixed, row_key, rows_in_batches, stored
 
 MASKS = ("110110101", "111001011", "1011010011")
@@ -83,13 +84,6 @@ def best_overlap(same: np.ndarray, penalty: int) -> tuple[int, int]:
     return int(np.argmin(sums[:end])), end
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    size = 1 << min(26, max(16, int(256 * max(1, len(hashes))).bit_length()))
-    table = np.zeros(size, np.bool_)
-    table[hashes & (size - 1)] = True
-    return table
-
-
 def benchmark_overlaps(
     docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, penalty: int = PENALTY
 ) -> DataFrame:
@@ -120,15 +114,9 @@ def benchmark_overlaps(
     few = size["seeds"] <= BROADCAST
     if few:
         known = np.array(sorted({r[0] for r in flat.select("hash").distinct().collect()}), np.int64)  # at most BROADCAST
-        table = _bits(known)
+        table = packed_bits(known)
     else:
-        bits, known = 26, None
-        slots = flat.select(F.col("hash").bitwiseAND((1 << bits) - 1).alias("slot"))
-        words = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b"))
-        packed = np.zeros(1 << (bits - 6), np.int64)  # at most 2^20 rows of the table, whatever the benchmark
-        for r in words.toLocalIterator():
-            packed[r["w"]] = r["b"]
-        table = np.unpackbits(packed.view(np.uint8), bitorder="little").view(np.bool_)
+        known, table = None, bit_table(flat, "hash")
     filters = spark.sparkContext.broadcast((table, known))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +129,7 @@ def benchmark_overlaps(
                     hits = []
                     for m, mask in enumerate(masks):
                         hashes = seeds(words, mask)
-                        at = np.flatnonzero(table[hashes & (len(table) - 1)])
+                        at = np.flatnonzero(in_table(table, hashes))
                         if known is not None and len(at):
                             near = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
                             at = at[known[near] == hashes[at]]

@@ -16,7 +16,7 @@ tried against one hub first: the member for which the list's shingle comes earli
 in its prefix, as it does for the text that others were made from. What a hub
 links is one component; members already connected need no link of their own.
 After ``hubs`` rounds every pair in a list that could still connect two
-components is verified, so no connection is lost. The sketch has a fixed size; it decides the
+components is tried, in blocks, so no connection is lost. The sketch has a fixed size; it decides the
 order, thus the work, never the result.
 
 Words are maximal runs of characters other than space and tab to carriage return,
@@ -46,6 +46,8 @@ LAST = (1 << 63) - 1
 #: Counters of the sketch, counters in one of its pages, and parts of a profile.
 COUNTERS, PAGE, PROFILE = 1 << 22, 1 << 16, 256
 HUBS = 3
+#: Members of a list in one block, about.
+MEMBERS = 256
 ENTRY = np.dtype([("h", "<u8"), ("prefix", "<i8"), ("n", "<i4"), ("at", "<i4")])
 ABOUT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("n", "<i8"), ("set", "<i8"), ("prefix", "<i8"), ("profile", f"V{PROFILE}")])
 FIELDS = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64()), ("profile", pa.binary()), ("token", pa.int64()), ("at", pa.int32())])
@@ -121,7 +123,7 @@ def frequency_ranks(narrow: DataFrame, width: int, percent: int) -> np.ndarray:
 
     summed = narrow.select("text").mapInArrow(count, PACKED_DDL).repartition(COUNTERS // PAGE, "bucket").mapInArrow(add, PACKED_DDL)
     ranks = np.zeros(COUNTERS, np.uint8)
-    for row in summed.toLocalIterator():  # one byte a counter
+    for row in summed.collect():  # one byte a counter
         ranks[row["bucket"] * PAGE : (row["bucket"] + 1) * PAGE] = np.frombuffer(row["data"], np.uint8)
     return ranks
 
@@ -293,6 +295,47 @@ def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
     return _labelled(info, classes, _links(listed, classes, narrow, width, percent, hubs))
 
 
+def _crossing(rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a list that are not connected and may be similar by sizes, places and profiles.
+
+    A list's members are packed into blocks, and blocks of a list meet pairwise: what
+    grows with the square of a list is spread over tasks, and only pairs that pass
+    all filters become rows.
+    """
+    sizes = rest.groupBy("token").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"))
+    member = F.struct("set", "n", "at", "part", "profile")
+    members = rest.join(sizes, "token").join(classes.select("set", "profile"), "set")
+    blocks = members.groupBy("token", F.pmod(F.xxhash64("set"), F.col("blocks")).alias("block")).agg(F.collect_list(member).alias("x"))
+    blocks = stored(blocks, "blocks")
+    both = blocks.join(blocks.select("token", F.col("block").alias("other"), F.col("x").alias("y")), "token").filter("block <= other")
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+        def fields(value) -> tuple:
+            rows = value.values
+            numbers = [rows.field(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            return *numbers, np.frombuffer(b"".join(rows.field(4).to_pylist()), np.uint8).reshape(-1, PROFILE).astype(np.int32)
+
+        for batch in batches:
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                (s, n, i, p, f), (t, m, j, q, g) = fields(x), fields(y)
+                most = np.minimum(i[:, None], j) + np.minimum((n - i)[:, None], m - j)
+                fit = (p[:, None] != q) & (s[:, None] != t) & (100 * np.minimum(n[:, None], m) >= percent * np.maximum(n[:, None], m))
+                fit &= 100 * most >= percent * (n[:, None] + m - most)
+                at, to = np.nonzero(fit)
+                for k in range(0, len(at), 8192):
+                    u, v = at[k : k + 8192], to[k : k + 8192]
+                    low = np.minimum(f[u], g[v]).sum(1)
+                    full = ((f[u] == 255) & (g[v] == 255)).any(1)
+                    low = np.where(full, np.minimum(n[u], m[v]), low)
+                    u, v = (z[100 * low >= percent * (n[u] + m[v] - low)] for z in (u, v))
+                    if len(u):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s[u], t[v])), pa.array(np.maximum(s[u], t[v]))], schema=schema)
+
+    return both.select("x", "y").mapInArrow(cross, "a long, b long").distinct()
+
+
 def _whole_sets(narrow: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(set, values) of the classes whose first documents are ``wanted`` (rep), and of some others.
 
@@ -321,7 +364,7 @@ def _whole_sets(narrow: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
-    """Verified links (a, b) between sets, enough to connect all that links connect."""
+    """(node, component) of the sets that verified links connect."""
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Links among the pairs; sets that equal texts in several tasks have repeat, links don't."""
@@ -333,7 +376,7 @@ def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int,
         sets = stored(_whole_sets(narrow, wanted, width).join(ends, "set", "left_semi"), "whole")
         return stored(linked_sets(likely, sets, percent).distinct(), "links")
 
-    edges = tried = None
+    edges = tried = label = None
     rest = listed
     for _ in range(hubs):
         hub = rest.groupBy("token").agg(F.min(F.struct("at", "set", "n")).alias("hub"), F.count("*").alias("members")).filter("members > 1")
@@ -344,24 +387,24 @@ def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int,
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        found = verified(pairs)
-        edges = found if edges is None else edges.union(found)
-        # Lists go on without their hub, as long as two of their other members that are not connected might fit.
-        label = components(edges)
+        if edges is None or pairs.head(1):
+            found = verified(pairs)
+            edges = found if edges is None else edges.union(found)
+            label = components(edges)
+        # Lists go on without their hub, as long as their other members are not all connected.
         rest = against.select("token", "set", "n", "at").join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("part", F.coalesce("component", "set"))
         apart = rest.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token")
         rest = stored(rest.join(apart, "token", "left_semi").select("token", "set", "n", "at", "part"), "rest")
         if not rest.head(1):
-            return edges
+            return label
         rest_parts, rest = rest, rest.drop("part")
-    other = rest_parts.select("token", F.col("set").alias("hub_set"), F.col("n").alias("hub_n"), F.col("at").alias("hub_at"), F.col("part").alias("hub_part"))
-    pairs = rest_parts.join(other, "token").filter((F.col("set") < F.col("hub_set")) & (F.col("part") != F.col("hub_part")) & _fitting(percent))
-    pairs = pairs.select(F.col("set").alias("a"), F.col("hub_set").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return edges.union(verified(stored(pairs, "pairs")))
+    pairs = _crossing(rest_parts, classes, percent).join(tried, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "pairs")
+    return components(edges.union(verified(pairs))) if pairs.head(1) else label
 
 
-def _labelled(info: DataFrame, classes: DataFrame, edges: DataFrame) -> DataFrame:
-    label = components(edges).select(F.col("node").alias("set"), "component")
+def _labelled(info: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
+    label = label.select(F.col("node").alias("set"), "component")
     least = classes.join(label, "set", "left").withColumn("component", F.coalesce("component", "set"))
     smallest = least.groupBy("component").agg(F.min("rep").alias("smallest"))
     known = least.join(smallest, "component").select("set", "component", "smallest")
