@@ -13,8 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words that one Python worker remembers the hash or the tokens of; beyond it, it starts afresh.
-REMEMBERED = 600_000
+#: Words that one Python worker remembers the hash of; beyond it, it starts afresh. Workers outlive tasks, so this is memory that stays.
+REMEMBERED = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:

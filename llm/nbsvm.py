@@ -149,29 +149,30 @@ def _logistic(margins: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, share: float, smoothing: float = 1.0) -> tuple[np.ndarray, float]:
-    """Weights by bucket and intercept, on the scale of log odds. ``share``: of label 1 among all labels."""
+    """Weights by bucket and intercept, on the scale of log odds. ``share``: of label 1 among all labels. Empties ``rows``."""
     y = np.where(labels > 0, 1.0, -1.0)
     if not len(y) or y.min() == y.max():
         return np.zeros(0, np.float32), float(np.log(share / (1 - share)))
-    seen = np.bincount(np.concatenate(rows), minlength=1 << BITS)
-    rows = [r[seen[r] >= 3] for r in rows]
+    # Rows to fit on come first, those of label 1 before the others; one row in four is kept out for the curve.
     kept_out = np.arange(len(y)) % 4 == 3
-    indptr = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-    indices = np.concatenate(rows).astype(np.int64)
-    of = np.repeat(np.arange(len(y)), np.diff(indptr))
-    fitting = ~kept_out[of]
-    pos = smoothing + np.bincount(indices[fitting & (y[of] > 0)], minlength=1 << BITS)
-    neg = smoothing + np.bincount(indices[fitting & (y[of] < 0)], minlength=1 << BITS)
-    n_pos, n_neg = max(1, ((y > 0) & ~kept_out).sum()), max(1, ((y < 0) & ~kept_out).sum())
-    ratio = np.log(pos / (n_pos + 2 * smoothing)) - np.log(neg / (n_neg + 2 * smoothing))
-    values = ratio[indices]
-
-    train = np.flatnonzero(~kept_out)
-    spans = [(indptr[i], indptr[i + 1]) for i in train]
-    at = np.concatenate([np.arange(a, b) for a, b in spans]) if len(spans) else np.empty(0, np.int64)
-    w, bias = dual_coordinate_descent(np.concatenate([[0], np.cumsum([b - a for a, b in spans])]), indices[at], values[at], y[train], cost=0.1)
+    order = np.lexsort((-y, kept_out))
+    y, kept_out = y[order], kept_out[order]
+    sizes = np.array([len(rows[i]) for i in order])
+    indices = np.concatenate([rows[i] for i in order])
+    rows.clear()
+    usual = np.bincount(indices, minlength=1 << BITS) >= 3
+    kept = usual[indices]
+    ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(sizes)])]
+    indices = indices[kept]
+    n_pos, n_fit = int(((y > 0) & ~kept_out).sum()), int((~kept_out).sum())
+    pos = smoothing + np.bincount(indices[: ends[n_pos]], minlength=1 << BITS)
+    neg = smoothing + np.bincount(indices[ends[n_pos] : ends[n_fit]], minlength=1 << BITS)
+    ratio = np.log(pos / (max(1, n_pos) + 2 * smoothing)) - np.log(neg / (max(1, n_fit - n_pos) + 2 * smoothing))
+
+    values = ratio.astype(np.float32)[indices[: ends[n_fit]]]
+    w, bias = dual_coordinate_descent(ends[: n_fit + 1], indices[: ends[n_fit]], values, y[:n_fit], cost=0.1)
     w = np.pad(w, (0, (1 << BITS) - len(w))) * ratio
-    margins = np.array([w[r].sum() for r in rows]) + bias
+    margins = np.array([w[indices[a:b]].sum() for a, b in zip(ends, ends[1:])]) + bias
     check = kept_out if len({*y[kept_out]}) == 2 else np.ones_like(kept_out)
     weight = np.where(y > 0, share / max(1, (y[check] > 0).sum()), (1 - share) / max(1, (y[check] < 0).sum())) * check.sum()
     slope, shift = _logistic(margins[check], y[check], weight[check])

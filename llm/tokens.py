@@ -15,7 +15,8 @@ import struct
 
 import numpy as np
 
-from llm.common import REMEMBERED
+#: Pieces that one Python worker remembers the tokens of.
+REMEMBERED = 400_000
 
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,:;!?]*)")
 #: Byte-level models spell a byte that is a visible Latin-1 character as itself and the others, in order, from 256 on.
