@@ -2,12 +2,13 @@
 
 Pieces of one length are alike, so the search runs on counts per length (at most
 ``capacity`` of them, whatever the corpus). It fills a sequence around the longest
-piece left by undominated fillings, takes the filling as often as the counts
-allow, and backs up where the sequences used so far plus the least number that
-the rest needs reach the incumbent. The first incumbent is best-fit decreasing
+piece left by every undominated filling in turn, least waste first, takes the
+filling as often as the counts allow, then less often, and backs up where the
+sequences used so far plus the least number that the rest needs reach the
+incumbent, or where the same rest was reached with as few sequences before. The first incumbent is best-fit decreasing
 over the same counts; a solution that meets ceil(tokens / capacity) ends the
 search. Packing is NP-hard: after ``nodes`` steps the incumbent stands, which
-bounds the time, never the input.
+alone bounds the time, never the input.
 
 The plan is a few thousand intervals of ranks within a length. Spark ranks the
 pieces (by length and bucket, so that a frequent length is shared by many tasks)
@@ -21,8 +22,10 @@ repeated ids and rows are packed each; longer documents are cut every
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import deque
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,8 @@ from llm.tokens import word_tokens
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 #: Pieces of one length that one task ranks.
 RANKED = 5_000
-#: Fillings that are weighed for one longest piece, and steps of the search as a whole.
-FILLINGS, NODES = 6, 20_000
+#: Steps of the search: fillings taken, attempts that came to nothing, and ways back.
+NODES = 20_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
@@ -97,47 +100,83 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(tuple(p), n) for group in groups.values() for p, n in group]
 
 
-def fillings(counts: np.ndarray, capacity: int, most: int = FILLINGS) -> list[tuple[int, Pattern]]:
-    """(waste, pattern) of undominated fillings around the longest length that is left, least waste first.
+def _sums(counts: np.ndarray, capacity: int) -> tuple[list[int], list[int], list[int]]:
+    """Lengths in rising order, how many there are of each, and per place the sums that the lengths below it can make, as bits."""
+    lengths = np.flatnonzero(counts).tolist()
+    many = counts[lengths].tolist()
+    all_bits, bits = (1 << capacity + 1) - 1, 1
+    sums = [bits]
+    for length, n in zip(lengths, many):
+        n, part = min(n, capacity // length), 1
+        while n > 0:  # 1, 2, 4, ... copies and what is left make every number of copies
+            part = min(part, n)
+            bits |= bits << part * length & all_bits
+            n -= part
+            part *= 2
+        sums.append(bits)
+    return lengths, many, sums
 
-    Depth first, longest first. A filling to which a remaining piece could be added, or in
-    which one piece could give way to a longer one, is dominated and left out.
-    """
-    lengths = np.flatnonzero(counts)
-    longest = int(lengths[-1])
-    found: list[tuple[int, Pattern]] = []
-    steps = 0
 
-    def deeper(room: int, top: int, used: dict[int, int]) -> None:
-        nonlocal steps
-        steps += 1
-        at = int(np.searchsorted(lengths, min(room, top), "right")) - 1
-        tried = 0
-        while at >= 0 and len(found) < most and steps < 64 * most and not (found and found[-1][0] == 0):
-            length = int(lengths[at])
-            n = min(room // length, int(counts[length]) - used.get(length, 0))
-            if n > 0:
-                used[length] = used.get(length, 0) + n
-                deeper(room - n * length, length - 1, used)
-                used[length] -= n
-                if not used[length]:
-                    del used[length]
-                tried += 1
-                if tried == 3:
-                    return
+#: The sums in use last; a search goes deep, and those of the others are made again when it comes back.
+_recent: deque[list] = deque()
+RECENT = 32
+
+
+def fillings(counts: np.ndarray, capacity: int, most_waste: int | None = None) -> Iterator[tuple[int, Pattern] | None]:
+    """(waste, pattern) of every undominated filling around the longest length that is left, least waste first, up to ``most_waste``.
+
+    For each waste, longest length first and most copies first, down to none. A filling to
+    which a remaining piece could be added, or in which one piece could give way to a longer
+    one, is dominated and left out. None stands for an attempt that came to nothing.
+    ``counts`` must be the same whenever the next one is asked for.
+    """
+    own: list[tuple[list[int], list[int], list[int]]] = []
+
+    def look() -> tuple[list[int], list[int], list[int]]:
+        if not own:
+            own.append(_sums(counts, capacity))
+            _recent.append(own)
+            if len(_recent) > RECENT:
+                _recent.popleft().clear()
+        return own[0]
+
+    def deeper(top: int, need: int, waste: int, above: int, used: Pattern) -> Iterator[tuple[int, Pattern] | None]:
+        """Fillings that make ``need`` of the lengths below place ``top``; ``above`` is the least longer length with pieces left."""
+        if not need:
+            yield None if top and look()[0][0] <= waste else (waste, used)
+            return
+        at, tried = min(top, bisect_right(look()[0], need)) - 1, False
+        if at + 1 < top:
+            above = look()[0][at + 1]
+        while at >= 0 and above > waste and look()[2][at + 1] >> need & 1:
+            length, many = look()[0][at], look()[1][at]
+            if above - length > waste:
+                for n in range(min(need // length, many), 0, -1):
+                    if n < many and length <= waste:
+                        break
+                    if look()[2][at] >> need - n * length & 1:
+                        tried = True
+                        yield from deeper(at, need - n * length, waste, length if n < many else above, (*used, (length, n)))
+            above = length
             at -= 1
         if not tried:
-            if not room or not _addable(lengths, counts, used, room):
-                found.append((room, tuple(sorted(used.items(), reverse=True))))
+            yield None
 
-    n = min(capacity // longest, int(counts[longest]))
-    deeper(capacity - n * longest, longest - 1, {longest: n})
-    found.sort(key=lambda x: x[0])
-    return found or [(capacity - n * longest, ((longest, n),))]
+    last, longest, many = len(look()[0]) - 1, look()[0][-1], look()[1][-1]
+    for waste in range(min(capacity - longest, capacity if most_waste is None else most_waste) + 1):
+        for n in range(min((capacity - waste) // longest, many), 0, -1):
+            if n < many and longest <= waste:
+                break
+            need = capacity - waste - n * longest
+            if look()[2][last] >> need & 1:
+                yield from deeper(last, need, waste, longest if n < many else 2 * capacity + 1, ((longest, n),))
 
 
-def _addable(lengths: np.ndarray, counts: np.ndarray, used: dict[int, int], room: int) -> bool:
-    return any(counts[x] > used.get(int(x), 0) for x in lengths[: np.searchsorted(lengths, room, "right")])
+def _turns(most: int) -> Iterator[int]:
+    """How often in a row a filling is taken: most first, then halves, down to once, from which every other number follows."""
+    while most:
+        yield most
+        most //= 2
 
 
 def pack_counts(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
@@ -152,13 +191,29 @@ def pack_counts(counts: dict[int, int], capacity: int, nodes: int = NODES) -> li
     for length, n in counts.items():
         left[length] = n
     path: list[tuple[Pattern, int]] = []
-    frames = [iter(fillings(left, capacity))]
     used = steps = 0
     remaining = total
+    reached: dict[bytes, int] = {}  # what is left, as a digest: sequences used on the best way there
+
+    def options() -> Iterator[tuple[Pattern, int] | None]:
+        """Fillings of what is left and how often each is taken, while their waste can still beat the incumbent."""
+        for option in fillings(left, capacity, (fewest - 1 - used) * capacity - remaining):
+            if option is None:
+                yield None
+                continue
+            waste, pattern = option
+            if waste > (fewest - 1 - used) * capacity - remaining:
+                return  # the incumbent is better by now, and the others waste as much or more
+            for times in _turns(min(int(left[length]) // n for length, n in pattern)):
+                yield pattern, times
+
+    frames = [options()]
     while frames and fewest > least and steps < nodes:
         steps += 1
-        option = next(frames[-1], None)
+        option = next(frames[-1], ())
         if option is None:
+            continue
+        if not option:
             frames.pop()
             if path:
                 pattern, times = path.pop()
@@ -167,8 +222,7 @@ def pack_counts(counts: dict[int, int], capacity: int, nodes: int = NODES) -> li
                 used -= times
                 remaining += times * sum(length * n for length, n in pattern)
             continue
-        pattern = option[1]
-        times = min(int(left[length]) // n for length, n in pattern)
+        pattern, times = option
         size = sum(length * n for length, n in pattern)
         if used + times + -(-(remaining - times * size) // capacity) >= fewest:
             continue  # the waste so far already costs what the incumbent costs
@@ -177,11 +231,15 @@ def pack_counts(counts: dict[int, int], capacity: int, nodes: int = NODES) -> li
         path.append((pattern, times))
         used += times
         remaining -= times * size
+        state = blake2b(left, digest_size=16).digest()
         if not remaining:
             incumbent, fewest = list(path), used
             frames.append(iter(()))
+        elif reached.get(state, fewest) <= used:
+            frames.append(iter(()))
         else:
-            frames.append(iter(fillings(left, capacity)))
+            reached[state] = used
+            frames.append(options())
     return incumbent
 
 

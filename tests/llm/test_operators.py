@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import sys
 import zlib
@@ -327,6 +328,57 @@ def test_branch_and_bound_beats_best_fit():
     assert better and not worse
 
 
+def fewest_of(counts: dict[int, int], capacity: int) -> int:
+    """Fewest sequences by trying every piece in every sequence."""
+    pieces, seen = sorted(Counter(counts).elements(), reverse=True), set()
+    best = len(pieces)
+
+    def place(k: int, rooms: tuple) -> None:
+        nonlocal best
+        if k == len(pieces):
+            best = min(best, len(rooms))
+        if k == len(pieces) or len(rooms) >= best or (k, rooms) in seen:
+            return
+        seen.add((k, rooms))
+        for at in {room: i for i, room in enumerate(rooms) if room >= pieces[k]}.values():
+            place(k + 1, tuple(sorted((*rooms[:at], rooms[at] - pieces[k], *rooms[at + 1 :]))))
+        place(k + 1, tuple(sorted((*rooms, capacity - pieces[k]))))
+
+    place(0, ())
+    return best
+
+
+@pytest.mark.parametrize("counts, capacity, fewest", [({4: 2, 3: 4}, 10, 2), ({820: 7, 614: 14}, 2048, 7), ({820: 500, 614: 1000}, 2048, 500), ({7: 3, 5: 6, 3: 3}, 20, 3)])
+def test_fillings_with_fewer_copies_are_tried(counts, capacity, fewest):
+    test_fewest_sequences(counts, capacity, fewest)
+
+
+def test_search_equals_brute_force():
+    rng = random.Random(1)
+    for _ in range(600):
+        capacity = rng.choice([10, 12, 20, 30, 50])
+        counts = Counter(rng.randint(1, capacity) if rng.random() < 0.3 else rng.randint(max(1, capacity // 6), capacity // 2) for _ in range(rng.randint(1, 11)))
+        test_fewest_sequences(dict(counts), capacity, fewest_of(counts, capacity))
+
+
+def test_fillings_are_all_that_nothing_dominates():
+    rng = random.Random(3)
+    for _ in range(200):
+        capacity, counts = 24, Counter(rng.randint(2, 14) for _ in range(rng.randint(1, 9)))
+        table = np.zeros(capacity + 1, np.int64)
+        for length, n in counts.items():
+            table[length] = n
+        found = [x for x in packing.fillings(table, capacity) if x]
+        expected, lengths = set(), sorted(counts, reverse=True)
+        for many in itertools.product(*[range(counts[x] + 1) for x in lengths]):
+            room = capacity - sum(x * n for x, n in zip(lengths, many))
+            left = [x for x, n in zip(lengths, many) if n < counts[x]]
+            given = [x for x, n in zip(lengths, many) if n]
+            if many[0] and room >= 0 and not any(x <= room for x in left) and not any(0 < y - x <= room for x in given for y in left):
+                expected.add((room, tuple((x, n) for x, n in zip(lengths, many) if n)))
+        assert set(found) == expected and len(found) == len(expected) and [w for w, _ in found] == sorted(w for w, _ in found)
+
+
 # ------------------------------------------------------------ substring dedup
 
 
