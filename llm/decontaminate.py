@@ -3,11 +3,11 @@
 A mask picks some of the next words and ignores the others. Hashes of the picked
 words are made at every position of every benchmark item and every document; a
 common hash is a hit, whatever stands at the ignored positions. Hits are joined by
-hash, and around each the two texts are aligned word by word: the stretch with
-the highest sum of 1 for an equal word and -``penalty`` for another one is an
-overlap if it has ``min_words`` equal words (or all words of a shorter item) and
-``similarity`` of its words are equal. So a copied passage is found though words
-in it were replaced.
+hash, and around each the two texts are aligned word by word: an overlap is the
+longest stretch that begins and ends with an equal word, has ``min_words`` equal
+words (or all words of a shorter item) and of whose words ``similarity`` are equal.
+So a copied passage is found though words in it were replaced, if a mask fits
+somewhere between them.
 
 Words are compared without case and without marks. A bit table of the benchmark's
 hashes, of bounded size, goes to the scan, so only positions that can have a
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from llm.blocks import bit_table, in_table, packed_bits
 from llm.common import ODD, REMEMBERED, mixed, row_key, rows_in_batches, stored
 
 MASKS = ("110110101", "111001011", "1011010011")
-MIN_WORDS, SIMILARITY, PENALTY = 12, 0.8, 4
+MIN_WORDS, SIMILARITY = 12, 0.8
 BROADCAST = 200_000
 RUN = pa.schema([
     ("doc_id", pa.int64()), ("key", pa.int64()), ("run", pa.int64()), ("first", pa.int64()), ("words", pa.binary()),
@@ -76,22 +77,34 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(out).view(np.int64)
 
 
-def best_overlap(same: np.ndarray, penalty: int) -> tuple[int, int]:
-    """(begin, end) of the stretch with the highest sum; the first and longest such."""
-    sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -penalty))])
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums[1:] - low[:-1])) + 1
-    return int(np.argmin(sums[:end])), end
+def longest_overlap(same: np.ndarray, least: int, similarity: Fraction) -> tuple[int, int] | None:
+    """(begin, end) of the longest stretch from an equal word to an equal word with ``least`` equal ones and that share; the first such.
+
+    A stretch has the share if its sum of 1 - share for an equal word and -share for another
+    is not negative. Of the beginnings that reach this for an end, the first makes the longest
+    stretch and holds the most equal words.
+    """
+    equal = np.concatenate([[0], np.cumsum(same)])
+    sums = equal * similarity.denominator - np.arange(len(equal)) * similarity.numerator
+    begins, ends = np.flatnonzero(same), np.flatnonzero(same) + 1
+    if len(begins) < max(least, 1):
+        return None
+    low = np.minimum.accumulate(sums[begins])
+    first = begins[np.minimum(np.searchsorted(-low, -sums[ends]), np.arange(len(ends)))]
+    length = np.where((equal[ends] - equal[first] >= least) & (sums[ends] >= sums[first]), ends - first, 0)
+    best = int(np.argmax(length))
+    return (int(first[best]), int(ends[best])) if length[best] else None
 
 
 def benchmark_overlaps(
-    docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY, penalty: int = PENALTY
+    docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
     """(doc_id, item_id, start, item_start, length, n_equal): overlaps in words of whole documents with benchmark items.
 
     Runs the scan for hits at once; join and alignment are lazy.
     """
     spark = docs.sparkSession
+    share = Fraction(str(similarity))
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("item_words", pa.binary()), ("mask", pa.list_(pa.int32())), ("item_at", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64()))])
@@ -167,10 +180,10 @@ def benchmark_overlaps(
                     same = words[a + shift : b + shift] == item[a:b]
                     if not len(same):
                         continue
-                    begin, end = best_overlap(same, penalty)
-                    equal = int(same[begin:end].sum())
-                    if equal >= min(min_words, len(item)) and equal >= similarity * (end - begin):
-                        yield r["doc_id"], r["item_id"], r["first"] + shift + a + begin, a + begin, end - begin, equal
+                    stretch = longest_overlap(same, min(min_words, len(item)), share)
+                    if stretch:
+                        begin, end = stretch
+                        yield r["doc_id"], r["item_id"], r["first"] + shift + a + begin, a + begin, end - begin, int(same[begin:end].sum())
 
         yield from rows_in_batches(found(), FOUND)
 

@@ -8,6 +8,7 @@ import random
 import sys
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
@@ -150,6 +151,41 @@ def test_overlaps_survive_replaced_words(spark):
     assert decontaminate.benchmark_overlaps(frame.limit(0), bench).count() == 0
 
 
+def longest_stretch(same: list[bool], least: int) -> tuple[int, int, int]:
+    """(length, -begin, equal) of the longest stretch that meets both limits, by trying all."""
+    ends = [(e - b, -b, sum(same[b:e])) for b in range(len(same)) for e in range(b + 1, len(same) + 1) if same[b] and same[e - 1]]
+    return max((x for x in ends if x[2] >= least and 5 * x[2] >= 4 * x[0]), default=(0, 0, 0))
+
+
+def test_longest_overlap_equals_brute_force():
+    rng = random.Random(6)
+    for _ in range(2000):
+        same = [rng.random() < 0.78 for _ in range(rng.randint(0, 45))]
+        found = decontaminate.longest_overlap(np.array(same, bool), 12, Fraction(4, 5))
+        length, begin, _ = longest_stretch(same, 12)
+        assert found == ((-begin, -begin + length) if length else None)
+
+
+def test_overlaps_survive_a_fifth_of_replaced_words(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    items, docs, expected, lost = [], [], set(), 0
+    plans = [(n, rng.sample(range(n), n * share // 100)) for n in (15, 20, 30, 44, 59) for share in (15, 20) for _ in range(8)] + [(59, range(4, 59, 5))]
+    for k, (n, places) in enumerate(plans):
+        item, same = [word() for _ in range(n)], [x not in places for x in range(n)]
+        items.append((k, " ".join(item)))
+        docs.append((k, " ".join([word() for _ in range(20)] + [w if s else word() for w, s in zip(item, same)] + [word() for _ in range(20)]), None, None, None))
+        length, begin, equal = longest_stretch(same, 12)
+        hit = any(all(same[at + j] for j, bit in enumerate(mask) if bit == "1") for mask in decontaminate.MASKS for at in range(n - len(mask) + 1))
+        if length and hit:
+            expected.add((k, k, 20 - begin, -begin, length, equal))
+            high = max(sum(1 if x else -4 for x in same[b:e]) for b in range(n) for e in range(b + 1, n + 1))
+            lost += high < 12
+    found = decontaminate.benchmark_overlaps(corpus.frame(spark, data=docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert counted(found.select("doc_id", "item_id", "start", "item_start", "length", "n_equal").collect()) == Counter(expected)
+    assert len(expected) > 40 and lost > 10 and (80, 80, 20, 0, 59, 48) in expected
+
+
 def test_large_benchmarks_take_the_same_path_to_the_same_rows(spark, monkeypatch):
     data = [(k, t, None, None, None) for k, t, *_ in corpus.rows() if t]
     bench = spark.createDataFrame([(k, t) for k, t, *_ in data[:6]], "item_id long, text string")
