@@ -14,7 +14,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import collected_folders, new_folder, remove_folders, stored
+from llm.common import collected_folders, new_folder, remove_folders, row_key, stored
 from llm.decontaminate import benchmark_overlaps
 from llm.jaccard import one_of_each
 from llm.lines import dedup_lines
@@ -63,10 +63,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with a benchmark item go."""
+    """Documents that overlap with a benchmark item go; others with the same id, or without one, stay."""
     found = benchmark_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = stored(found.select(F.col("doc_id").alias("__id")).distinct(), "found")
-    return docs.select(COLUMNS).join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    found = stored(found.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "found")
+    rows = docs.select(COLUMNS).withColumn("__own", row_key(F.col("doc_id").cast("long"), "text"))
+    same = (F.col("__own") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return rows.join(found, same, "left_anti").select(COLUMNS)
 
 
 @_stage

@@ -72,9 +72,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key(*columns: str) -> Column:
+def row_key(*columns: str | Column) -> Column:
     """A number that equal rows share. With the id beside it, it tells rows apart that repeat an id."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in columns])
 
 
 class WordHash(dict):

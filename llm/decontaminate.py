@@ -42,7 +42,7 @@ RUN = pa.schema([
     ("doc_id", pa.int64()), ("key", pa.int64()), ("run", pa.int64()), ("first", pa.int64()), ("words", pa.binary()),
     ("mask", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())),
 ])
-FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64()), ("n_equal", pa.int64())])
+FOUND = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("item_start", pa.int64()), ("length", pa.int64()), ("n_equal", pa.int64())])
 
 
 class _Bare(dict):
@@ -99,7 +99,9 @@ def longest_overlap(same: np.ndarray, least: int, similarity: Fraction) -> tuple
 def benchmark_overlaps(
     docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """(doc_id, item_id, start, item_start, length, n_equal): overlaps in words of whole documents with benchmark items.
+    """(doc_id, key, item_id, start, item_start, length, n_equal): overlaps in words of whole documents with benchmark items.
+
+    ``key`` is the ``row_key`` of id (a long) and text, which tells documents apart that repeat an id or have none.
 
     Runs the scan for hits at once; join and alignment are lazy.
     """
@@ -183,9 +185,9 @@ def benchmark_overlaps(
                     stretch = longest_overlap(same, min(min_words, len(item)), share)
                     if stretch:
                         begin, end = stretch
-                        yield r["doc_id"], r["item_id"], r["first"] + shift + a + begin, a + begin, end - begin, int(same[begin:end].sum())
+                        yield r["doc_id"], r["key"], r["item_id"], r["first"] + shift + a + begin, a + begin, end - begin, int(same[begin:end].sum())
 
         yield from rows_in_batches(found(), FOUND)
 
-    pairs = pairs.select("doc_id", "first", "words", "shift", "item_id", "item_words")
-    return pairs.mapInArrow(align, "doc_id long, item_id long, start long, item_start long, length long, n_equal long")
+    pairs = pairs.select("doc_id", "key", "first", "words", "shift", "item_id", "item_words")
+    return pairs.mapInArrow(align, "doc_id long, key long, item_id long, start long, item_start long, length long, n_equal long")

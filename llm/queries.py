@@ -78,7 +78,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from llm.decontaminate import benchmark_overlaps
 
-    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
 @query

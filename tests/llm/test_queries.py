@@ -62,3 +62,14 @@ def test_pipeline_with_awkward_rows(spark, tmp_path):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(str(tmp_path / f"{table}.parquet")).limit(0).write.parquet(str(empty / f"{table}.parquet"))
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_decontamination_tells_rows_of_one_id_apart(spark, tmp_path):
+    item = " ".join(f"item{k}" for k in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    dirty = [(None, f"before {item} after"), (7, f"{item} more"), (8, item), (8, item)]
+    clean = [(None, "a clean text"), (None, "a clean text"), (None, None), (7, "another clean text"), (7, None), (9, ""), (None, "")]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in dirty + clean]
+    kept = corpus_pipeline.decontamination(spark, corpus.frame(spark, True, rows), str(tmp_path))
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, clean))
