@@ -30,17 +30,21 @@ import re
 from array import array
 from collections.abc import Callable
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces, and pairs of tokens, that one Python worker remembers; longer pieces than LONGEST bytes are not remembered.
-REMEMBERED, LONGEST = 200_000, 48
+from llm.tokens import SPELLED
+
+#: Words, pieces, and pairs of tokens, that one Python worker remembers, each; longer words and pieces than LONGEST bytes are not remembered.
+REMEMBERED, LONGEST = 300_000, 48
+#: Words that normalising only puts in lower case, with marks after them that are a word of their own.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,:;!?]*)").fullmatch
 #: Added to the last character of a word, so that tokens at the end of words match there alone.
 LAST = 0x1000
-NEVER = 1 << 60
+#: Bits of a character; the mark of the empty prefix; a rank that never comes.
+SYMBOL, BEGIN, NEVER = 13, -2, 1 << 60
 
 
 class WordModel:
@@ -72,11 +76,40 @@ class WordModel:
                 whole.add(token)
             self.pairs[one * size + other] = rank
         self.size, self.length = size, {t: len(spelled[t]) for t in whole}
-        self.automaton = ahocorasick.Automaton()
-        for token in whole:
-            self.automaton.add_word(spelled[token], token)
-        self.automaton.make_automaton()
-        self.characters = {s for s in spelled.values() if len(s) == 1}
+        self._build({t: spelled[t] for t in whole})
+
+    def _build(self, tokens: dict[int, str]) -> None:
+        """The automaton: a state for every beginning of a token, with the tokens that end there, longest first."""
+        self.edges: dict[int, int] = {}
+        own, depth, parent = [-1], [0], [(0, 0)]
+        for token, text in tokens.items():
+            state = 0
+            for c in map(ord, text):
+                key = state << SYMBOL | c
+                if key not in self.edges:
+                    self.edges[key] = len(own)
+                    own.append(-1)
+                    depth.append(depth[state] + 1)
+                    parent.append((state, c))
+                state = self.edges[key]
+            own[state] = token
+        self.shorter, self.ends = [0] * len(own), [()] * len(own)
+        self.go = dict(self.edges)
+        for state in sorted(range(1, len(own)), key=depth.__getitem__):
+            before, c = parent[state]
+            shorter = self.shorter[state] = self._step(self.shorter[before], c) if before else 0
+            here = ((own[state], depth[state]),) if own[state] >= 0 else ()
+            self.ends[state] = here + self.ends[shorter]
+
+    def _step(self, state: int, c: int) -> int:
+        """The longest beginning of a token after one more character; remembered for both where it starts and ends."""
+        start = state
+        while (found := self.edges.get(state << SYMBOL | c)) is None and state:
+            state = self.shorter[state]
+        if len(self.go) >= len(self.edges) + REMEMBERED:
+            self.go = dict(self.edges)
+        found = self.go[start << SYMBOL | c] = found or 0
+        return found
 
     def _border(self, a: int, b: int) -> bool:
         """Whether the border between two tokens outlasts all merges known so far."""
@@ -95,29 +128,41 @@ class WordModel:
             a, up = self.right[a], self.rank[a]
 
     def fits(self, a: int, b: int) -> bool:
-        key = a * self.size + b
-        known = self._fits.get(key)
-        if known is None:
-            if len(self._fits) >= REMEMBERED:
-                self._fits.clear()
-            known = self._fits[key] = self._border(a, b)
+        if len(self._fits) >= REMEMBERED:
+            self._fits.clear()
+        known = self._fits[a * self.size + b] = self._border(a, b)
         return known
 
-    def encode(self, word: str) -> array:
+    def encode(self, word: str) -> list[int]:
         """Ids of one word, whose characters all are in the vocabulary."""
-        n, length, fits = len(word), self.length, self.fits
-        last = array("i", [-1]) * (n + 1)
-        for place, token in self.automaton.iter(word[:-1] + chr(ord(word[-1]) + LAST)):
-            if last[place + 1] < 0:
-                start = place + 1 - length[token]
-                if start == 0 or (last[start] >= 0 and fits(last[start], token)):
-                    last[place + 1] = token
-        ids = array("i")
-        while n:
-            if last[n] < 0:
+        codes = array("H", word.encode("utf-16-le"))
+        codes[-1] += LAST
+        size, known, go, ends = self.size, self._fits.get, self.go.get, self.ends
+        last, state, place = [BEGIN], 0, 0
+        for c in codes:
+            place += 1
+            after = go(state << SYMBOL | c)
+            if after is None:
+                after = self._step(state, c)
+                go = self.go.get
+            state = after
+            for token, length in ends[state]:
+                before = last[place - length]
+                if before >= 0:
+                    fit = known(before * size + token)
+                    if fit or fit is None and self.fits(before, token):
+                        last.append(token)
+                        break
+                elif before == BEGIN:
+                    last.append(token)
+                    break
+            else:
                 raise ValueError("the word has a character that the vocabulary lacks")
-            ids.append(last[n])
-            n -= length[last[n]]
+        ids, length = [], self.length
+        while place:
+            token = last[place]
+            ids.append(token)
+            place -= length[token]
         ids.reverse()
         return ids
 
@@ -142,18 +187,36 @@ class Codec(dict):
         if self.words("a b") != [("a", (0, 1)), ("b", (2, 3))] or stated.get("decoder"):
             raise ValueError("the tokenizer must drop white space, and join tokens by one space")
         self.special = {t["content"]: t["id"] for t in added}
+        self.known: dict[str, bytes] = {}
+        # Whether this file splits and normalises a plain word with marks as PLAIN says.
+        self.plain = [w for w, _ in self.words(self.normalise("AbÉ.,:;!?"))] == ["abé".encode().decode("latin-1").translate(SPELLED), ".,:;!?"]
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if added else None
         self.names = {number: token for token, number in stated["model"]["vocab"].items()} | {t["id"]: t["content"] for t in added}
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a normalised word."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = array("i", self.model.encode(word)).tobytes()
+            if len(word) <= LONGEST:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[word] = ids
+        return ids
+
     def _encode(self, text: str) -> bytes:
-        ids = array("i")
+        if self.plain and (found := PLAIN(text)):
+            word, marks = found.groups()
+            word = word.lower()
+            ids = self._word(word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED))
+            return ids + self._word(marks) if marks else ids
+        ids = []
         for part in self.parts.split(text) if self.parts else [text]:
             if part in self.special:
-                ids.append(self.special[part])
+                ids.append(array("i", [self.special[part]]).tobytes())
             elif part:
-                for word, _ in self.words(self.normalise(part)):
-                    ids.extend(self.model.encode(word))
-        return np.array(ids, "<i4").tobytes()
+                ids += [self._word(word) for word, _ in self.words(self.normalise(part))]
+        return b"".join(ids)
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self._encode(piece.decode("utf-8", "replace"))
@@ -168,7 +231,10 @@ class Codec(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
     def text(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids if i in self.names])
+        try:
+            return " ".join(map(self.names.__getitem__, ids))
+        except KeyError:
+            return " ".join([self.names[i] for i in ids if i in self.names])
 
 
 _READY: dict[str, Codec] = {}
@@ -181,28 +247,45 @@ def codec(path: str) -> Codec:
     return _READY[path]
 
 
+def _ids_of(texts: pa.Array, encode: Callable[[bytes], bytes]) -> pa.ListArray:
+    every = [encode(t.as_buffer().to_pybytes()) for t in texts]
+    offsets = np.cumsum([0, *map(len, every)]) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(every), np.int32)))
+
+
+def _text_of(lists: pa.ListArray, decode: Callable[[list[int]], str]) -> pa.Array:
+    return pa.array([decode(i.values.to_numpy(zero_copy_only=False).tolist()) if i.is_valid else "" for i in lists], pa.string())
+
+
 def bpe_ids(text: Column, path: str) -> Column:
     """The ids of each text, as an array of int."""
 
     @F.arrow_udf("array<int>")
-    def ids_of(texts: pa.Array) -> pa.Array:
-        ids = codec(path).ids
-        every = [ids(t.as_buffer().to_pybytes()) for t in texts]
-        offsets = np.cumsum([0, *map(len, every)]) // 4
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(every), "<i4"), pa.int32()))
+    def ids(texts: pa.Array) -> pa.Array:
+        return _ids_of(texts, codec(path).ids)
 
-    return ids_of(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+    return ids(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def bpe_text(ids: Column, path: str) -> Column:
     """The text of each array of ids; no ids, an empty text."""
 
     @F.arrow_udf("string")
-    def text_of(lists: pa.Array) -> pa.Array:
-        text = codec(path).text
-        return pa.array([text(i.values.to_pylist()) if i.is_valid else "" for i in lists], pa.string())
+    def decoded(lists: pa.Array) -> pa.Array:
+        return _text_of(lists, codec(path).text)
+
+    return decoded(ids)
+
+
+def bpe_round_trip(text: Column, path: str) -> Column:
+    """Both, the ids of each text and the text of those ids, in one pass over the rows."""
 
-    return text_of(ids)
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _ids_of(texts, codec(path).ids)
+        return pa.StructArray.from_arrays([ids, _text_of(ids, codec(path).text)], ["ids", "decoded"])
+
+    return both(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -213,3 +296,9 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def decode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with decoded, the text of ids."""
     return docs.withColumn("decoded", bpe_text(F.col("ids"), path))
+
+
+def round_trip_documents(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ids and decoded."""
+    kept = [c for c in docs.columns if c not in {"ids", "decoded"}]
+    return docs.select(F.struct(*kept).alias("row"), bpe_round_trip(F.col("text"), path).alias("made")).select("row.*", "made.ids", "made.decoded")

@@ -198,10 +198,10 @@ FROM p
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from llm.bpe import decode_documents, encode_documents
+    from llm.bpe import round_trip_documents
     from llm.tokens import word_bpe_path
 
-    made = decode_documents(encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), word_bpe_path()), word_bpe_path())
+    made = round_trip_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), word_bpe_path())
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
