@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.display import dollars, percent
 from holdfast.functions.numeric import fixed, ratio
+from holdfast.operators.cuts import first_rows
 from holdfast.operators.ranking import global_rank, top_rows
 from holdfast.sources.files import keep_columns
 
@@ -46,13 +47,20 @@ def _order() -> list[Column]:
 
 def select_targets(eligible: DataFrame, budget: float, cost_per_contact: float, spread: bool = False) -> DataFrame:
     """The most valuable targets the budget pays for, in order; ``spread`` for lists too long for one task."""
-    return top_rows(eligible, affordable(budget, cost_per_contact), _order(), spread)
+    if spread:
+        return placed_targets(eligible, budget, cost_per_contact).orderBy("place").drop("place")
+    return top_rows(eligible, affordable(budget, cost_per_contact), _order())
 
 
 def placed_targets(eligible: DataFrame, budget: float, cost_per_contact: float) -> DataFrame:
-    """The same targets for lists of any length, each with its place in the list. Eager, as ``global_rank`` is."""
-    ranked = global_rank(eligible, _order(), rank="place", total="_total")
-    return ranked.where(F.col("place") <= affordable(budget, cost_per_contact)).drop("_total")
+    """The same targets for lists of any length, each with its place in the list.
+
+    The last target that the budget pays for is found by cuts, so only the chosen
+    rows are moved and stored. Eager, as ``first_rows`` and ``global_rank`` are.
+    """
+    most = affordable(budget, cost_per_contact)
+    chosen = first_rows(eligible, most, "value_at_risk", "customer_id")
+    return global_rank(chosen, _order(), rank="place", total="_total").drop("_total")
 
 
 def campaign_return(eligible: DataFrame, budget: float, cost_per_contact: float) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import fixed, percent_of, ratio
 from holdfast.operators.attach import attach
-from holdfast.operators.prefix import accumulate, step_of
+from holdfast.operators.cuts import refine
+from holdfast.operators.prefix import POINTS, accumulate, step_of
 from holdfast.operators.quantiles import percentiles_of_ranked
 from holdfast.operators.ranking import global_rank
-from holdfast.session import settle
+from holdfast.session import settle, store
 
 TOP_PERCENTS = (10, 20, 30, 40, 50)
 GAIN_START = 100
@@ -23,11 +25,70 @@ QINI_TOLERANCE = 0.001
 AGREE, DISAGREE = "High agreement", "Methods disagree significantly"
 
 
+_SUMS = ["n_t", "n_c", "y_t", "y_c"]
+
+
+@dataclass(frozen=True)
+class ScoreCuts:
+    """What the metrics below need of scores: arm counts between ranks, and the spread of the scores."""
+
+    steps: DataFrame
+    spread: DataFrame
+
+
+def _ranks_of_interest(n: int, percents: Sequence[int]) -> list[int]:
+    """The last rank of every stretch that no point of a curve and no top share divides."""
+    stride = max(1, n // POINTS)
+    return [*range(1, n + 1, stride), *range(GAIN_START, n + 1, stride), *[n * k // 100 for k in percents], n]
+
+
+def cut_scores(
+    df: DataFrame, scores: Mapping[str, str], key: str = "customer_id", outcome: str = "churn_binary",
+    treatment: str = "treatment", percents: Sequence[int] = TOP_PERCENTS,
+) -> ScoreCuts:
+    """Arm counts and churn between all ranks that any metric below looks at, and each learner's spread.
+
+    ``scores`` maps a learner's name to its score column. Best score first; ties are
+    ordered by the key and customers without a score come last. The ranks are cut
+    exactly by refined histograms (``operators.cuts``): no row is ranked or
+    shuffled. Some two hundred rows per learner remain, whatever the number of
+    customers. Eager: stores the narrow columns once and reads them a few times.
+    """
+    names = list(scores)
+    narrow = store(df.select(F.col(key).alias("_key"), F.col(outcome).cast("long").alias("y"), F.col(treatment).cast("long").alias("t"), *[F.col(c).alias(f"score_{i}") for i, c in enumerate(scores.values())]))
+    one_each = F.inline(F.array(*[F.struct(F.lit(i).alias("learner"), F.col(f"score_{i}").alias("score")) for i in range(len(names))]))
+    rows = narrow.select("_key", "y", "t", one_each)
+    t, y = F.col("t"), F.col("y")
+    sums = {"n_t": t, "n_c": 1 - t, "y_t": t * y, "y_c": (1 - t) * y}
+    found = refine(
+        rows, "score", "_key", lambda n: _ranks_of_interest(n, percents), sums, group=F.col("learner"), labels=names,
+        places=lambda n, scored: [(scored - 1) // 2 + 1, scored // 2 + 1],
+    )
+    steps, middles = [], []
+    for name in names:
+        before, added = 0, dict.fromkeys(sums, 0)
+        for cut in found.cuts[name]:
+            own = {k: cut.sums[k] - added[k] for k in sums}
+            top = min((k for k in percents if cut.rank <= cut.total * k // 100), default=None)
+            steps.append((name, cut.total, cut.rank, top, *own.values()))
+            before, added = cut.rank, cut.sums
+        pair = [v for _, v in sorted(found.values[name].items()) if v is not None]  # the higher one first
+        middles.append((name, pair[-1] + (pair[0] - pair[-1]) * 0.5 if pair else None))
+    spark = df.sparkSession
+    table = spark.createDataFrame(steps, "learner string, n_rows long, rank long, top int, n_t long, n_c long, y_t long, y_c long")
+    n = F.col("n_rows")
+    table = table.select("learner", "n_rows", step_of(F.col("rank"), n, 1).alias("qini_step"), step_of(F.col("rank"), n, GAIN_START).alias("gain_step"), "top", *_SUMS)
+    score = lambda i: F.col(f"score_{i}")
+    spread = narrow.agg(*[F.struct(*[x.alias(k) for k, x in _spread(score(i)).items()]).alias(f"s{i}") for i in range(len(names))])
+    one_row = F.inline(F.array(*[F.struct(F.lit(name).alias("learner"), *[F.col(f"s{i}.{k}").alias(k) for k in _spread(score(i))]) for i, name in enumerate(names)]))
+    return ScoreCuts(table, spread.select(one_row).join(spark.createDataFrame(middles, "learner string, median double"), "learner", "left"))
+
+
 def ranked_scores(
     df: DataFrame, scores: Mapping[str, str], key: str = "customer_id",
     outcome: str = "churn_binary", treatment: str = "treatment",
 ) -> DataFrame:
-    """One row per learner and customer with its rank, best score first.
+    """One row per learner and customer with its rank, best score first; where ``cut_scores`` is not enough.
 
     ``scores`` maps a learner's name to its score column. All learners share one
     range shuffle of five narrow columns. Ties are ordered by the key and
@@ -60,7 +121,12 @@ def rank_steps(ranked: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> Dat
     )
 
 
-_SUMS = ["n_t", "n_c", "y_t", "y_c"]
+def _spread(score: Column) -> dict[str, Column]:
+    return {
+        "mean_uplift": fixed(F.avg(score), 4),
+        "std_uplift": fixed(F.stddev_pop(score), 4),
+        "pct_positive_uplift": fixed(percent_of(score > 0), 1),
+    }
 
 
 def _points(steps: DataFrame, step: str, start: int) -> DataFrame:
@@ -139,24 +205,22 @@ def _metrics(steps: DataFrame, percents: Sequence[int]) -> DataFrame:
     return joined.withColumn("qini", F.coalesce("qini_coefficient", F.lit(0.0)))
 
 
-def learner_report(ranked: DataFrame) -> DataFrame:
-    """One row per learner: ranking quality and the spread of its scores."""
-    score = F.col("score")
-    spread = ranked.groupBy("learner").agg(
-        F.count(score).alias("_scored"),
-        fixed(F.avg(score), 4).alias("mean_uplift"),
-        fixed(F.stddev_pop(score), 4).alias("std_uplift"),
-        fixed(percent_of(score > 0), 1).alias("pct_positive_uplift"),
-    )
-    facts = attach(_metrics(rank_steps(ranked), (10, 20, 50)), spread, "learner")
-    counted = attach(ranked, facts.select("learner", "_scored"), "learner")
-    middle = percentiles_of_ranked(counted, "score", {"median": 0.5}, by=["learner"], total="_scored", descending=True)
-    return facts.join(middle, "learner").select(
+def _ranked_spread(ranked: DataFrame) -> DataFrame:
+    counted = ranked.groupBy("learner").agg(F.count("score").alias("_scored"), *[x.alias(k) for k, x in _spread(F.col("score")).items()])
+    rows = attach(ranked, counted.select("learner", "_scored"), "learner")
+    middle = percentiles_of_ranked(rows, "score", {"median": 0.5}, by=["learner"], total="_scored", descending=True)
+    return counted.drop("_scored").join(middle, "learner")
+
+
+def learner_report(source: ScoreCuts | DataFrame) -> DataFrame:
+    """One row per learner: ranking quality and the spread of its scores; from cuts, or from ranked rows."""
+    cuts = source if isinstance(source, ScoreCuts) else ScoreCuts(rank_steps(source), _ranked_spread(source))
+    return _metrics(cuts.steps, (10, 20, 50)).join(F.broadcast(cuts.spread), "learner").select(
         F.col("learner").alias("model"),
         fixed(F.col("qini"), 6).alias("qini_coefficient"),
         "mean_uplift", fixed(F.col("median"), 4).alias("median_uplift"), "std_uplift", "pct_positive_uplift",
         *[fixed(F.col(f"effect_{k}"), 4).alias(f"uplift_at_{k}") for k in (10, 20, 50)],
-    )
+    )
 
 
 def _agreement(r: Column) -> Column:
@@ -170,14 +234,14 @@ def score_correlation(df: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def compare_learners(
-    df: DataFrame, first: tuple[str, str], second: tuple[str, str], ranked: DataFrame | None = None
+    df: DataFrame, first: tuple[str, str], second: tuple[str, str], cuts: ScoreCuts | None = None
 ) -> DataFrame:
     """One row: Qini, uplift@k and gains of two learners side by side, and a verdict.
 
     ``first`` and ``second`` are (name, score column); a tie in Qini goes to the second.
     """
-    ranked = ranked_scores(df, dict([first, second])) if ranked is None else ranked
-    metrics = _metrics(rank_steps(ranked), TOP_PERCENTS)
+    cuts = cut_scores(df, dict([first, second])) if cuts is None else cuts
+    metrics = _metrics(cuts.steps, TOP_PERCENTS)
     wanted = ["qini", *[f"effect_{k}" for k in TOP_PERCENTS], "first_gain", "last_gain"]
     sides = {"first": first[0], "second": second[0]}
     picked = metrics.agg(

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import customer
 from holdfast.functions.numeric import fixed, mean_where, percent_of
+from holdfast.operators.cuts import scan
 from holdfast.operators.ranking import global_rank, tile, top_rows
 from holdfast.operators.star import WITHOUT_SERVICES, star
 from holdfast.schemas import MODELING_COLUMNS
+from holdfast.session import store
 
 Tables = Mapping[str, DataFrame]
 
@@ -132,6 +134,31 @@ def high_value_customers(tables: Tables, k: int = 100) -> DataFrame:
     )
 
 
+def customers_by_value(tables: Tables) -> DataFrame:
+    """Every customer with the columns of ``high_value_customers``, over all customers in order of lifetime value.
+
+    Ranks, the value before and the running exposure are carried from block to
+    block, so no task sees all rows and no limit is needed. Exposure is summed as
+    a decimal. Eager, as ``scan`` is; the narrow rows are stored once.
+    """
+    rows = store(_renamed(star(tables, WITHOUT_SERVICES)).select(
+        "customer_id", "tenure_months", "contract_type", "monthly_charges", "clv",
+        "treatment", "propensity_score", "churn_binary",
+    ))
+    ranked = scan(
+        rows, "clv", "customer_id", {"_exposed": _exposure().cast("decimal(18,4)")}, {"prev_customer_clv": "clv"},
+        rank="clv_rank", peers="_least", total="_total",
+    )
+    return ranked.select(
+        *rows.columns,
+        fixed(customer.annual_revenue(F.col("monthly_charges")), 2).alias("annual_revenue"),
+        "clv_rank",
+        fixed(F.coalesce(F.try_divide(F.col("_least") - 1.0, F.col("_total") - 1), F.lit(0.0)), 4).alias("clv_percentile"),
+        "prev_customer_clv",
+        fixed(F.col("_exposed"), 2).alias("cumulative_revenue_at_risk"),
+    )
+
+
 def segment_analysis(tables: Tables, min_n: int = 50) -> DataFrame:
     """Churn and offer rates by contract and internet service, small segments left out."""
     rows = _renamed(star(tables))

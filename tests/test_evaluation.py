@@ -94,6 +94,17 @@ def test_one_arm_gives_zeros_and_an_empty_curve(spark):
     assert report.qini_coefficient == 0.0 and report.median_uplift == 2.5
 
 
+def test_cuts_give_what_ranked_rows_give(spark, sample):
+    scores, y, t, _, _ = sample
+    rows = frame(spark, scores, y, t).withColumns({"other": F.when(F.col("customer_id") % 7 != 0, F.col("s") * F.col("customer_id")), "none": F.lit(None).cast("double")})
+    learners = {"m": "s", "o": "other", "n": "none"}
+    plain = evaluation.ranked_scores(rows, learners)
+    cuts = evaluation.cut_scores(rows, learners)
+    summed = lambda steps: {tuple(r) for r in steps.groupBy("learner", "n_rows", "qini_step", "gain_step", "top").sum("n_t", "n_c", "y_t", "y_c").collect()}
+    assert summed(cuts.steps) == summed(evaluation.rank_steps(plain))
+    assert {tuple(r) for r in evaluation.learner_report(cuts).collect()} == {tuple(r) for r in evaluation.learner_report(plain).collect()}
+
+
 def test_learner_report_uses_population_spread(spark, sample):
     scores, y, t, _, _ = sample
     row = evaluation.learner_report(ranked(spark, scores, y, t)).first()
