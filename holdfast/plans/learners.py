@@ -26,6 +26,7 @@ from holdfast.operators.ranking import global_rank
 from holdfast.plans.effects import PROPENSITY_FEATURES
 from holdfast.plans.uplift import combine_effects
 from holdfast.session import shared_folder, store, together
+from holdfast.sources import published
 
 # Columns that are no features (key, arm, outcome, leak, duplicate).
 NOT_FEATURES = ["customer_id", "treatment", "churn_binary", "revenue_at_risk", "tenure_bucket"]
@@ -253,27 +254,34 @@ class Learner:
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Models and one metadata row under ``path``; an existing one is replaced."""
+        """Models and one metadata row under ``path``, published in one step: a reader gets this learner or the one before, whole."""
         parts = {
             "encoder": self.encoder, "control": self.control, "treated": self.treated,
             "effect_treated": self.effect_treated, "effect_control": self.effect_control,
         }
-        for name, part in parts.items():
-            if part is not None:
-                part.write().overwrite().save(f"{path}/{name}")
-        self.metadata(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
+
+        def write(folder: str) -> None:
+            for name, part in parts.items():
+                if part is not None:
+                    part.write().save(f"{folder}/{name}")
+            self.metadata(spark).coalesce(1).write.parquet(f"{folder}/metadata")
+
+        published.publish(spark, path, {"learner": write})
+        published.clean(spark, path)
 
 
 def load_learner(spark: SparkSession, path: str) -> Learner:
-    facts = spark.read.parquet(f"{path}/metadata").first()
+    """The learner that was saved last."""
+    folder = published.places(spark, path, "learner", "Learner.save")[-1]
+    facts = spark.read.parquet(f"{folder}/metadata").first()
     crossed = facts["model_type"] == "X-Learner"
     return Learner(
-        encoder=PipelineModel.load(f"{path}/encoder"),
+        encoder=PipelineModel.load(f"{folder}/encoder"),
         features=list(facts["features"]),
-        control=GBTClassificationModel.load(f"{path}/control"),
-        treated=GBTClassificationModel.load(f"{path}/treated"),
-        effect_treated=GBTRegressionModel.load(f"{path}/effect_treated") if crossed else None,
-        effect_control=GBTRegressionModel.load(f"{path}/effect_control") if crossed else None,
+        control=GBTClassificationModel.load(f"{folder}/control"),
+        treated=GBTClassificationModel.load(f"{folder}/treated"),
+        effect_treated=GBTRegressionModel.load(f"{folder}/effect_treated") if crossed else None,
+        effect_control=GBTRegressionModel.load(f"{folder}/effect_control") if crossed else None,
         n_rows=facts["n_training_samples"],
         trained_at=facts["training_date"],
         risk_threshold=facts["risk_threshold"],

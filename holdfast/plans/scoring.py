@@ -9,36 +9,47 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from holdfast.functions import customer, segments
 from holdfast.functions.numeric import fixed, sum_where
 from holdfast.schemas import QUADRANTS, REQUEST, REQUEST_DEFAULTS, REQUEST_RANGES, REQUEST_VALUES
 from holdfast.operators.checks import in_range, in_set, row_checks
+from holdfast.sources.rescued import RECORD, RESCUED
 
 # Adds mu_0_control and mu_1_treatment to rows that carry the features.
 Outcomes = Callable[[DataFrame], DataFrame]
 
 
-def request_errors() -> Column:
-    """What is wrong with a request, one text per broken rule; empty if nothing."""
+def request_errors(rescued: bool = False) -> Column:
+    """What is wrong with a request, one text per broken rule; empty if nothing.
+
+    With ``rescued`` the requests were read without loss: a field of another type
+    is told from a missing one, and a record that cannot be read from an empty one.
+    """
     found = []
     for name in REQUEST.fieldNames():
         if name == "customer_id":
             continue
-        value = F.col(name)
-        found.append(F.when(value.isNull(), f"{name} is required"))
+        value, odd = F.col(name), F.map_contains_key(RESCUED, name) if rescued else F.lit(False)
+        if rescued and REQUEST[name].dataType != StringType():
+            found.append(F.when(odd, f"{name} has the wrong type"))
+        found.append(F.when(value.isNull() & ~odd, f"{name} is required"))
         if name in REQUEST_VALUES:
             found.append(F.when(~value.isin(REQUEST_VALUES[name]), f"{name} is not an allowed value"))
         if name in REQUEST_RANGES:
             low, high = REQUEST_RANGES[name]
             inside = value >= low if high is None else value.between(low, high)
             found.append(F.when(~inside, f"{name} is out of range"))
-    return F.array_compact(F.array(*found))
+    errors = F.array_compact(F.array(*found))
+    if rescued:
+        errors = F.when(F.map_contains_key(RESCUED, RECORD), F.array(F.lit("the record cannot be read"))).otherwise(errors)
+    return errors
 
 
 def with_errors(requests: DataFrame) -> DataFrame:
-    """Requests with defaults filled in and an ``errors`` column."""
-    return requests.fillna(REQUEST_DEFAULTS).withColumn("errors", request_errors())
+    """Requests with defaults filled in and an ``errors`` column; ``rescued`` tells more where the reader gave it."""
+    return requests.fillna(REQUEST_DEFAULTS).withColumn("errors", request_errors(RESCUED in requests.columns))
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -54,8 +54,7 @@ def fitted_scores(modeling: DataFrame, boosting: learners.Boosting | None = None
 def write_reports(scored: DataFrame, folder: str, budget: float, cost: float) -> None:
     """Model report, fairness report and target list, as files."""
     pairs = {T_LEARNER: "uplift_score", X_LEARNER: "uplift_score_xl"}
-    ranked = evaluation.ranked_scores(scored, pairs)
-    files.write_report(evaluation.learner_report(ranked), f"{folder}/model_report")
+    files.write_report(evaluation.learner_report(evaluation.cut_scores(scored, pairs)), f"{folder}/model_report")
     files.write_report(fairness.fairness_report(scored), f"{folder}/fairness_report")
     eligible = campaign.eligible_targets(scored)
     files.write_csv(campaign.target_list(campaign.select_targets(eligible, budget, cost, spread=True)), f"{folder}/targets")
@@ -66,9 +65,8 @@ def run(spark: SparkSession, sources: Sequence[str], folder: str, budget: float
     with owned_scratch(spark):
         enriched = intake.enrich(intake.clean(files.first_available(spark, sources, RAW_CUSTOMERS)))
         checks.require(intake.check_enriched(enriched))
-        layout.write_tables(intake.five_tables(enriched), f"{folder}/tables")
+        intake.load_checked(intake.five_tables(enriched), f"{folder}/tables")
         tables = layout.read_tables(spark, f"{folder}/tables")
-        checks.require(checks.check_tables(tables))
         export_modeling(retention.modeling_dataset(tables), f"{folder}/modeling")
         modeling = files.read_required(spark, f"{folder}/modeling", "export_modeling")
         scored = fitted_scores(modeling) if fitted else closed_form_scores(modeling)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from holdfast.schemas import SNAKE_CASE, TABLES
 from holdfast.session import together
-from holdfast.sources.files import read_required
+from holdfast.sources import published
 
 KEY = "customer_id"
 
@@ -30,14 +30,26 @@ def split_tables(flat: DataFrame) -> dict[str, DataFrame]:
     return parts
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
-    """Plain Parquet, one folder per table; ``append`` adds rows."""
-    for name, table in tables.items():
-        table.write.mode(mode).parquet(f"{folder}/{name}")
+def write_tables(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> int:
+    """Publish tables as Parquet in one step; ``append`` adds rows, and other tables of the folder stay.
+
+    Readers see all the new tables or, should one fail, all the old ones. Gives the
+    number of the set, under which ``read_table`` finds it until it is cleaned away.
+    """
+    if mode not in {"overwrite", "append"}:
+        raise ValueError(f"mode is overwrite or append, not {mode}")
+    spark = next(iter(tables.values())).sparkSession
+    return published.publish_rows(spark, folder, tables, append=mode == "append")
+
+
+def read_table(spark: SparkSession, folder: str, name: str, version: int | None = None) -> DataFrame:
+    return published.read_rows(spark, folder, name, "write_tables", version)
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_required(spark, f"{folder}/{name}", "write_tables") for name in TABLES}
+    """All five tables of one and the same set."""
+    known = published.versions(spark, folder)
+    return {name: read_table(spark, folder, name, known[-1] if known else None) for name in TABLES}
 
 
 def bucket_count(spark: SparkSession, rows: int, rows_per_bucket: int = 2_000_000) -> int:

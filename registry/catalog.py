@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
+from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from holdfast.operators.ranking import global_rank, tile, top_rows
 from holdfast.plans import campaign, effects, evaluation, fairness, intake, learners, retention, scoring, stages, uplift
 from holdfast.schemas import RAW_CUSTOMERS, REQUEST, SNAKE_CASE
 from holdfast.session import settle, shared_folder, store
-from holdfast.sources import files
+from holdfast.sources import files, rescued
 from holdfast.sources import tables as layout
 from holdfast.streaming import scoring as streaming
 from registry.fixtures import dirty_tables, flat, modeling, tables
@@ -159,7 +160,23 @@ def table_refresh_and_append(spark, sf_dir):
     layout.write_tables({"marketing": rows}, folder)
     layout.write_tables({"marketing": rows.where(offered)}, folder)
     layout.write_tables({"marketing": rows.where(~offered)}, folder, mode="append")
-    return files.read_required(spark, f"{folder}/marketing", "write_tables")
+    return layout.read_table(spark, folder, "marketing")
+
+
+@query
+def table_after_failed_refresh(spark, sf_dir):
+    """Two tables published, then a refresh of both whose second fails: what readers find is the first set."""
+    folder, known = _scratch(spark, "publish"), tables(spark, sf_dir)
+    both = {name: known[name] for name in ("marketing", "billing")}
+    layout.write_tables(both, folder)
+    failing = F.when(F.col("monthly_charges") >= 0, F.raise_error(F.lit("the source broke off"))).otherwise(0.0)
+    broken = {"marketing": both["marketing"].limit(0), "billing": both["billing"].withColumn("monthly_charges", failing)}
+    try:
+        layout.write_tables(broken, folder)
+    except (PythonException, SparkRuntimeException):
+        pass
+    found = {name: layout.read_table(spark, folder, name) for name in both}
+    return found["marketing"].join(found["billing"], "customer_id")
 
 
 @query
@@ -177,6 +194,12 @@ def table_checks(spark, sf_dir):
     return checks.check_tables(tables(spark, sf_dir))
 
 
+@query
+def table_checks_while_writing(spark, sf_dir):
+    """The same report, counted by the jobs that write the tables and over the keys they wrote."""
+    return intake.load_checked(tables(spark, sf_dir), _scratch(spark, "checked"))
+
+
 @query
 def table_checks_of_broken_rows(spark, sf_dir):
     """The same rules over tables in which every one of them is broken."""
@@ -226,6 +249,12 @@ def q4_high_value_customers(spark, sf_dir):
     return retention.high_value_customers(tables(spark, sf_dir))
 
 
+@query
+def q4_all_customers_by_value(spark, sf_dir):
+    """Q4 without its limit: rank, percentile, the customer before, and the running exposure, for every customer."""
+    return retention.customers_by_value(tables(spark, sf_dir))
+
+
 @query
 def q5_segment_analysis(spark, sf_dir):
     return retention.segment_analysis(tables(spark, sf_dir))
@@ -453,12 +482,12 @@ def covariate_balance_summary(spark, sf_dir):
 # ---------------------------------------------------------------- evaluation
 
 
-def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.ranked_scores(both_scores(spark, sf_dir), LEARNERS)
+def cuts(spark: SparkSession, sf_dir: str) -> evaluation.ScoreCuts:
+    return evaluation.cut_scores(both_scores(spark, sf_dir), LEARNERS)
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.rank_steps(ranked(spark, sf_dir))
+    return cuts(spark, sf_dir).steps
 
 
 @query
@@ -483,7 +512,7 @@ def cumulative_gain(spark, sf_dir):
 
 @query
 def learner_report(spark, sf_dir):
-    return evaluation.learner_report(ranked(spark, sf_dir))
+    return evaluation.learner_report(cuts(spark, sf_dir))
 
 
 @query
@@ -599,6 +628,27 @@ def request_errors(spark, sf_dir):
     return broken.select("customer_id", F.array_join("errors", "; ").alias("errors"))
 
 
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as a line of JSON; some hold text in number fields, some numbers in quotes, and some break off."""
+    rows, key = flat(spark, sf_dir), F.col("customer_id")
+    fields = {f.name: F.col(f.name).cast("string") for f in REQUEST}
+    fields["tenure_months"] = F.when(key % 23 == 0, "soon").when(key % 23 == 1, "12.5").when(key % 23 == 2, " ").otherwise(fields["tenure_months"])
+    fields["monthly_charges"] = F.when(key % 29 == 0, "$20").otherwise(fields["monthly_charges"])
+    fields["senior_citizen"] = F.when(key % 31 == 0, "no").when(key % 31 != 1, fields["senior_citizen"])
+    line = F.to_json(F.struct(*[x.alias(name) for name, x in fields.items()]))
+    return rows.select(F.when(key % 37 == 0, F.substring(line, 1, 50)).otherwise(line).alias("value"))
+
+
+@query
+def request_errors_of_lines(spark, sf_dir):
+    """Errors of requests that arrive as text: wrong types are told from missing fields, and lines that break off are kept."""
+    folder = _scratch(spark, "lines")
+    request_lines(spark, sf_dir).write.text(folder)
+    _, broken = scoring.split_requests(rescued.parse_json(spark.read.text(folder), REQUEST))
+    texts = F.array_join(F.transform(F.array_sort(F.map_entries("rescued")), lambda e: F.when(e["key"] == "_record", "").otherwise(e["value"])), "|")
+    return broken.select("customer_id", F.array_join("errors", "; ").alias("errors"), texts.alias("texts"))
+
+
 @query
 def scored_requests(spark, sf_dir):
     return scoring.score_batch(requests(spark, sf_dir), cell_outcomes(spark, sf_dir))[0]

@@ -272,6 +272,7 @@ for _name, _schema in TABLES.items():
             "WHERE NOT EXISTS (SELECT 1 FROM customers p WHERE p.customer_id = c.customer_id)"
         )
 oracle("table_checks", "SELECT *, n_bad = 0 AS passed FROM (" + " UNION ALL ".join(_checks) + ")")
+oracle("table_checks_while_writing", "SELECT *, n_bad = 0 AS passed FROM (" + " UNION ALL ".join(_checks) + ")")
 
 _NULLED = {
     "customers": ["customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months", "contract_type"],
@@ -365,6 +366,17 @@ oracle(
     + R("SUM(monthly_charges * 12 * churn_binary) OVER (ORDER BY clv DESC, customer_id ROWS UNBOUNDED PRECEDING)", 2)
     + " AS cumulative_revenue_at_risk FROM modeling) WHERE clv_rank <= 100",
 )
+oracle(
+    "q4_all_customers_by_value",
+    "SELECT customer_id, tenure_months, contract_type, monthly_charges, clv, treatment, propensity_score, "
+    f"churn_binary, {R('monthly_charges * 12', 2)} AS annual_revenue, "
+    "ROW_NUMBER() OVER (ORDER BY clv DESC, customer_id) AS clv_rank, "
+    f"{R('PERCENT_RANK() OVER (ORDER BY clv DESC)', 4)} AS clv_percentile, "
+    "LAG(clv, 1) OVER (ORDER BY clv DESC, customer_id) AS prev_customer_clv, "
+    + R("SUM(CAST(monthly_charges * 12 * churn_binary AS DECIMAL(18,4))) OVER (ORDER BY clv DESC, customer_id ROWS UNBOUNDED PRECEDING)", 2)
+    + " AS cumulative_revenue_at_risk FROM modeling",
+)
+oracle("table_after_failed_refresh", "SELECT * FROM marketing JOIN billing USING (customer_id)")
 oracle(
     "q5_segment_analysis",
     f"SELECT contract_type, internet_service, COUNT(*) AS n_customers, {R('AVG(churn_binary) * 100', 1)} AS churn_rate_pct, "
@@ -691,6 +703,38 @@ oracle(
     f"SELECT * FROM (SELECT customer_id, CONCAT_WS('; ', {', '.join(_wrongs)}) AS errors "
     f"FROM (SELECT CAST(customer_id AS VARCHAR) AS customer_id, {', '.join(_cells)} FROM flat)) WHERE errors <> ''",
 )
+_odd = {
+    "tenure_months": ("customer_id % 23 = 0", "'soon'", "customer_id % 23 = 1", "'12.5'"),
+    "monthly_charges": ("customer_id % 29 = 0", "'$20'", "FALSE", "''"), "senior_citizen": ("customer_id % 31 = 0", "'no'", "FALSE", "''"),
+}
+_line_wrongs = []
+for _field, _allowed, _range, _ in _FIELDS:
+    _sent, _is_odd = _field, "FALSE"
+    if _field in _odd:
+        _a, _, _b, _ = _odd[_field]
+        _is_odd = f"({_a} OR {_b})"
+        _line_wrongs.append(f"CASE WHEN {_is_odd} THEN '{_field} has the wrong type' END")
+    if _field == "tenure_months":
+        _sent = "CASE WHEN customer_id % 23 <= 2 THEN NULL ELSE tenure_months END"
+    if _field == "monthly_charges":
+        _sent = "CASE WHEN customer_id % 29 = 0 THEN NULL ELSE monthly_charges END"
+    if _field == "senior_citizen":
+        _sent = "CASE WHEN customer_id % 31 <= 1 THEN NULL ELSE senior_citizen END"
+    if _field == "multiple_lines":
+        _sent = "COALESCE(multiple_lines, 'No')"
+    _line_wrongs.append(f"CASE WHEN ({_sent}) IS NULL AND NOT {_is_odd} THEN '{_field} is required' END")
+    if _allowed:
+        _line_wrongs.append(f"CASE WHEN ({_sent}) NOT IN ({_allowed}) THEN '{_field} is not an allowed value' END")
+    if _range:
+        _line_wrongs.append(f"CASE WHEN NOT (({_sent}) {_range}) THEN '{_field} is out of range' END")
+_odd_texts = ", ".join(f"CASE WHEN {a} THEN {x} WHEN {b} THEN {y} END" for _, (a, x, b, y) in sorted(_odd.items()))
+oracle(
+    "request_errors_of_lines",
+    "SELECT CASE WHEN customer_id % 37 <> 0 THEN CAST(customer_id AS VARCHAR) END AS customer_id, "
+    f"CASE WHEN customer_id % 37 = 0 THEN 'the record cannot be read' ELSE CONCAT_WS('; ', {', '.join(_line_wrongs)}) END AS errors, "
+    f"CASE WHEN customer_id % 37 = 0 THEN '' ELSE CONCAT_WS('|', {_odd_texts}) END AS texts "
+    f"FROM flat WHERE customer_id % 37 = 0 OR CONCAT_WS('; ', {', '.join(_line_wrongs)}) <> ''",
+)
 oracle("scored_requests", "SELECT * FROM responses")
 oracle("streamed_scores", "SELECT * FROM responses")
 _totals = (

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
 from holdfast.plans import scoring
 from holdfast.schemas import REQUEST
+from holdfast.sources import rescued
 from holdfast.streaming import scoring as streaming
 
 GOOD = {
@@ -112,3 +115,40 @@ def test_scored_stream_feeds_any_sink(spark, tmp_path):
     ).trigger(availableNow=True).start()
     query.awaitTermination()
     assert [r.customer_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["K-7"]
+
+
+def test_lines_keep_what_does_not_fit(spark, tmp_path):
+    good = {f.name: {"string": "Yes", "int": 1, "double": 20.5}[f.dataType.simpleString()] for f in REQUEST} | {
+        "contract_type": "One year", "internet_service": "DSL", "payment_method": "Mailed check"
+    }
+    lines = [
+        good, good | {"tenure_months": "12", "monthly_charges": " 9.5 "}, good | {"tenure_months": "soon", "monthly_charges": True},
+        good | {"tenure_months": None, "senior_citizen": ""}, good | {"total_charges": {"a": 1}},
+    ]
+    texts = [json.dumps(x) for x in lines] + ['{"customer_id": "C9", "gen', "", "7", "[]", "{}"]
+    found = scoring.with_errors(rescued.parse_json(spark.createDataFrame([(t,) for t in texts], "value string"), REQUEST)).collect()
+    errors = {r.raw: r.errors for r in found}
+    unreadable, names = ["the record cannot be read"], REQUEST.fieldNames()
+    assert [errors[t] for t in texts] == [
+        [], [], ["tenure_months has the wrong type", "monthly_charges has the wrong type"],
+        ["senior_citizen is required", "tenure_months is required"], ["total_charges has the wrong type"], *[unreadable] * 4,
+        [f"{name} is required" for name in names if name not in ("customer_id", "multiple_lines")],
+    ]
+    assert {r.raw: r.rescued for r in found}[texts[2]] == {"tenure_months": "soon", "monthly_charges": "true"}
+    assert {r.raw: r.rescued for r in found}[texts[5]] == {"_record": texts[5]}
+    assert (found[1].tenure_months, found[1].monthly_charges) == (12, 9.5)
+
+
+def test_csv_streams_keep_what_does_not_fit(spark, tmp_path):
+    names = REQUEST.fieldNames()
+    cells = [str({"string": "Yes", "int": 1, "double": 20.5}[f.dataType.simpleString()]) for f in REQUEST]
+    odd = [*cells]
+    odd[names.index("tenure_months")] = "a year"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join([",".join(names), ",".join(cells), ",".join(odd), "only,two"]) + "\n")
+    stream = streaming.read_requests(spark, str(tmp_path / "in"), "csv")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    streaming.start_scoring(stream, fixed_risks(0.5, 0.3), out, state, available_now=True).awaitTermination()
+    kept = {tuple(r.errors): r.raw for r in spark.read.parquet(f"{out}/quarantine").collect()}
+    assert kept[("the record cannot be read",)] == "only,two"
+    assert any("tenure_months has the wrong type" in errors and "a year" in raw for errors, raw in kept.items())
