@@ -6,8 +6,8 @@ least and the greatest number in it, until every cut falls between two bins. A
 bin that holds one number is divided by the key in the same way. Each pass reads
 the narrow rows, sums them per bin in the map tasks, and shuffles bins alone.
 
-The driver holds what the passes leave of the order: at most ``BINS`` bins a pass, however
-many rows there are. A row finds its bin by one small broadcast join a pass.
+The driver holds what the passes leave of the order: some thousand bins a pass (beyond
+that, 64 for each cut at most), however many rows there are. A row finds its bin by one small broadcast join a pass.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql.types import ByteType, DecimalType, DoubleType, FloatType, Inte
 
 from holdfast.session import settle
 
-#: Bins that a pass may make over all it divides; at least and at most so many bits of bins for each.
-BINS, LEAST_BITS, MOST_BITS = 1 << 18, 6, 14
+#: Bins that a pass aims at over all it divides; at least and at most so many bits of bins for each.
+BINS, LEAST_BITS, MOST_BITS = 1 << 14, 6, 12
 #: Blocks that ``scan`` deals rows out to, and rows of a block while there are fewer blocks.
 BLOCKS, BLOCK_ROWS = 4096, 2_000_000
 _EXACT = (DoubleType, FloatType, IntegerType, ShortType, ByteType)

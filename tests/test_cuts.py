@@ -55,7 +55,7 @@ def in_order(rows: list[tuple], descending: bool) -> list[tuple]:
     [("spread", "long", True), ("hot", "long", False), ("huge", "wide", True), ("near", "text", False), ("odd", "long", False), ("constant", "mixed", True), ("constant", "wide", False), ("odd", "mixed", True)],
 )
 def test_cuts_have_the_sums_of_sorted_rows(spark, monkeypatch, number, key, descending):
-    monkeypatch.setattr(cuts, "BINS", 256)
+    monkeypatch.setattr(cuts, "BINS", 1 << 11)
     rows, df = made(spark, number, key)
     ranks = [1, 2, 77, 400, 401, 899, 900, 5000, 0]
     found = refine(df, "v", "k", lambda n: ranks, {"t": F.col("t"), "c": F.col("c").cast("decimal(20,2)")}, descending, places=lambda n, m: [1, 450, m])
