@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.errors import PythonException, SparkRuntimeException
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from holdfast.functions import customer, segments
 from holdfast.functions.numeric import fixed
 from holdfast.operators import checks
 from holdfast.operators.attach import attach
+from holdfast.operators.cuts import scan
 from holdfast.operators.prefix import prefix_sums
 from holdfast.operators.quantiles import approximate_percentiles, percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
@@ -179,6 +183,22 @@ def table_after_failed_refresh(spark, sf_dir):
     return found["marketing"].join(found["billing"], "customer_id")
 
 
+@query
+def absent_tables(spark, sf_dir):
+    """Which tables can be read from a folder where only some were published; the others name their maker."""
+    folder, known = _scratch(spark, "some"), tables(spark, sf_dir)
+    layout.write_tables({name: known[name] for name in ("customers", "billing")}, folder)
+    found = []
+    for name in known:
+        try:
+            found.append(layout.read_table(spark, folder, name).agg(F.count("*").alias("n_rows"), F.lit(None).cast("string").alias("advice")))
+        except files.MissingInput as missing:
+            advice = str(missing).rsplit("; ", 1)[1]
+            found.append(known[name].limit(0).agg(F.lit(None).cast("long").alias("n_rows"), F.lit(advice).alias("advice")))
+        found[-1] = found[-1].select(F.lit(name).alias("table"), "n_rows", "advice")
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def catalog_report(spark, sf_dir):
     return layout.catalog_report(tables(spark, sf_dir))
@@ -454,6 +474,25 @@ def encoded_features(spark, sf_dir):
     return learners.encoded_columns(modeling(spark, sf_dir).select("customer_id", *names), names)
 
 
+@query
+def feature_matrix(spark, sf_dir):
+    """The learners' feature vectors, value by value: what the drop list leaves, text as its place in sorted order."""
+    rows = modeling(spark, sf_dir)
+    names = learners.feature_columns(rows)
+    vectors = learners.encoded(learners.fit_encoder(rows, names), rows, "customer_id")
+    values = vectors.select("customer_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    named = values.withColumn("feature", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1))
+    return _rounded(named.select("customer_id", "feature", "value"), 6, "value")
+
+
+@query
+def fold_sizes(spark, sf_dir):
+    """Rows of each arm in each of the folds that validation uses."""
+    rows = modeling(spark, sf_dir).select("customer_id", "treatment")
+    folded = learners.stratified_folds(rows, "treatment", "customer_id")
+    return folded.groupBy("treatment", "fold").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def encoded_unseen_values(spark, sf_dir):
     """An encoder fitted without two-year contracts gives them code 0."""
@@ -809,6 +848,48 @@ def saved_learner_consistent(spark, sf_dir):
     return second.agg(F.count("*").alias("n_rows")).withColumn("n_differ", differ)
 
 
+@query
+def fitted_logistic_moments(spark, sf_dir):
+    """The ridge-penalised logistic model, by its own condition: residuals times a feature sum to minus its coefficient, and to zero."""
+    rows = modeling(spark, sf_dir)
+    names = effects.PROPENSITY_FEATURES
+    coded = learners.encoded(learners.fit_encoder(rows, names), rows, "customer_id", "treatment").withColumn("label", F.col("treatment").cast("double"))
+    coded = store(coded)
+    model = learners.logistic(coded.count()).fit(coded)
+    terms = dict(zip(["intercept", *names], [0.0, *(float(c) for c in model.coefficients)]))
+    x = F.array_insert(vector_to_array("features"), 1, F.lit(1.0))
+    residual = vector_to_array("probability")[1] - F.col("label")
+    each = model.transform(coded).select(residual.alias("r"), F.posexplode(x).alias("position", "x"))
+    sums = each.groupBy("position").agg(F.sum(F.col("r") * F.col("x")).alias("moment"), F.sum(F.abs("x")).alias("size"), F.count("*").alias("n_rows"))
+    told = spark.createDataFrame([(i, name, term) for i, (name, term) in enumerate(terms.items())], "position int, term string, coefficient double")
+    met = F.abs(F.col("moment") + F.col("coefficient")) <= 0.002 * F.col("size") + 0.01
+    return sums.join(F.broadcast(told), "position").select("term", "n_rows", met.alias("met"))
+
+
+@query
+def fitted_auc_by_rank_sum(spark, sf_dir):
+    """The area under the curve of both arms' models and the propensity model, as Spark gives it and from the sum of ranks."""
+    learner, rows = two_models(spark, sf_dir), modeling(spark, sf_dir)
+    both = learner.outcomes(rows).select("customer_id", "treatment", "churn_binary", "mu_0_control", "mu_1_treatment")
+    offered = propensity(spark, sf_dir).score(rows).select("customer_id", "propensity")
+    both = store(both.join(offered, "customer_id"))
+    sides = {
+        "control": (both.where("treatment = 0"), "mu_0_control", "churn_binary"), "treated": (both.where("treatment = 1"), "mu_1_treatment", "churn_binary"),
+        "propensity": (both, "propensity", "treatment"),
+    }
+    found = []
+    for name, (part, score, label) in sides.items():
+        given = part.select("customer_id", F.col(score).alias("p"), F.col(label).cast("double").alias("label"))
+        area = BinaryClassificationEvaluator(rawPredictionCol="p").evaluate(given)
+        placed = scan(given, "p", "customer_id", descending=False, peers="least")
+        tied = placed.groupBy("p").agg(F.min("least").alias("low"), F.count("*").alias("ties"), F.sum("label").alias("hits"))
+        n, hits = F.sum("ties"), F.sum("hits")
+        ranks = F.sum(F.col("hits") * (F.col("low") + (F.col("ties") - 1) / 2))
+        by_ranks = (ranks - hits * (hits + 1) / 2) / (hits * (n - hits))
+        found.append(tied.agg(F.lit(name).alias("model"), n.alias("n_rows"), hits.cast("long").alias("n_positive"), (F.abs(by_ranks - area) < 0.002).alias("agrees")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def fitted_propensity_moments(spark, sf_dir):
     """With a free intercept the logistic probabilities sum to the number treated, whatever the ridge term is."""

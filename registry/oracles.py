@@ -577,6 +577,26 @@ _FEATURES = [
     "payment_method", "partner", "dependents", "paperless_billing", "num_premium_services", "clv",
 ]
 oracle("encoded_features", f"SELECT customer_id, {', '.join(_FEATURES)} FROM coded")
+# The learners' features, in order; text ones take their place among the sorted values.
+_NUMBERS = ["senior_citizen", "tenure_months", "num_premium_services", "monthly_charges", "total_charges", "clv", "propensity_score"]
+_TEXTS = [
+    "gender", "partner", "dependents", "contract_type", "internet_service", "online_security", "online_backup", "device_protection",
+    "tech_support", "streaming_tv", "streaming_movies", "phone_service", "payment_method", "paperless_billing",
+]
+_cell_rows = [f"SELECT customer_id, '{x}' AS feature, CAST({x} AS DOUBLE) AS value FROM modeling" for x in _NUMBERS]
+_cell_rows += [f"SELECT customer_id, '{x}' AS feature, CAST(DENSE_RANK() OVER (ORDER BY {x}) - 1 AS DOUBLE) AS value FROM modeling" for x in _TEXTS]
+oracle("feature_matrix", f"SELECT customer_id, feature, {R('value', 6)} AS value FROM ({' UNION ALL '.join(_cell_rows)})")
+oracle(
+    "fold_sizes",
+    "SELECT treatment, CAST(place % 5 AS INTEGER) AS fold, COUNT(*) AS n_rows FROM (SELECT treatment, "
+    "ROW_NUMBER() OVER (PARTITION BY treatment) AS place FROM modeling) GROUP BY treatment, place % 5",
+)
+oracle(
+    "absent_tables",
+    "SELECT 'customers' AS \"table\", COUNT(*) AS n_rows, CAST(NULL AS VARCHAR) AS advice FROM customers UNION ALL "
+    "SELECT 'billing', COUNT(*), NULL FROM billing UNION ALL "
+    "SELECT name, NULL, 'run write_tables first' FROM (VALUES ('services'), ('marketing'), ('churn_labels')) AS t(name)",
+)
 oracle(
     "encoded_unseen_values",
     "SELECT customer_id, CASE contract_type WHEN 'One year' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS code FROM modeling",
@@ -769,6 +789,16 @@ ORACLES["written_fairness_report"] = ORACLES["fairness_report"]
 _zero = "CAST(0 AS BIGINT)"
 oracle("fitted_scores_consistent", f"SELECT COUNT(*) AS n_rows, {_zero} AS n_uplift, {_zero} AS n_quadrant, {_zero} AS n_value FROM modeling")
 oracle("saved_learner_consistent", f"SELECT COUNT(*) AS n_rows, {_zero} AS n_differ FROM judged WHERE errors = ''")
+oracle(
+    "fitted_logistic_moments",
+    f"SELECT term, COUNT(*) AS n_rows, TRUE AS met FROM modeling, (SELECT unnest(['intercept', {', '.join(repr(x) for x in _FEATURES)}]) AS term) GROUP BY term",
+)
+oracle(
+    "fitted_auc_by_rank_sum",
+    f"SELECT 'control' AS model, COUNT(*) AS n_rows, {N('SUM(churn_binary)')} AS n_positive, TRUE AS agrees FROM modeling WHERE treatment = 0 UNION ALL "
+    f"SELECT 'treated', COUNT(*), {N('SUM(churn_binary)')}, TRUE FROM modeling WHERE treatment = 1 UNION ALL "
+    f"SELECT 'propensity', COUNT(*), {N('SUM(treatment)')}, TRUE FROM modeling",
+)
 oracle(
     "fitted_propensity_moments",
     f"SELECT COUNT(*) AS n_rows, {N('SUM(treatment)')} AS n_treated, TRUE AS sums_to_treated, {_zero} AS n_outside FROM modeling",
