@@ -6,9 +6,44 @@ Spark side spreads the work.
 
 from __future__ import annotations
 
-from holdfast.schemas import MODELING_COLUMNS, QUADRANTS, RAW_CUSTOMERS, REQUEST_VALUES, SNAKE_CASE, TABLES
 from holdfast.sources.derived import levels
 
+# Fixed values, written out here so that a wrong list in the package shows: the columns of the five tables with
+# their types, of the export with their names in the tables, and of the modeling dataset; the segments; payment methods.
+TABLES = {
+    "customers": {
+        "customer_id": "bigint", "gender": "string", "senior_citizen": "int", "partner": "string", "dependents": "string",
+        "tenure_months": "int", "contract_type": "string",
+    },
+    "services": {
+        "customer_id": "bigint", "phone_service": "string", "multiple_lines": "string", "internet_service": "string",
+        "online_security": "string", "online_backup": "string", "device_protection": "string", "tech_support": "string",
+        "streaming_tv": "string", "streaming_movies": "string",
+    },
+    "billing": {
+        "customer_id": "bigint", "monthly_charges": "double", "total_charges": "double", "payment_method": "string",
+        "paperless_billing": "string", "customer_lifetime_value": "double",
+    },
+    "marketing": {"customer_id": "bigint", "marketing_offer_given": "int", "propensity_score": "double"},
+    "churn_labels": {"customer_id": "bigint", "churn_label": "string", "churn_binary": "int"},
+}
+EXPORT = {
+    "customerID": "customer_id", "gender": "gender", "SeniorCitizen": "senior_citizen", "Partner": "partner",
+    "Dependents": "dependents", "tenure": "tenure_months", "PhoneService": "phone_service", "MultipleLines": "multiple_lines",
+    "InternetService": "internet_service", "OnlineSecurity": "online_security", "OnlineBackup": "online_backup",
+    "DeviceProtection": "device_protection", "TechSupport": "tech_support", "StreamingTV": "streaming_tv",
+    "StreamingMovies": "streaming_movies", "Contract": "contract_type", "PaperlessBilling": "paperless_billing",
+    "PaymentMethod": "payment_method", "MonthlyCharges": "monthly_charges", "TotalCharges": "total_charges", "Churn": "churn_label",
+}
+MODELING_COLUMNS = [
+    "customer_id", "gender", "senior_citizen", "partner", "dependents", "tenure_months", "contract_type", "internet_service",
+    "online_security", "online_backup", "device_protection", "tech_support", "streaming_tv", "streaming_movies", "phone_service",
+    "num_premium_services", "monthly_charges", "total_charges", "payment_method", "paperless_billing", "clv", "treatment",
+    "propensity_score", "churn_binary", "revenue_at_risk", "tenure_bucket",
+]
+QUADRANTS = ["Persuadable", "Sure Thing", "Lost Cause", "Sleeping Dog"]
+PAYMENT_METHODS = ["Electronic check", "Mailed check", "Bank transfer (automatic)", "Credit card (automatic)"]
+
 
 def R(expression: str, digits: int) -> str:
     """Half away from zero, once, on the shortest decimal that stands for the double."""
@@ -46,7 +81,7 @@ def _quadrant(uplift: str, risk: str, threshold: str) -> str:
 
 
 _CTES: dict[str, str] = dict(levels())
-_CTES |= {name: f"SELECT {', '.join(schema.fieldNames())} FROM flat" for name, schema in TABLES.items()}
+_CTES |= {name: f"SELECT {', '.join(columns)} FROM flat" for name, columns in TABLES.items()}
 _CTES |= {
     "modeling": f"SELECT {', '.join(MODELING_COLUMNS)} FROM ({_joined})",
     "banded": f"SELECT *, {_BAND} AS tenure_band FROM modeling",
@@ -143,7 +178,7 @@ _CTES |= {
         "CASE WHEN tenure_months NOT BETWEEN 0 AND 72 THEN 'tenure_months is out of range' END, "
         "CASE WHEN total_charges < 0 THEN 'total_charges is out of range' END, "
         "CASE WHEN payment_method NOT IN ("
-        + ", ".join(f"'{v}'" for v in REQUEST_VALUES["payment_method"])
+        + ", ".join(f"'{v}'" for v in PAYMENT_METHODS)
         + ") THEN 'payment_method is not an allowed value' END) AS errors FROM requests"
     ),
     "answers": (
@@ -185,10 +220,10 @@ def oracle(name: str, text: str) -> None:
 
 # ------------------------------------------------------- sources and cleaning
 _total_text = "CASE WHEN tenure_months = 0 THEN ' ' ELSE CAST(total_charges AS VARCHAR) END"
-_raw = {f.name: SNAKE_CASE[f.name] for f in RAW_CUSTOMERS}
+_raw = dict(EXPORT)
 _raw |= {"TotalCharges": _total_text, "customerID": "CAST(customer_id AS VARCHAR)"}
 oracle("customer_csv_round_trip", "SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _raw.items()) + " FROM flat")
-_clean = {SNAKE_CASE[f.name]: SNAKE_CASE[f.name] for f in RAW_CUSTOMERS}
+_clean = {name: name for name in EXPORT.values()}
 _clean |= {
     "customer_id": "CAST(customer_id AS VARCHAR)",
     "total_charges": "CASE WHEN tenure_months = 0 THEN 0 ELSE total_charges END",
@@ -209,7 +244,7 @@ oracle(
         + " AS risk_score FROM flat)",
     ),
 )
-_enriched = {f.name: SNAKE_CASE[f.name] for f in RAW_CUSTOMERS} | {
+_enriched = EXPORT | {
     "customerID": "CAST(customer_id AS VARCHAR)",
     "TotalCharges": "CASE WHEN tenure_months = 0 THEN 0 ELSE total_charges END",
     "Churn_Binary": "CASE churn_label WHEN 'Yes' THEN 1 ELSE 0 END",
@@ -226,17 +261,16 @@ oracle(
     "SELECT 'Customer_Lifetime_Value > 0', COUNT(*) FILTER (customer_lifetime_value <= 0) FROM flat UNION ALL "
     "SELECT 'customerID unique', COUNT(*) - COUNT(DISTINCT customer_id) FROM flat)",
 )
-for _name, _schema in TABLES.items():
+for _name in TABLES:
     oracle(f"table_{_name}", f"SELECT * FROM {_name}")
 oracle("table_refresh_and_append", "SELECT * FROM marketing")
-_TYPES = {"string": "string", "int": "int", "bigint": "bigint", "double": "double"}
 oracle(
     "catalog_report",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", {i} AS position, '{f.name}' AS \"column\", "
-        f"'{_TYPES[f.dataType.simpleString()]}' AS type, (SELECT COUNT(*) FROM {name}) AS n_rows"
-        for name, schema in TABLES.items()
-        for i, f in enumerate(schema, start=1)
+        f"SELECT '{name}' AS \"table\", {i} AS position, '{column}' AS \"column\", "
+        f"'{kind}' AS type, (SELECT COUNT(*) FROM {name}) AS n_rows"
+        for name, columns in TABLES.items()
+        for i, (column, kind) in enumerate(columns.items(), start=1)
     ),
 )
 oracle(
@@ -257,8 +291,8 @@ _LIMITS = {
     "churn_labels": {"churn_binary in 0,1": "churn_binary IN (0, 1)"},
 }
 _checks = []
-for _name, _schema in TABLES.items():
-    _rules = {f"{f.name} not null": f"{f.name} IS NOT NULL" for f in _schema} | _LIMITS[_name]
+for _name, _columns in TABLES.items():
+    _rules = {f"{c} not null": f"{c} IS NOT NULL" for c in _columns} | _LIMITS[_name]
     _checks += [
         f"SELECT '{_name}' AS \"table\", '{rule}' AS \"check\", COUNT(*) FILTER (NOT COALESCE({test}, FALSE)) AS n_bad FROM {_name}"
         for rule, test in _rules.items()
