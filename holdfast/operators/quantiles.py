@@ -170,3 +170,28 @@ def approximate_percentiles(
 ) -> DataFrame:
     """The sketch alone; rank error up to rows / accuracy."""
     return df.groupBy(*by).agg(*[F.percentile_approx(value, share, accuracy).alias(name) for name, share in shares.items()])
+
+
+#: Size of a stored sketch, and the share of rows by which a value's place may be off its share, with 99% confidence.
+SKETCH_SIZE, SKETCH_ERROR = 2_000, 0.005
+
+
+def quantile_sketches(df: DataFrame, value: str, by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
+    """(by, sketch): a mergeable KLL sketch of each group's values, some kilobytes whatever its rows; nulls do not count.
+
+    Sketches can be stored and appended to: those of new rows are merged with the
+    old ones, which are not read again.
+    """
+    return df.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), size).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
+    """Sketches of finer groups, or of parts of the rows, as one for each group of ``by``."""
+    return sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+
+
+def sketched_percentiles(sketches: DataFrame, shares: Mapping[str, float]) -> DataFrame:
+    """The sketches' other columns, with a column per named share: a value within ``SKETCH_ERROR`` of its place; null for no values."""
+    some = F.kll_sketch_get_n_double("sketch") > 0
+    found = [F.when(some, F.kll_sketch_get_quantile_double("sketch", F.lit(float(share)))).alias(name) for name, share in shares.items()]
+    return sketches.select(*[c for c in sketches.columns if c != "sketch"], *found)

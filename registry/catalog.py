@@ -18,7 +18,7 @@ from holdfast.operators import checks
 from holdfast.operators.attach import attach
 from holdfast.operators.cuts import scan
 from holdfast.operators.prefix import prefix_sums
-from holdfast.operators.quantiles import approximate_percentiles, percentiles
+from holdfast.operators.quantiles import SKETCH_ERROR, approximate_percentiles, merged_sketches, percentiles, quantile_sketches, sketched_percentiles
 from holdfast.operators.ranking import global_rank, tile, top_rows
 from holdfast.plans import campaign, effects, evaluation, fairness, intake, learners, retention, scoring, stages, uplift
 from holdfast.schemas import RAW_CUSTOMERS, REQUEST, SNAKE_CASE
@@ -353,6 +353,26 @@ def approximate_percentiles_within_promise(spark, sf_dir):
     return found.groupBy("contract_type").agg(n.alias("n_rows"), *[x.alias(name) for name, x in within.items()])
 
 
+@query
+def merged_sketches_within_promise(spark, sf_dir):
+    """Sketches by contract and service of half the customers, stored; those of the others appended; all merged by contract
+    and held against the exact places of their values."""
+    rows = modeling(spark, sf_dir).select("customer_id", "contract_type", "internet_service", F.col("clv").cast("double").alias("clv"))
+    folder, first = _scratch(spark, "sketches"), F.col("customer_id") % 2 == 0
+    for part, mode in ((first, "overwrite"), (~first, "append")):
+        layout.write_tables({"sketches": quantile_sketches(rows.where(part), "clv", ["contract_type", "internet_service"])}, folder, mode)
+    merged = merged_sketches(layout.read_table(spark, folder, "sketches"), ["contract_type"])
+    shares = {"p10": 0.1, "median": 0.5, "p99": 0.99}
+    found = attach(rows, sketched_percentiles(merged, shares), "contract_type")
+    n = F.count("*")
+    within = {
+        f"{name}_within": (F.count_if(F.col("clv") < F.col(name)) <= n * (share + SKETCH_ERROR) + 1)
+        & (F.count_if(F.col("clv") <= F.col(name)) >= n * (share - SKETCH_ERROR) - 1)
+        for name, share in shares.items()
+    }
+    return found.groupBy("contract_type").agg(n.alias("n_rows"), *[x.alias(name) for name, x in within.items()])
+
+
 @query
 def prefix_counts(spark, sf_dir):
     rows = modeling(spark, sf_dir).select("customer_id", "clv", "treatment", "churn_binary")

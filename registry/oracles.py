@@ -454,6 +454,10 @@ oracle(
     "approximate_percentiles_within_promise",
     "SELECT contract_type, COUNT(*) AS n_rows, TRUE AS p10_within, TRUE AS median_within FROM modeling GROUP BY contract_type",
 )
+oracle(
+    "merged_sketches_within_promise",
+    "SELECT contract_type, COUNT(*) AS n_rows, TRUE AS p10_within, TRUE AS median_within, TRUE AS p99_within FROM modeling GROUP BY contract_type",
+)
 oracle(
     "prefix_counts",
     f"SELECT k, {N('n_treated')} AS n_treated, {N('n_churned')} AS n_churned, {N('a_t')} AS all_n_treated, "

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import quantiles
 from holdfast.operators.attach import attach
 from holdfast.operators.prefix import prefix_sums
-from holdfast.operators.quantiles import median, percentiles
+from holdfast.operators.quantiles import SKETCH_ERROR, median, merged_sketches, percentiles, quantile_sketches, sketched_percentiles
 from holdfast.operators.ranking import global_rank, range_partitions, tile, top_rows
 from holdfast.session import owned_scratch
 
@@ -167,3 +167,16 @@ def test_owned_scratch_is_removed(spark):
         assert ranked.count() == 100 and mine
         assert all(Path(path.removeprefix("file:")).exists() for path in mine)
     assert not any(Path(path.removeprefix("file:")).exists() for path in mine)
+
+
+def test_merged_sketches_are_within_their_promise(spark):
+    rows = spark.range(50_000).select((F.col("id") % 5).alias("g"), (F.col("id") % 7).alias("part"), F.when(F.col("id") % 11 != 0, F.hash("id").cast("double")).alias("v"))
+    merged = merged_sketches(quantile_sketches(rows, "v", ["g", "part"]), ["g"])
+    shares = {"low": 0.0, "p30": 0.3, "top": 1.0}
+    for got in sketched_percentiles(merged, shares).collect():
+        values = sorted(r[0] for r in rows.where(f"g = {got.g} AND v IS NOT NULL").select("v").collect())
+        for name, share in shares.items():
+            place = values.index(got[name])
+            assert abs(place - share * (len(values) - 1)) <= SKETCH_ERROR * len(values)
+    none = sketched_percentiles(quantile_sketches(rows.where("v IS NULL"), "v", ["g"]), shares)
+    assert {r.p30 for r in none.collect()} == {None}
