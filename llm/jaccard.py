@@ -15,8 +15,10 @@ Groups of copies can be large, so a list doesn't emit all its pairs. Members are
 tried against one hub first: the member for which the list's shingle comes earliest
 in its prefix, as it does for the text that others were made from. What a hub
 links is one component; members already connected need no link of their own.
-After ``hubs`` rounds every pair in a list that could still connect two
-components is tried, in blocks, so no connection is lost. The sketch has a fixed size; it decides the
+After ``hubs`` rounds the pairs in a list that could still connect two components
+are tried in blocks: of the pairs between the same two components the most alike first, and more of
+them in each round while the two stay apart. One link is enough to connect two
+components, so pairs that say nothing new never become rows, and none that could is lost. The sketch has a fixed size; it decides the
 order, thus the work, never the result.
 
 Words are maximal runs of characters other than space and tab to carriage return,
@@ -46,8 +48,8 @@ LAST = (1 << 63) - 1
 #: Counters of the sketch, counters in one of its pages, and parts of a profile.
 COUNTERS, PAGE, PROFILE = 1 << 22, 1 << 16, 256
 HUBS = 3
-#: Members of a list in one block, about.
-MEMBERS = 256
+#: Members of a list in one block, about; how many times more pairs between two components a round tries than the one before.
+MEMBERS, MORE = 256, 16
 ENTRY = np.dtype([("h", "<u8"), ("prefix", "<i8"), ("n", "<i4"), ("at", "<i4")])
 ABOUT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("n", "<i8"), ("set", "<i8"), ("prefix", "<i8"), ("profile", f"V{PROFILE}")])
 FIELDS = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("prefix", pa.int64()), ("profile", pa.binary()), ("token", pa.int64()), ("at", pa.int32())])
@@ -295,12 +297,22 @@ def _rows(docs: DataFrame, width: int, percent: int, hubs: int) -> DataFrame:
     return _labelled(info, classes, _links(listed, classes, narrow, width, percent, hubs))
 
 
-def _crossing(rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def most_alike(low: np.ndarray, size: np.ndarray, one: np.ndarray, other: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` with the greatest share low / size between the same two components."""
+    p, q = np.minimum(one, other), np.maximum(one, other)
+    order = np.lexsort((-low / size, q, p))
+    new = np.append(True, (p[order][1:] != p[order][:-1]) | (q[order][1:] != q[order][:-1]))
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    return order[np.arange(len(order)) - first < most]
+
+
+def _crossing(rest: DataFrame, classes: DataFrame, percent: int, most_pairs: int) -> DataFrame:
     """Pairs (a, b) of a list that are not connected and may be similar by sizes, places and profiles.
 
     A list's members are packed into blocks, and blocks of a list meet pairwise: what
-    grows with the square of a list is spread over tasks, and only pairs that pass
-    all filters become rows.
+    grows with the square of a list is spread over tasks. Of the pairs between the same two
+    components in two blocks, the ``most_pairs`` most alike become rows; a row
+    without a tells that there are more.
     """
     sizes = rest.groupBy("token").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"))
     member = F.struct("set", "n", "at", "part", "profile")
@@ -324,16 +336,25 @@ def _crossing(rest: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 fit = (p[:, None] != q) & (s[:, None] != t) & (100 * np.minimum(n[:, None], m) >= percent * np.maximum(n[:, None], m))
                 fit &= 100 * most >= percent * (n[:, None] + m - most)
                 at, to = np.nonzero(fit)
+                found = []
                 for k in range(0, len(at), 8192):
                     u, v = at[k : k + 8192], to[k : k + 8192]
                     low = np.minimum(f[u], g[v]).sum(1)
                     full = ((f[u] == 255) & (g[v] == 255)).any(1)
                     low = np.where(full, np.minimum(n[u], m[v]), low)
-                    u, v = (z[100 * low >= percent * (n[u] + m[v] - low)] for z in (u, v))
-                    if len(u):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(s[u], t[v])), pa.array(np.maximum(s[u], t[v]))], schema=schema)
+                    found.append([z[100 * low >= percent * (n[u] + m[v] - low)] for z in (u, v, low)])
+                if not found:
+                    continue
+                u, v, low = (np.concatenate(z) for z in zip(*found))
+                if not len(u):
+                    continue
+                chosen = most_alike(low, n[u] + m[v] - low, p[u], q[v], most_pairs)
+                u_, v_ = s[u[chosen]], t[v[chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u_, v_)), pa.array(np.maximum(u_, v_))], schema=schema)
+                if len(chosen) < len(u):
+                    yield as_batch(schema, [[None], [len(u) - len(chosen)]])
 
-    return both.select("x", "y").mapInArrow(cross, "a long, b long").distinct()
+    return stored(both.select("x", "y").mapInArrow(cross, "a long, b long"), "crossing")
 
 
 def _whole_sets(narrow: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -392,15 +413,29 @@ def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int,
             edges = found if edges is None else edges.union(found)
             label = components(edges)
         # Lists go on without their hub, as long as their other members are not all connected.
-        rest = against.select("token", "set", "n", "at").join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("part", F.coalesce("component", "set"))
-        apart = rest.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token")
-        rest = stored(rest.join(apart, "token", "left_semi").select("token", "set", "n", "at", "part"), "rest")
-        if not rest.head(1):
+        parts = _apart(against, label)
+        if not parts.head(1):
+            return label
+        rest = parts.drop("part")
+    most_pairs = 1
+    while True:
+        crossed = _crossing(parts, classes, percent, most_pairs)
+        pairs = stored(crossed.filter("a IS NOT NULL").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.head(1):
+            tried, edges = tried.union(pairs), edges.union(verified(pairs))
+            label = components(edges)
+        if not crossed.filter("a IS NULL").head(1):
             return label
-        rest_parts, rest = rest, rest.drop("part")
-    pairs = _crossing(rest_parts, classes, percent).join(tried, ["a", "b"], "left_anti")
-    pairs = stored(pairs, "pairs")
-    return components(edges.union(verified(pairs))) if pairs.head(1) else label
+        parts, most_pairs = _apart(parts, label), MORE * most_pairs
+        if not parts.head(1):
+            return label
+
+
+def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(token, set, n, at, part) of the lists whose members are in more than one component."""
+    rest = members.select("token", "set", "n", "at").join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("part", F.coalesce("component", "set"))
+    apart = rest.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token")
+    return stored(rest.join(apart, "token", "left_semi").select("token", "set", "n", "at", "part"), "rest")
 
 
 def _labelled(info: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
