@@ -48,7 +48,7 @@ LAST = (1 << 63) - 1
 #: Counters of the sketch, counters in one of its pages, and parts of a profile.
 COUNTERS, PAGE, PROFILE = 1 << 22, 1 << 16, 256
 HUBS = 3
-#: Members of a list in one block, about; how many times more pairs between two components a round tries than the one before.
+#: Members of a list in one block, about; pairs between two components in the first round, and how many times more in each later one.
 MEMBERS, MORE = 256, 16
 ENTRY = np.dtype([("h", "<u8"), ("prefix", "<i8"), ("n", "<i4"), ("at", "<i4")])
 ABOUT = np.dtype([("doc", "<i8"), ("key", "<i8"), ("n", "<i8"), ("set", "<i8"), ("prefix", "<i8"), ("profile", f"V{PROFILE}")])
@@ -417,7 +417,7 @@ def _links(listed: DataFrame, classes: DataFrame, narrow: DataFrame, width: int,
         if not parts.head(1):
             return label
         rest = parts.drop("part")
-    most_pairs = 1
+    most_pairs = MORE
     while True:
         crossed = _crossing(parts, classes, percent, most_pairs)
         pairs = stored(crossed.filter("a IS NOT NULL").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
