@@ -34,11 +34,11 @@ WITH v AS (
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.vec_id AS query_id, q.c AS query, c.vec_id,
            CAST(list_sum(list_transform(range(1, least(len(q.c), len(c.c)) + 1), lambda i: q.c[i] * c.c[i])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    FROM (SELECT DISTINCT * FROM v WHERE vec_id % 20 = 0) q JOIN v c ON q.vec_id <> c.vec_id
 ), r AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s
+    SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS place FROM s
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
 """

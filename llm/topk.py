@@ -13,7 +13,8 @@ than two blocks. The query set is stated by the caller.
 Defined cases: vectors that are null, or hold null or non-finite numbers, take no
 part; a null id takes no part; shorter vectors count as padded with zeros; empty
 ones score 0. Rows with the id of the query are not its candidates. Ties go to
-the smaller id; repeated rows are candidates each. Other columns are ignored.
+the smaller id; repeated rows are candidates each. Query rows that share an id are queries
+each, with ``k`` ranks of their own, but those that give the same list are one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ FEW = 0.05
 LEVELS = (1, 4, 16)
 PACKED = "side string, block long, ids binary, width int, cells binary"
 PACKED_SCHEMA = pa.schema([("side", pa.string()), ("block", pa.int64()), ("ids", pa.binary()), ("width", pa.int32()), ("cells", pa.binary())])
-PAIR_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+PAIR_SCHEMA = pa.schema([("q_block", pa.int64()), ("at", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def whole_vectors(df: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
@@ -171,8 +172,8 @@ def _searcher(k: int):
             block, q_ids, held = None, [], []
 
             def done() -> Iterator[tuple]:
-                for mine, (scores, ids) in zip(q_ids, held):
-                    yield from ((int(mine), int(v), int(s)) for s, v in zip(scores, ids))
+                for at, (mine, (scores, ids)) in enumerate(zip(q_ids, held)):
+                    yield from ((block, at, int(mine), int(v), int(s)) for s, v in zip(scores, ids))
 
             for batch in batches:
                 for n in range(batch.num_rows):
@@ -209,7 +210,8 @@ def exact_top_k(df: DataFrame, k: int = 20, query_step: int = 20, scale: float =
     pairs = q.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     pairs = pairs.join(c.withColumn("share", F.pmod(F.xxhash64("c_block"), F.lit(shares)).cast("int")), "share")
     pairs = pairs.repartition(F.xxhash64("q_block", "share")).sortWithinPartitions("q_block")
-    found = pairs.select("q_block", "q_ids", "q_width", "q_cells", "c_ids", "c_width", "c_cells").mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))), 1, k).alias("best"))
+    found = pairs.select("q_block", "q_ids", "q_width", "q_cells", "c_ids", "c_width", "c_cells").mapInArrow(_searcher(k), "q_block long, at int, query_id long, vec_id long, score long")
+    # A query is a row, not an id; rows of one id with the same list are one query.
+    best = found.groupBy("q_block", "at", "query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))), 1, k).alias("best")).dropDuplicates(["query_id", "best"])
     out = best.select("query_id", F.posexplode("best").alias("place", "b"))
     return out.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("b.v").alias("vec_id"), (-F.col("b.s")).alias("score"))

@@ -247,6 +247,22 @@ def test_top_k(spark, blocks):
     assert topk.exact_top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_query_rows(spark):
+    """A repeated query row is one query; two vectors of one id are two."""
+    rng = np.random.default_rng(2)
+    good = [(k, [float(v) for v in rng.normal(size=8)]) for k in range(40)]
+    rows = [*good, good[10], good[10], (20, [2.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = topk.exact_top_k(df, k=6, query_step=10, query_block=2, candidate_block=7)
+    whole = [(i, [int(np.floor(64 * v)) for v in x]) for i, x in rows]
+    queries = {(i, tuple(x)) for i, x in whole if i % 10 == 0}
+    expected = []
+    for i, x in queries:
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), v) for v, y in whole if v != i)
+        expected += [(i, n + 1, v, -s) for n, (s, v) in enumerate(scored[:6])]
+    assert counted(found.select("query_id", "rank", "vec_id", "score").collect()) == Counter(expected)
+
+
 def test_bounds_never_fall_below_scores():
     rng = np.random.default_rng(4)
     q, c = rng.integers(-90, 90, (20, 33)), rng.integers(-90, 90, (30, 33))
@@ -441,3 +457,35 @@ def test_word_hashes_forget_without_changing(monkeypatch):
     table = common.WordHash()
     words = [b"a", b"b", b"c", b"d", b"a", b"e"]
     assert table.of(words).tolist() == [common.WordHash()[w] for w in words] and len(table) <= 3
+
+
+def test_large_lists_are_connected_without_all_their_pairs(spark, monkeypatch):
+    """A group of near copies in a chain of edits, and texts that share a passage and nothing else."""
+    rng, words = random.Random(9), [f"word{k}" for k in range(3000)]
+    passage = [rng.choice(words) for _ in range(40)]
+    data = [(k, " ".join([*passage, *(rng.choice(words) for _ in range(rng.randint(10, 90)))])) for k in range(300)]
+    copies, now = 260, [rng.choice(words) for _ in range(120)]
+    for k in range(copies):
+        now = list(now)
+        now[rng.randrange(len(now))] = rng.choice(words)
+        data.append((1000 + k, " ".join([*passage, *now])))
+    rng.shuffle(data)
+    made, plain = [], jaccard._crossing
+
+    def counted_pairs(*given):
+        crossed = plain(*given)
+        made.append(crossed.filter("a IS NOT NULL").count())
+        return crossed
+
+    monkeypatch.setattr(jaccard, "_crossing", counted_pairs)
+    monkeypatch.setattr(jaccard, "MEMBERS", 64)
+    found = jaccard.jaccard_components(spark.createDataFrame(data, "doc_id long, text string"), 4, 85, hubs=1)
+    assert counted(found.collect()) == Counter(corpus.jaccard_groups([(i, t) for i, t in data], 4, 85))
+    assert made and sum(made) < 40 * len(data)  # all pairs of the copies alone would be 33,670 a list
+
+
+def test_most_alike_pairs_of_two_components():
+    low, size = np.array([8, 9, 5, 7, 9]), np.array([10, 10, 10, 10, 10])
+    chosen = jaccard.most_alike(low, size, np.array([1, 2, 1, 3, 1]), np.array([2, 1, 2, 1, 3]), 1)
+    assert sorted(chosen.tolist()) == [1, 4]
+    assert sorted(jaccard.most_alike(low, size, np.array([1, 2, 1, 3, 1]), np.array([2, 1, 2, 1, 3]), 2).tolist()) == [0, 1, 3, 4]
