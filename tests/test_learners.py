@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import MEDIUM
@@ -86,3 +89,14 @@ def test_crossed_effects_have_their_sign_turned(spark):
     rows = spark.createDataFrame([(-0.2, -0.4, 0.99)], "a double, b double, p double")
     got = rows.select(uplift.combine_effects(F.col("a"), F.col("b"), F.col("p")).alias("u")).first().u
     assert got == pytest.approx(0.95 * 0.2 + 0.05 * 0.4)
+
+
+def test_logistic_model_works_in_a_session_that_observed(spark):
+    rows = spark.createDataFrame([(float(i), float(i % 3 == 0), i % 2) for i in range(60)], "x double, label double, fold int")
+    seen = Observation()
+    rows.observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 60}
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    found = learners.fit_validated(learners.logistic(60), rows, folds=2)
+    scored = found.model.transform(rows).select(vector_to_array("probability")[1].alias("p")).collect()
+    assert len(scored) == 60 and sum(r.p for r in scored) == pytest.approx(20, abs=0.1)
