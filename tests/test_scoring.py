@@ -152,3 +152,15 @@ def test_csv_streams_keep_what_does_not_fit(spark, tmp_path):
     kept = {tuple(r.errors): r.raw for r in spark.read.parquet(f"{out}/quarantine").collect()}
     assert kept[("the record cannot be read",)] == "only,two"
     assert any("tenure_months has the wrong type" in errors and "a year" in raw for errors, raw in kept.items())
+
+
+def test_a_line_is_parsed_once(spark):
+    from holdfast.schemas import REQUEST
+    from holdfast.sources import rescued
+
+    lines = spark.createDataFrame([('{"customer_id": 1, "tenure_months": "soon"}',), ('{"customer',), (None,)], "value string")
+    _, broken = scoring.split_requests(rescued.parse_json(lines, REQUEST))
+    plan = broken._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("map_from_entries") == 1
+    found = {tuple(sorted(r["rescued"].items())) for r in broken.collect()}
+    assert found == {(("tenure_months", "soon"),), (("_record", '{"customer'),), (("_record", ""),)}
