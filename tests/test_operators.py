@@ -180,3 +180,27 @@ def test_merged_sketches_are_within_their_promise(spark):
             assert abs(place - share * (len(values) - 1)) <= SKETCH_ERROR * len(values)
     none = sketched_percentiles(quantile_sketches(rows.where("v IS NULL"), "v", ["g"]), shares)
     assert {r.p30 for r in none.collect()} == {None}
+
+
+def test_small_customer_tables_are_not_broadcast(small_tables):
+    from holdfast.operators.star import star
+
+    plan = star(small_tables)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_rows_of_few_groups_stay_spread(spark, monkeypatch):
+    from holdfast.session import settle
+
+    rows = spark.range(400).selectExpr("nullif(id % 4, 3) AS g", "CAST(id AS double) AS v", "id AS k")
+    facts = settle(rows.groupBy("g").count())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    plan = quantiles._attached(rows, facts, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    found = [sorted(quantiles.percentiles(rows, "v", {"p": 0.3}, "k", by=["g"]).collect(), key=str)]
+    monkeypatch.setattr(quantiles, "FEW_GROUPS", 3)
+    plan = quantiles._attached(rows, facts, ["g"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    found.append(sorted(quantiles.percentiles(rows, "v", {"p": 0.3}, "k", by=["g"]).collect(), key=str))
+    assert found[0] == found[1] and len(found[0]) == 4
