@@ -2,14 +2,14 @@
 
 Windows of ``width`` words that also start in a document with a smaller id are
 removed, word by word. Whether a window repeats is settled level by level: windows
-of half the width first, then only windows made of repeated ones are extended to
-the full width, and (``deepest`` permitting) to twice, four times, ... that, until
+of four words first, then only full windows around repeated ones are tried with eight
+words and with the full width, and (``deepest`` permitting) with twice, four times, ... that, until
 no candidate survives; the longest level a document reaches is reported.
 
-The first level needs no window of a document but the one with the smallest hash
-among the half windows of each full window: equal full windows choose equal half
-windows, so a full window can repeat only if its choice does. That is about a
-quarter of all positions. At every level the hashes travel packed by hash bucket, where the
+Levels below the full width need no window of a document but the one with the smallest hash
+among those of each full window: equal full windows choose equal short
+windows, so a full window can repeat only if its choice does. That is about a fifth of all
+positions for four words. At every level the hashes travel packed by hash bucket, where the
 smallest id of each hash is found, and the answers go back to buckets of documents.
 Where many documents of one task share a hash, one of them stands for all, and the
 others wait with their documents for the verdict, so a hash that a third of all
@@ -38,6 +38,8 @@ from llm.blocks import HELD, PACKED, PACKED_DDL, bucket_count, bucket_of, each_g
 from llm.common import WORDS, as_batch, mixed, rows_in_batches, shingle_hashes, stored
 
 WIDTH = 13
+#: Words of a window at the first level, at most.
+LEAST = 4
 #: Stands for a null id: after all others.
 LAST = (1 << 63) - 1
 ENTRY = np.dtype([("h", "<u8"), ("doc", "<i8")])
@@ -121,9 +123,10 @@ def _of(values: list[pa.Buffer], *sorts: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, ENTRY)
 
 
-def _repeats(buckets: int):
+def _repeats(buckets: int, last: bool):
     """Answers, by bucket of the document: the hashes it shares with another document; the lowest bit tells
-    whether one with a smaller id has it. Parked entries move on, and a verdict on their hashes goes to all buckets."""
+    whether one with a smaller id has it. Parked entries move on, and a verdict on their hashes goes to all buckets.
+    The ``last`` level extends nothing, so there a document needs to hear of one of those it has first."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers: list[np.ndarray] = []
@@ -151,7 +154,12 @@ def _repeats(buckets: int):
             least = np.repeat(entries["doc"][starts], sizes)
             several = np.repeat(hot | (np.maximum.reduceat(entries["doc"], starts) > entries["doc"][starts]), sizes) & ~summary
             told = entries[several]
-            told["h"] = told["h"] & ~np.uint64(1) | (told["doc"] > least[several])
+            later = told["doc"] > least[several]
+            told["h"] = told["h"] & ~np.uint64(1) | later
+            if last:
+                own = np.flatnonzero(~later)
+                later[own[np.unique(told["doc"][own], return_index=True)[1]]] = True
+                told = told[later]
             answers.append(told)
             verdicts.append(entries[starts[hot]])
             size += len(told)
@@ -183,9 +191,9 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows_in_batches(rows(), ANSWER, 512)
 
 
-def _answers(dealt: DataFrame, buckets: int) -> DataFrame:
+def _answers(dealt: DataFrame, buckets: int, last: bool = False) -> DataFrame:
     """(doc, hashes): one row per document that has a repeated window."""
-    found = gathered(dealt, 2 * buckets).mapInArrow(_repeats(buckets), PACKED_DDL)
+    found = gathered(dealt, 2 * buckets).mapInArrow(_repeats(buckets, last), PACKED_DDL)
     return gathered(found, buckets).mapInArrow(_resolved, "doc long, hashes binary")
 
 
@@ -210,14 +218,27 @@ def _result(words: list[bytes], gone: np.ndarray) -> tuple[int, int, str]:
     return len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest()
 
 
+def ladder(width: int) -> list[int]:
+    """Widths from a few words on, each twice the one before, up to the full one."""
+    levels = [min(LEAST, (width + 1) // 2)]
+    while levels[-1] < width:
+        levels.append(min(width, 2 * levels[-1]))
+    return levels
+
+
+def _is_last(level: int, width: int, deepest: int | None) -> bool:
+    return level >= width and deepest is not None and 2 * level > deepest
+
+
 def remove_repeats(docs: DataFrame, width: int = WIDTH, deepest: int | None = None, keep_text: bool = False, shared: int = SHARED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, longest[, kept]) for every row.
 
     ``longest`` is the widest level at which a window of the row repeats in another
     document (0: none); levels beyond ``deepest`` are not tried. ``keep_text`` adds
-    the kept words joined by one space. ``shared`` is explained above. Runs all levels but the last at once.
+    the kept words joined by one space. ``shared`` is explained above. Levels up to
+    the full width are left to Spark; those beyond run at once.
     """
-    half = (width + 1) // 2
+    levels = ladder(width)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     narrow = narrow.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
     buckets = bucket_count(narrow)
@@ -226,42 +247,53 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, deepest: int | None = No
         def entries() -> Iterator[np.ndarray]:
             for batch in batches:
                 for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                    hashes, chosen = choices(WORDS.of((text.as_py() or b"").split()), half, width)
+                    hashes, chosen = choices(WORDS.of((text.as_py() or b"").split()), levels[0], width)
                     yield _own(np.unique(hashes[chosen]), doc)
 
         yield from _dealt(entries(), buckets, shared)
 
-    answers = _answers(narrow.select("doc", "text").mapInArrow(first, PACKED_DDL), buckets)
-    level, before, finished = width, half, None
+    answers = _answers(narrow.select("doc", "text").mapInArrow(first, PACKED_DDL), buckets, _is_last(levels[0], width, deepest))
+    for before, level in zip(levels, levels[1:]):
+        # The same columns as in the join below, so that the texts are shuffled once for all levels.
+        joined = narrow.join(answers, "doc").select("doc_id", "doc", "text", "hashes")
+        answers = _answers(joined.mapInArrow(_extended(before, level, width, buckets, shared), PACKED_DDL), buckets, _is_last(level, width, deepest))
+    level, finished = width, None
     rows = narrow.withColumn("gone", F.lit(None).cast("binary")).withColumn("longest", F.lit(0))
-    while True:
-        last = deepest is not None and 2 * level > deepest
+    while deepest is None or 2 * level <= deepest:
         joined = rows.join(answers, "doc", "left").select("doc_id", "doc", "text", "gone", "longest", "hashes")
-        if level == width:
-            spread = lambda words, answer: _first_level(words, answer, half, width)
-        else:
-            spread = lambda words, answer, a=before, b=level: _next_level(words, answer, a, b)
-        tried = stored(joined.mapInArrow(_trial(spread, before if level > width else 0, keep_text), f"{ROWS_DDL}, candidates binary"), f"level{level}")
+        spread = lambda words, answer, a=level, b=2 * level: _next_level(words, answer, a, b)
+        tried = stored(joined.mapInArrow(_trial(spread, level, keep_text), f"{ROWS_DDL}, candidates binary"), f"level{2 * level}")
         done = tried.filter("text IS NULL")
         finished = done if finished is None else finished.union(done)
         rows = tried.filter("text IS NOT NULL")
-        answers = _answers(rows.select("doc", "candidates").mapInArrow(_send(buckets, shared), PACKED_DDL), buckets)
+        answers = _answers(rows.select("doc", "candidates").mapInArrow(_send(buckets, shared), PACKED_DDL), buckets, _is_last(2 * level, width, deepest))
         rows = rows.select("doc_id", "doc", "text", "gone", "longest")
-        if last or (deepest is None and not rows.head(1)):
+        level = 2 * level
+        if deepest is None and not rows.head(1):
             break
-        before, level = level, 2 * level
     closing = rows.join(answers, "doc", "left").select("doc_id", "doc", "text", "gone", "longest", "hashes")
     closing = closing.mapInArrow(_trial(None, level, keep_text), f"{ROWS_DDL}, candidates binary")
-    every = finished.union(closing)
+    every = closing if finished is None else finished.union(closing)
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256", "longest"]
     return every.select(*columns, F.col("gone").cast("string").alias("kept")) if keep_text else every.select(*columns)
 
 
-def _first_level(words: np.ndarray, answer: np.ndarray, half: int, width: int) -> np.ndarray:
-    """Full windows whose chosen half window repeats."""
-    hashes, chosen = choices(words, half, width)
-    known, _ = _among(hashes, answer)
-    return np.unique(shingle_hashes(words, width)[known[chosen]]) if len(chosen) else np.empty(0, np.uint64)
+def _extended(before: int, level: int, width: int, buckets: int, shared: int):
+    """Of full windows whose chosen window of ``before`` words repeats: the chosen ones of ``level`` words."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries() -> Iterator[np.ndarray]:
+            for batch in batches:
+                for doc, text, answer in zip(batch.column("doc").to_pylist(), batch.column("text"), batch.column("hashes")):
+                    words = WORDS.of((text.as_py() or b"").split())
+                    hashes, chosen = choices(words, before, width)
+                    alive = _among(hashes, _answered(answer.as_py()))[0][chosen]
+                    hashes, chosen = choices(words, level, width)
+                    yield _own(np.unique(hashes[chosen[alive]]), doc)
+
+        yield from _dealt(entries(), buckets, shared)
+
+    return send
 
 
 def _next_level(words: np.ndarray, answer: np.ndarray, before: int, level: int) -> np.ndarray:

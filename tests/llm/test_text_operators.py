@@ -452,6 +452,16 @@ def test_levels_and_kept_words(spark):
     assert substrings.remove_repeats(corpus.frame(spark).limit(0), deepest=13).count() == 0
 
 
+def test_windows_double_from_four_words(spark, monkeypatch):
+    steps, extended = [], substrings._extended
+    monkeypatch.setattr(substrings, "_extended", lambda before, level, *rest: steps.append((before, level)) or extended(before, level, *rest))
+    words = [f"w{k}" for k in range(40)]
+    data = [(1, " ".join(words)), (2, " ".join(["x", *words[:13], "y"])), (3, " ".join(["x", *words[20:32], "y", *words[3:8]])), (4, " ".join(words[30:34]))]
+    rows = substrings.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), width=13, deepest=13, keep_text=True).collect()
+    assert steps == [(4, 8), (8, 13)] and [substrings.ladder(n) for n in (1, 4, 5, 26)] == [[1], [2, 4], [3, 5], [4, 8, 16, 26]]
+    assert {r["doc_id"]: r["kept"] for r in rows} == {1: data[0][1], 2: "x y", 3: data[2][1], 4: data[3][1]}
+
+
 def test_word_hashes_forget_without_changing(monkeypatch):
     monkeypatch.setattr(common, "REMEMBERED", 3)
     table = common.WordHash()
