@@ -204,3 +204,11 @@ def test_rows_of_few_groups_stay_spread(spark, monkeypatch):
     assert "SortMergeJoin" in plan
     found.append(sorted(quantiles.percentiles(rows, "v", {"p": 0.3}, "k", by=["g"]).collect(), key=str))
     assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_scores_of_all_customers_are_not_broadcast(spark):
+    from registry.catalog import _by_customer
+
+    rows = spark.range(10).withColumnRenamed("id", "customer_id")
+    plan = _by_customer(rows, rows.withColumn("score", F.lit(1.0)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
