@@ -24,6 +24,8 @@ PACKED = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 PACKED_DDL = "bucket long, data binary"
 #: Entries that a task gathers before it sends them.
 HELD = 1_000_000
+#: Bytes in one batch of packed rows, about: Spark holds a batch outside its heap.
+SENT = 1 << 22
 
 
 def bucket_count(df: DataFrame, per_partition: int = 4) -> int:
@@ -42,15 +44,16 @@ def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.nd
 
     def send() -> Iterator[pa.RecordBatch]:
         every = np.concatenate(held)
+        held.clear()
         if combine is not None:
             every = combine(every)
         bucket = bucket_of(every["h"], buckets)
         order = np.argsort(bucket, kind="stable")
         every, bucket = every[order], bucket[order]
-        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        starts = group_starts(bucket)
         stops = np.append(starts[1:], len(bucket))
-        rows = [every[a:b].tobytes() for a, b in zip(starts, stops)]
-        yield as_batch(PACKED, [bucket[starts], rows])
+        for rows in np.split(np.arange(len(starts)), group_starts(stops * every.itemsize // SENT)[1:]):
+            yield as_batch(PACKED, [bucket[starts[rows]], [every[a:b].tobytes() for a, b in zip(starts[rows], stops[rows])]])
 
     for part in entries:
         if len(part):
@@ -58,7 +61,7 @@ def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.nd
             size += len(part)
             if size >= HELD:
                 yield from send()
-                held, size = [], 0
+                size = 0
     if size:
         yield from send()
 

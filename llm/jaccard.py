@@ -98,7 +98,7 @@ def frequency_ranks(narrow: DataFrame, width: int, percent: int) -> np.ndarray:
         counts = np.zeros(COUNTERS, np.uint32)
 
         def take(sets: list[np.ndarray]) -> None:
-            np.add(counts, np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS), out=counts, casting="unsafe")
+            np.add.at(counts, (np.concatenate(sets) & np.uint64(COUNTERS - 1)).view(np.int64), np.uint32(1))
 
         for batch in batches:
             sets, size = [], 0
@@ -106,7 +106,7 @@ def frequency_ranks(narrow: DataFrame, width: int, percent: int) -> np.ndarray:
                 values = shingle_set(text.as_py(), width)
                 sets.append(values[low_part(values, percent)])
                 size += len(sets[-1])
-                if size > COUNTERS:
+                if size > PAGE:
                     take(sets)
                     sets, size = [], 0
             if sets:

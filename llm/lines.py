@@ -42,7 +42,7 @@ from llm.common import ODD, mixed, row_key, rows_in_batches, stored
 NEAR_WORDS = 8
 LAST = (1 << 63) - 1
 #: Bytes of text that are scanned at a time, unless one text has more.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 LINES = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("k3", pa.int64())])
 LINES_DDL = "h long, doc long, key long, line int, n int, k1 long, k2 long, k3 long"
 #: ``of``: the line; ``at``: the place of the word left out, -1 for none.

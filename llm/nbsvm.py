@@ -148,6 +148,14 @@ def _logistic(margins: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(beta[0]), float(beta[1])
 
 
+def _counts(buckets: np.ndarray) -> np.ndarray:
+    """How often each bucket occurs; a part at a time, because numpy widens what it counts."""
+    counts = np.zeros(1 << BITS, np.int64)
+    for a in range(0, len(buckets), 1 << BITS):
+        counts += np.bincount(buckets[a : a + (1 << BITS)], minlength=1 << BITS)
+    return counts
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, share: float, smoothing: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights by bucket and intercept, on the scale of log odds. ``share``: of label 1 among all labels. Empties ``rows``."""
     y = np.where(labels > 0, 1.0, -1.0)
@@ -160,13 +168,14 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, share: float, smoothing: flo
     sizes = np.array([len(rows[i]) for i in order])
     indices = np.concatenate([rows[i] for i in order])
     rows.clear()
-    usual = np.bincount(indices, minlength=1 << BITS) >= 3
+    usual = _counts(indices) >= 3
     kept = usual[indices]
-    ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(sizes)])]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    ends = np.concatenate([[0], np.cumsum([np.count_nonzero(kept[a:b]) for a, b in zip(bounds, bounds[1:])])])
     indices = indices[kept]
     n_pos, n_fit = int(((y > 0) & ~kept_out).sum()), int((~kept_out).sum())
-    pos = smoothing + np.bincount(indices[: ends[n_pos]], minlength=1 << BITS)
-    neg = smoothing + np.bincount(indices[ends[n_pos] : ends[n_fit]], minlength=1 << BITS)
+    pos = smoothing + _counts(indices[: ends[n_pos]])
+    neg = smoothing + _counts(indices[ends[n_pos] : ends[n_fit]])
     ratio = np.log(pos / (max(1, n_pos) + 2 * smoothing)) - np.log(neg / (max(1, n_fit - n_pos) + 2 * smoothing))
 
     values = ratio.astype(np.float32)[indices[: ends[n_fit]]]
