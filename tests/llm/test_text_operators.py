@@ -6,18 +6,20 @@ import hashlib
 import itertools
 import random
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
 import corpus  # noqa: E402
-from llm import common, decontaminate, jaccard, lines, nbsvm, packing, pii, quality, substrings, tokenfiles, tokens, topk, toxicity  # noqa: E402
+from llm import blocks, common, decontaminate, jaccard, lines, nbsvm, packing, pii, quality, substrings, tokenfiles, tokens, topk, toxicity  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 PATH = tokens.word_bpe_path()
@@ -499,3 +501,54 @@ def test_most_alike_pairs_of_two_components():
     chosen = jaccard.most_alike(low, size, np.array([1, 2, 1, 3, 1]), np.array([2, 1, 2, 1, 3]), 1)
     assert sorted(chosen.tolist()) == [1, 4]
     assert sorted(jaccard.most_alike(low, size, np.array([1, 2, 1, 3, 1]), np.array([2, 1, 2, 1, 3]), 2).tolist()) == [0, 1, 3, 4]
+
+
+# ------------------------------------------------------- memory of one worker
+
+
+def peak_mb(call) -> float:
+    """Most that Python and numpy held at once, beside what they held before."""
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_packed_entries_leave_in_small_batches():
+    rng = np.random.default_rng(3)
+    parts = []
+    for _ in range(3):
+        parts.append(np.zeros(400_000, lines.ENTRY))
+        parts[-1]["h"], parts[-1]["of"] = rng.integers(0, 1 << 63, 400_000) * 2, np.arange(400_000)
+    batches = list(blocks.packed(iter(parts), 148))
+    assert len(batches) > 4 and max(b.nbytes for b in batches) < 1.2 * blocks.SENT
+    rows = [(k, v) for b in batches for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert [k for k, _ in rows] == list(range(148))
+    every = np.concatenate(parts)
+    every = every[np.argsort(blocks.bucket_of(every["h"], 148), kind="stable")]
+    assert b"".join(v for _, v in rows) == every.tobytes()
+    one = np.zeros(300_000, lines.ENTRY)  # a bucket is not divided, however large
+    assert [b.num_rows for b in blocks.packed(iter([one]), 8)] == [1] and list(blocks.packed(iter([one[:0]]), 8)) == []
+
+
+def test_lines_are_scanned_in_little_memory():
+    texts = [" ".join(f"word{k * j % 97}" for k in range(600)).encode() for j in range(800)]
+    ids = pa.array(range(800), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts, pa.binary())], ["doc", "key", "text"])
+    lines._powers(1)  # kept per worker
+    found: list = []
+    assert peak_mb(lambda: found.extend(b.num_rows for b in lines._line_scan(iter([batch])))) < 100
+    assert sum(found) == 800
+
+
+def test_a_model_is_fitted_in_little_more_than_its_rows():
+    rng = np.random.default_rng(5)
+    made = [np.unique(rng.integers(0, 1 << nbsvm.BITS, 40_000).astype(np.int32)) for _ in range(200)]
+    mb = sum(r.nbytes for r in made) / 1e6
+    rows = list(made)
+    assert peak_mb(lambda: nbsvm.fit(rows, np.arange(200) % 2, 0.5)) < 5 * mb
+    some = np.concatenate(made[:60])
+    assert (nbsvm._counts(some) == np.bincount(some, minlength=1 << nbsvm.BITS)).all()
+    assert not nbsvm._counts(some[:0]).any()

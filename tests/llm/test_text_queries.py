@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -14,6 +15,7 @@ import corpus  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from compare import connect, differences  # noqa: E402
 from llm import queries  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -73,3 +75,16 @@ def test_decontamination_tells_rows_of_one_id_apart(spark, tmp_path):
     kept = corpus_pipeline.decontamination(spark, corpus.frame(spark, True, rows), str(tmp_path))
     assert kept.columns == corpus_pipeline.COLUMNS
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, clean))
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    """200 documents of 100 KB are fewer rows than one batch may have, but more bytes."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    docs = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    stage = corpus_pipeline._stage(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "size long, n long"))
+    found = stage(spark, docs, SMALL).collect()
+    assert sum(r["n"] for r in found) == 200 and max(r["size"] for r in found) < 5_000_000
