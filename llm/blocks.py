@@ -24,6 +24,8 @@ PACKED = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 PACKED_DDL = "bucket long, data binary"
 #: Entries that a task gathers before it sends them.
 HELD = 1_000_000
+#: Bytes of text that are scanned at a time, unless one text has more.
+BLOCK = 1 << 19
 #: Bytes in one batch of packed rows, about: Spark holds a batch outside its heap.
 SENT = 1 << 22
 
@@ -37,6 +39,34 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
+def bucket_order(bucket: np.ndarray) -> np.ndarray:
+    """Stable order by bucket; numbers of 16 bits are sorted by counting."""
+    small = len(bucket) and -(1 << 15) <= bucket.min() and bucket.max() < 1 << 15
+    return np.argsort(bucket.astype(np.int16) if small else bucket, kind="stable")
+
+
+def hash_order(hashes: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """Order by hash (unsigned 64 bits, well spread), then by the others, the last one first, as in ``np.lexsort``.
+
+    Two rounds over 16 bits sort by the upper half of the hashes; only those that share it are compared in full.
+    """
+    order = np.argsort((hashes >> np.uint64(32)).astype(np.uint16), kind="stable")
+    order = order[np.argsort((hashes >> np.uint64(48)).astype(np.uint16)[order], kind="stable")]
+    shared = shared_with_next((hashes >> np.uint64(32))[order])
+    some = order[shared]
+    order[shared] = some[np.lexsort([*(x[some] for x in then), hashes[some]])]
+    return order
+
+
+def shared_with_next(sorted_values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    out = np.zeros(len(sorted_values), bool)
+    same = sorted_values[1:] == sorted_values[:-1]
+    out[1:] = same
+    out[:-1] |= same
+    return out
+
+
 def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.ndarray], np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
     """Rows for the shuffle from structured arrays whose field ``h`` is the hash (unsigned 64 bits)."""
     held: list[np.ndarray] = []
@@ -48,8 +78,8 @@ def packed(entries: Iterator[np.ndarray], buckets: int, combine: Callable[[np.nd
         if combine is not None:
             every = combine(every)
         bucket = bucket_of(every["h"], buckets)
-        order = np.argsort(bucket, kind="stable")
-        every, bucket = every[order], bucket[order]
+        order = bucket_order(bucket)
+        every, bucket = every.take(order), bucket[order]
         starts = group_starts(bucket)
         stops = np.append(starts[1:], len(bucket))
         for rows in np.split(np.arange(len(starts)), group_starts(stops * every.itemsize // SENT)[1:]):
@@ -151,6 +181,18 @@ def maybe_among(keys: DataFrame, column: str) -> Callable[[Column], Column]:
     return test
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows of about ``BLOCK`` bytes of text at a time, and their texts (null: empty)."""
+    for batch in batches:
+        begin, size, texts = 0, 0, []
+        for i, text in enumerate(batch.column("text")):
+            texts.append(text.as_py() or b"")
+            size += len(texts[-1]) + 1
+            if size >= BLOCK or i == batch.num_rows - 1:
+                yield batch.slice(begin, i + 1 - begin), texts
+                begin, size, texts = i + 1, 0, []
+
+
 def group_starts(sorted_values: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     if not len(sorted_values):

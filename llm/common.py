@@ -104,6 +104,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: What is left of eight bytes read at the start of a word of so many bytes.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes of a word that are hashed with those of the other words at once.
+TOGETHER = 64
+
+
+def word_edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and where they stop, for all of a block of texts at once."""
+    b = np.frombuffer(data, np.uint8)
+    word = np.zeros(len(b) + 2, bool)
+    word[1:-1] = (b - np.uint8(9) > 4) & (b != 32)
+    at = np.flatnonzero(word[1:] != word[:-1])
+    return at[0::2], at[1::2]
+
+
+def word_hashes(data: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hash of each word of a block, from eight bytes at a time; the rest of very long words is hashed one by one."""
+    eight = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    size = stops - starts
+    out = mixed(eight[starts] & FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64) * ODD
+    at, more = 8, np.flatnonzero(size > 8)
+    while len(more) and at < TOGETHER:
+        out[more] = mixed(out[more] ^ eight[starts[more] + at] & FIRST_BYTES[np.minimum(size[more] - at, 8)])
+        at += 8
+        more = more[size[more] > at]
+    for k in more.tolist():
+        out[k : k + 1] = mixed(out[k : k + 1] ^ np.uint64(xxhash.xxh3_64_intdigest(data[starts[k] + at : stops[k]])))
+    return out
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` words, in order; none if there are fewer."""
     n = len(words) - width + 1

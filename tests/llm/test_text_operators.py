@@ -464,6 +464,58 @@ def test_windows_double_from_four_words(spark, monkeypatch):
     assert {r["doc_id"]: r["kept"] for r in rows} == {1: data[0][1], 2: "x y", 3: data[2][1], 4: data[3][1]}
 
 
+def calls_in(call) -> int:
+    """Functions, of Python or C, that Python calls one by one."""
+    count = 0
+
+    def see(frame, event, arg):
+        nonlocal count
+        count += event in ("call", "c_call")
+
+    sys.setprofile(see)
+    try:
+        call()
+    finally:
+        sys.setprofile(None)
+    return count
+
+
+def test_windows_are_extended_without_a_call_per_word():
+    texts = [" ".join(f"w{k}_{j}" for j in range(2_000)).encode() for k in range(20)]
+    texts[7] = texts[3]
+    told = [np.sort(substrings.choices(substrings.scan_words([t]).words, 4, 13)) for t in texts]
+    columns = {"doc": pa.array(range(20), pa.int64()), "text": pa.array(texts, pa.binary()), "hashes": pa.array([h.tobytes() if k in (3, 7) else b"" for k, h in enumerate(told)], pa.binary())}
+    found: list = []
+    send = substrings._extended(4, 8, 13, 8, 256)
+    assert calls_in(lambda: found.extend(send(iter([pa.RecordBatch.from_pydict(columns)])))) < 2_000
+    entries = substrings._of([v.as_buffer() for b in found for v in b.column(1)], substrings.ENTRIES)
+    expected = np.unique(substrings.choices(substrings.scan_words([texts[3]]).words, 8, 13))
+    for doc in (3, 7):
+        assert np.sort(entries["h"][entries["doc"] == doc]).tolist() == expected.tolist()
+    assert set(entries["doc"].tolist()) == {3, 7}
+
+
+def test_words_and_windows_of_a_block():
+    texts = [b"", b" a  bb\x00 a\tbb \n" + b"x" * 9, b"\r\n \x0b", b"a bb bb\x00 " + b"y" * 8 + b" " + b"y" * 70 + b"z " + b"y" * 70, b"yyyyyyyy", b"y" * 70 + b"z a"]
+    x = substrings.scan_words(texts, True)
+    assert [x.plain(k) for k in range(len(texts))] == [b" ".join(t.split()) for t in texts]
+    words = [w for t in texts for w in t.split()]
+    assert len({*zip(words, x.words.tolist())}) == len({*words}) == len({*x.words.tolist()})
+    rng = np.random.default_rng(8)
+    codes = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (40, 12, 13, 0)]
+    for half, width in ((4, 13), (8, 13), (13, 13), (1, 1), (2, 4)):
+        for c in codes:
+            hashes = common.shingle_hashes(c, half)
+            assert substrings.choices(c, half, width).tolist() == [min(hashes[k : k + width - half + 1]) for k in range(len(c) - width + 1)]
+    x = substrings.scan_words([b"a b c", b"d e", b"", b"f g h i"])
+    assert x.full(3).tolist() == [0, 5, 6] and x.full(20).tolist() == []
+    hashes = np.concatenate([rng.integers(0, 1 << 62, 3_000), np.repeat(rng.integers(0, 1 << 62, 20), 50), (7 << 40) + rng.integers(0, 9, 50)]).astype(np.uint64)
+    then = rng.integers(-3, 3, len(hashes))
+    assert blocks.hash_order(hashes, then).tolist() == np.lexsort((then, hashes)).tolist() and not len(blocks.hash_order(hashes[:0], then[:0]))
+    for bucket in (rng.integers(-300, 300, 2_000), rng.integers(0, 1 << 20, 2_000)):
+        assert blocks.bucket_order(bucket).tolist() == np.argsort(bucket, kind="stable").tolist()
+
+
 def test_word_hashes_forget_without_changing(monkeypatch):
     monkeypatch.setattr(common, "REMEMBERED", 3)
     table = common.WordHash()
