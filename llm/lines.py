@@ -15,8 +15,8 @@ Two lines at distance one agree in their first or in their last half. So halves
 counted first, and a line sends only the part of its neighbourhood that a shared
 half leaves open. The halves that occur in different lines go to the scan as a
 table of bits of bounded size; where it is too full it lets more pass, never less.
-Scans work on whole blocks of text at a time, by sums of powers from which the hash
-of any run of words follows.
+Scans work on whole blocks of text at a time: words are hashed eight bytes at a time, and
+sums of their powers give the hash of any run of words.
 
 Defined cases: lines end at a line feed; lines without words are never removed, and
 white space within a line does not count; null and empty texts have no lines to
@@ -36,13 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, in_table, maybe_among, packed
-from llm.common import ODD, mixed, row_key, rows_in_batches, stored
+from llm.blocks import BLOCK, PACKED_DDL, bit_table, bucket_count, each_bucket, gathered, group_starts, hash_order, in_table, maybe_among, packed, shared_with_next, text_blocks
+from llm.common import ODD, mixed, row_key, rows_in_batches, stored, word_edges, word_hashes
 
 NEAR_WORDS = 8
 LAST = (1 << 63) - 1
-#: Bytes of text that are scanned at a time, unless one text has more.
-BLOCK = 1 << 19
 LINES = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("k3", pa.int64())])
 LINES_DDL = "h long, doc long, key long, line int, n int, k1 long, k2 long, k3 long"
 #: ``of``: the line; ``at``: the place of the word left out, -1 for none.
@@ -51,8 +49,6 @@ MEMBER = pa.schema([("group", pa.int64()), ("side", pa.int32()), ("h", pa.int64(
 #: Sides of a group: lines of one length with one word left out; whole lines; lines that equal them without a word.
 REPLACED, WHOLE, LONGER = 0, 1, 2
 
-SPACE = np.zeros(256, np.bool_)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE = 0xD6E8FEB86659FD93
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -104,35 +100,24 @@ class Scanned:
 
 def scan_lines(texts: list[bytes]) -> Scanned:
     data = b"\n".join(texts)
-    b = np.frombuffer(data, np.uint8)
-    power, inverse = _powers(len(b) + 1)
-    edges = np.diff(np.concatenate([[0], (~SPACE[b]).astype(np.int8), [0]]))
-    starts, stops = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[: len(b)])])
-    words = mixed((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64) * ODD)
-    feeds = np.cumsum(b == 10)
-    of_word = feeds[starts] if len(starts) else starts
-    at = group_starts(of_word)
-    ends = np.append(at[1:], len(words)) if len(at) else at
+    starts, stops = word_edges(data)
+    words = word_hashes(data, starts, stops)
+    feeds = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    # The first word after each line feed, and the lines, numbered over all texts, that have words.
+    after = np.concatenate([[0], np.searchsorted(starts, feeds), [len(starts)]])
+    numbers = np.flatnonzero(after[1:] > after[:-1])
+    at, ends = after[numbers], after[numbers + 1]
     begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
-    first_line = np.array([feeds[x - 1] if x else 0 for x in begins])
-    numbers = of_word[at]
+    first_line = np.searchsorted(feeds, begins)
     text = np.searchsorted(begins, starts[at], "right") - 1
-    word_sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * power[: len(words)])])
-    return Scanned(word_sums, at, ends, text, (numbers - first_line[text]).astype(np.int32), starts[at], stops[ends - 1] if len(at) else at)
+    word_sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(len(words) + 1)[0][: len(words)])])
+    return Scanned(word_sums, at, ends, text, (numbers - first_line[text]).astype(np.int32), starts[at], stops[ends - 1])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
     """(doc, key, texts) of about ``BLOCK`` bytes at a time."""
-    for batch in batches:
-        doc, key = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "key"))
-        begin, size, texts = 0, 0, []
-        for i, text in enumerate(batch.column("text")):
-            texts.append(text.as_py() or b"")
-            size += len(texts[-1]) + 1
-            if size >= BLOCK or i == batch.num_rows - 1:
-                yield doc[begin : i + 1], key[begin : i + 1], texts
-                begin, size, texts = i + 1, 0, []
+    for rows, texts in text_blocks(batches):
+        yield *(rows.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "key")), texts
 
 
 def _line_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +183,8 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[tuple]:
         for entries in each_bucket(batches, ENTRY):
-            entries = entries[np.lexsort((entries["of"], entries["at"], entries["n"], entries["h"]))]
+            entries = entries.take(hash_order(entries["h"], entries["of"], entries["at"], entries["n"]))
+            entries = entries[shared_with_next(entries["h"])]
             new = np.ones(len(entries), bool)
             new[1:] = entries[1:] != entries[:-1]
             entries = entries[new]

@@ -595,6 +595,13 @@ def test_lines_are_scanned_in_little_memory():
     assert sum(found) == 800
 
 
+def test_a_block_of_lines_is_scanned_by_word():
+    """Numbers are made per word; per byte there are only flags."""
+    texts = [" ".join(f"word{k * j % 97}" for k in range(600)).encode() for j in range(100)]
+    lines.scan_lines(texts)  # powers are kept per worker
+    assert peak_mb(lambda: lines.scan_lines(texts)) * 1e6 < 25 * sum(map(len, texts))
+
+
 def test_a_model_is_fitted_in_little_more_than_its_rows():
     rng = np.random.default_rng(5)
     made = [np.unique(rng.integers(0, 1 << nbsvm.BITS, 40_000).astype(np.int32)) for _ in range(200)]
