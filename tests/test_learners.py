@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import inspect
+
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM
+from conftest import MEDIUM, SMALL
 from holdfast.plans import learners, uplift
+from registry import catalog
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +105,47 @@ def test_logistic_model_works_in_a_session_that_observed(spark):
     found = learners.fit_validated(learners.logistic(60), rows, folds=2)
     scored = found.model.transform(rows).select(vector_to_array("probability")[1].alias("p")).collect()
     assert len(scored) == 60 and sum(r.p for r in scored) == pytest.approx(20, abs=0.1)
+
+
+def test_validation_is_that_of_spark(spark):
+    rows = spark.createDataFrame([(float(i * 7 % 20), float(i % 3 == 0 or i % 20 > 11), i % 3) for i in range(90)], "x double, label double, fold int")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    found = learners.fit_validated(learners.logistic(90), rows, folds=3)
+    spark_s = CrossValidator(
+        estimator=learners.logistic(90), estimatorParamMaps=[{}], evaluator=BinaryClassificationEvaluator(), numFolds=3, foldCol="fold"
+    ).fit(rows)
+    assert (found.auc_mean, found.auc_std) == (pytest.approx(spark_s.avgMetrics[0]), pytest.approx(spark_s.stdMetrics[0]))
+    assert list(found.model.coefficients) == pytest.approx(list(spark_s.bestModel.coefficients))
+    for folds in (2, 4):
+        with pytest.raises(ValueError, match="fold"):
+            learners.fit_validated(learners.logistic(90), rows, folds=folds)
+
+
+def test_fits_have_tasks_in_proportion_to_their_rows():
+    assert [learners.fit_tasks(n) for n in (0, 1, 50_000, 50_001, 90_000_000)] == [1, 1, 1, 2, 1800]
+
+
+class Asked(Exception):
+    pass
+
+
+def settings(spark, monkeypatch, name, fit):
+    """The settings that a query's fit is called with."""
+    signature = inspect.signature(getattr(learners, fit))
+
+    def spy(*args, **given):
+        call = signature.bind(*args, **given)
+        call.apply_defaults()
+        raise Asked(call.arguments)
+
+    monkeypatch.setattr(catalog, "_fitted", {})
+    monkeypatch.setattr(learners, fit, spy)
+    with pytest.raises(Asked) as found:
+        catalog.QUERIES[name](spark, SMALL)
+    return found.value.args[0]
+
+
+def test_fitted_crossed_has_the_published_settings(spark, monkeypatch, two):
+    monkeypatch.setattr(catalog, "two_models", lambda *_: two)
+    asked = settings(spark, monkeypatch, "fitted_crossed", "fit_crossed")
+    assert asked["boosting"] == learners.Boosting() and asked["base"] is two
