@@ -149,3 +149,8 @@ def test_fitted_crossed_has_the_published_settings(spark, monkeypatch, two):
     monkeypatch.setattr(catalog, "two_models", lambda *_: two)
     asked = settings(spark, monkeypatch, "fitted_crossed", "fit_crossed")
     assert asked["boosting"] == learners.Boosting() and asked["base"] is two
+
+
+def test_fitted_importance_comparison_has_the_published_settings(spark, monkeypatch):
+    asked = settings(spark, monkeypatch, "fitted_importance_comparison", "fit_two_models")
+    assert (asked["boosting"], asked["folds"], asked["validate"]) == (learners.Boosting(), 5, True)
