@@ -154,3 +154,8 @@ def test_fitted_crossed_has_the_published_settings(spark, monkeypatch, two):
 def test_fitted_importance_comparison_has_the_published_settings(spark, monkeypatch):
     asked = settings(spark, monkeypatch, "fitted_importance_comparison", "fit_two_models")
     assert (asked["boosting"], asked["folds"], asked["validate"]) == (learners.Boosting(), 5, True)
+
+
+def test_fitted_propensity_has_the_published_settings(spark, monkeypatch):
+    asked = settings(spark, monkeypatch, "fitted_propensity", "fit_propensity")
+    assert (asked["boosting"], asked["folds"]) == (learners.PROPENSITY_BOOSTING, 5)
