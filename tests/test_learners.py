@@ -159,3 +159,8 @@ def test_fitted_importance_comparison_has_the_published_settings(spark, monkeypa
 def test_fitted_propensity_has_the_published_settings(spark, monkeypatch):
     asked = settings(spark, monkeypatch, "fitted_propensity", "fit_propensity")
     assert (asked["boosting"], asked["folds"]) == (learners.PROPENSITY_BOOSTING, 5)
+
+
+def test_fitted_propensity_effect_has_the_published_settings(spark, monkeypatch):
+    asked = settings(spark, monkeypatch, "fitted_propensity_effect", "fit_propensity")
+    assert (asked["boosting"], asked["folds"]) == (learners.PROPENSITY_BOOSTING, 5)
