@@ -164,3 +164,8 @@ def test_fitted_propensity_has_the_published_settings(spark, monkeypatch):
 def test_fitted_propensity_effect_has_the_published_settings(spark, monkeypatch):
     asked = settings(spark, monkeypatch, "fitted_propensity_effect", "fit_propensity")
     assert (asked["boosting"], asked["folds"]) == (learners.PROPENSITY_BOOSTING, 5)
+
+
+def test_saved_learner_responses_has_the_published_settings(spark, monkeypatch):
+    asked = settings(spark, monkeypatch, "saved_learner_responses", "fit_two_models")
+    assert (asked["boosting"], asked["folds"], asked["validate"]) == (learners.Boosting(), 5, True)
