@@ -166,6 +166,14 @@ def test_one_group_has_no_parity_verdict(small_modeling):
     assert "gender" not in {r.demographic for r in fairness.parity_check(men).collect()}
 
 
+def test_a_mean_between_two_cents_is_rounded_away_from_zero(spark):
+    rows = spark.createDataFrame(
+        [("Female", 0, "No", "Persuadable", 0.2, 9.0, v) for v in (0.01, 2.26)],
+        "gender string, senior_citizen int, partner string, quadrant string, uplift_score double, clv double, value_at_risk double",
+    )
+    assert {r.avg_value_at_risk for r in fairness.persuadable_value(rows).collect()} == {1.14}
+
+
 def test_a_budget_below_the_cost_buys_nothing(spark):
     rows = spark.createDataFrame(
         [(i, "Persuadable", 0.2, 100.0 * i, "One year", "DSL") for i in (1, 2, 3)],
